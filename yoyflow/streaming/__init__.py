@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The workload is two batch jobs over yearly snapshots; it has no stream source,
+watermark, windowed aggregation or stateful operator, so no streaming operator
+is provided.  The batch jobs can be run per micro-batch from a caller's
+``foreachBatch`` if ever needed, because every operator takes and returns
+plain DataFrames.
+"""
