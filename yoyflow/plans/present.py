@@ -6,7 +6,10 @@ floats; a DATE comes out as a date object from one and a timestamp from the
 other), so both sides present their results the same way:
 
 * money / fractional numbers -> DOUBLE rounded to 4 places (``-0.0`` -> ``0.0``)
-* integers                   -> BIGINT
+* integers and flags         -> DOUBLE (a nullable integer column is handed
+                                 out as float by one engine and as a nullable
+                                 integer by the other; DOUBLE is the same in
+                                 both and exact for every count used here)
 * DATE                       -> text ``yyyy-MM-dd``
 * TIMESTAMP                  -> text ``yyyy-MM-dd HH:mm:ss``
 * text                       -> unchanged
@@ -31,20 +34,20 @@ def present(df: DataFrame) -> DataFrame:
         if isinstance(t, (T.DecimalType, T.DoubleType, T.FloatType)):
             c = F.round(c.cast("double"), 4) + F.lit(0.0)
         elif isinstance(t, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
-            c = c.cast("bigint")
+            c = c.cast("double")
         elif isinstance(t, T.DateType):
             c = F.date_format(c, "yyyy-MM-dd")
         elif isinstance(t, (T.TimestampType, T.TimestampNTZType)):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
         elif isinstance(t, T.BooleanType):
-            c = c.cast("bigint")
+            c = c.cast("double")
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
 
 _SQL = {
     "s": "{c}",
-    "i": "CAST({c} AS BIGINT)",
+    "i": "CAST({c} AS DOUBLE)",
     "m": "round(CAST({c} AS DOUBLE), 4) + 0.0",
     "d": "strftime({c}, '%Y-%m-%d')",
     "t": "strftime({c}, '%Y-%m-%d %H:%M:%S')",

@@ -269,5 +269,11 @@ FROM x_program_renewals pr LEFT JOIN x_subscription_periods sp ON pr.SubPeriodSF
     ]
 
 
+def extract_queries(params: RunParams = TEST_PARAMS) -> list[Query]:
+    from yoyflow.plans.registry_extract import build
+
+    return [Query(name, run, sql) for name, run, sql in build(params)]
+
+
 def all_queries() -> list[Query]:
-    return renewal_queries()
+    return extract_queries() + renewal_queries()

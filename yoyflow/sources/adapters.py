@@ -102,9 +102,9 @@ FROM (
          o.o_custkey, o.o_orderdate, o.o_orderstatus, o.o_orderpriority,
          c.c_custkey, c.c_name, c.c_nationkey, c.c_acctbal, c.c_mktsegment,
          CAST(year(o.o_orderdate) AS INT) AS FiscalYear,
-         CASE WHEN l.l_discount >= 0.09 THEN '99' ELSE CAST(30 + l.l_partkey % 58 AS STRING) END AS campaign_code,
+         CASE WHEN l.l_discount >= 0.09 THEN '99' ELSE CAST(30 + (o.o_custkey * 7 + l.l_linenumber) % 58 AS STRING) END AS campaign_code,
          ({_CLIENT_CODE}) || right(CAST(CAST(year(o.o_orderdate) AS INT) AS STRING), 2)
-           || (CASE WHEN l.l_discount >= 0.09 THEN '99' ELSE CAST(30 + l.l_partkey % 58 AS STRING) END) AS job
+           || (CASE WHEN l.l_discount >= 0.09 THEN '99' ELSE CAST(30 + (o.o_custkey * 7 + l.l_linenumber) % 58 AS STRING) END) AS job
   FROM {{lineitem}} l
   JOIN {{orders}} o ON l.l_orderkey = o.o_orderkey
   JOIN {{customer}} c ON o.o_custkey = c.c_custkey

@@ -97,7 +97,23 @@ for _rows, _name in ((HD_GROUPS, "hd"), (ALR_GROUPS, "alr"), (ADV_GROUPS, "adv")
     _assert_unique(_rows, _name)
 
 
-def campaign_groups(spark: SparkSession) -> DataFrame:
+CAMPAIGN_GROUPS_SCHEMA = T.StructType(
+    [
+        T.StructField("lk_code", T.StringType(), False),
+        T.StructField("lk_hd_group", T.StringType(), True),
+        T.StructField("lk_alr_group", T.StringType(), True),
+        T.StructField("lk_adv_group", T.StringType(), True),
+    ]
+)
+CONSORTIUM_SCHEMA = T.StructType(
+    [
+        T.StructField("lk_client_code", T.StringType(), False),
+        T.StructField("lk_client_name", T.StringType(), True),
+    ]
+)
+
+
+def campaign_group_rows() -> list[tuple]:
     """One row per campaign code with the group each audience table gives it.
 
     The three per-audience tables are unique by code, so folding them into one
@@ -108,26 +124,7 @@ def campaign_groups(spark: SparkSession) -> DataFrame:
     hd = dict(HD_GROUPS)
     alr = {r[0]: r[2] for r in ALR_GROUPS}
     adv = {r[0]: r[2] for r in ADV_GROUPS}
-    schema = T.StructType(
-        [
-            T.StructField("lk_code", T.StringType(), False),
-            T.StructField("lk_hd_group", T.StringType(), True),
-            T.StructField("lk_alr_group", T.StringType(), True),
-            T.StructField("lk_adv_group", T.StringType(), True),
-        ]
-    )
-    rows = [(c, hd.get(c), alr.get(c), adv.get(c)) for c in codes]
-    return spark.createDataFrame(rows, schema)
-
-
-def consortium_clients(spark: SparkSession) -> DataFrame:
-    schema = T.StructType(
-        [
-            T.StructField("lk_client_code", T.StringType(), False),
-            T.StructField("lk_client_name", T.StringType(), True),
-        ]
-    )
-    return spark.createDataFrame(CONSORTIUM_CLIENTS, schema)
+    return [(c, hd.get(c), alr.get(c), adv.get(c)) for c in codes]
 
 
 def code_table(spark: SparkSession, name: str) -> DataFrame:
@@ -143,11 +140,11 @@ def code_table(spark: SparkSession, name: str) -> DataFrame:
     raise KeyError(name)
 
 
-def values_sql(rows, columns) -> str:
+def values_sql(rows, columns, alias: str = "t") -> str:
     """The same table as a SQL VALUES list (used by the DuckDB oracle)."""
 
     def lit(v):
         return "NULL" if v is None else "'" + str(v).replace("'", "''") + "'"
 
     body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
-    return f"(VALUES {body}) AS t({', '.join(columns)})"
+    return f"(VALUES {body}) AS {alias}({', '.join(columns)})"
