@@ -161,7 +161,7 @@ def q_update_from(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_renewal_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return present(rp.renewal_pool(renewal_inputs(SparkInputs(spark, sf_dir)), TEST_PARAMS, materialize="none"))
+    return present(rp.renewal_pool(renewal_inputs(SparkInputs(spark, sf_dir)), TEST_PARAMS, materialize="table"))
 
 
 def q_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:

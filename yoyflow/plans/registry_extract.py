@@ -70,7 +70,7 @@ def extract_inputs(x: SparkInputs) -> rx.ExtractInputs:
 
 
 def _stages(spark: SparkSession, sf_dir: str, params) -> rx.ExtractStages:
-    return rx.stages(extract_inputs(SparkInputs(spark, sf_dir)), params, materialize="none")
+    return rx.stages(extract_inputs(SparkInputs(spark, sf_dir)), params, materialize="table")
 
 
 def _sql(params, upto: str | None, final: str, cols: Sequence[str]) -> str:
@@ -326,7 +326,7 @@ FROM o_extract GROUP BY SourceTracker, EB_RevType, Secured_Classification""", un
     _ = cy_tag
 
     def q_extract(spark, sf_dir):
-        return present(rx.revenue_extract(extract_inputs(SparkInputs(spark, sf_dir)), params, materialize="none"))
+        return present(rx.revenue_extract(extract_inputs(SparkInputs(spark, sf_dir)), params, materialize="table"))
 
     out.append(("revenue_extract", q_extract, _sql(params, "o_extract", "SELECT * FROM o_extract", ex)))
     return out

@@ -266,7 +266,7 @@ def link_contracts(pool: DataFrame, best: DataFrame, contracts: DataFrame, on_du
     )
 
 
-def renewal_pool(inp: RenewalInputs, params: RunParams, materialize: str = "checkpoint") -> DataFrame:
+def renewal_pool(inp: RenewalInputs, params: RunParams, materialize: str = "table") -> DataFrame:
     """The whole job: the pool with its proof columns filled where a link exists."""
     cands = candidate_subscriptions(inp.cpq_subscriptions, inp.raw_subscriptions, inp.opportunities)
     pool = cut_lineage(build_pool(inp, params), materialize)  # read twice below

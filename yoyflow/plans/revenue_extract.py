@@ -23,6 +23,7 @@ labels (``FY24Contracted_PP`` ...) are generated from the control year.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -259,12 +260,18 @@ SNAPSHOT_ATTRS = ["_first_signed", "_enr_renewal_type", "_enr_tenure", "_enr_ten
                   "_oth_first_prior", "_oth_first", "_oth_tenure", "_oth_tenure_next"]
 
 
-def _attach_year_context(df: DataFrame, raw: DataFrame, inp: ExtractInputs, params: RunParams, on_duplicate: str) -> DataFrame:
-    """Campaign first signature and the yearly-snapshot attributes."""
+def _attach_year_context(df: DataFrame, source: DataFrame, inp: ExtractInputs, params: RunParams, on_duplicate: str) -> DataFrame:
+    """Campaign first signature and the yearly-snapshot attributes.
+
+    ``source`` holds the lines the first signature is taken from: the rolled-up
+    lines themselves when possible (year, account, campaign code, audience and
+    signature date are all roll-up keys, so the minimum is the same and the
+    roll-up's shuffle is reused), the raw lines otherwise.
+    """
     # Computed over the control year only but joined without the year, so
     # prior-year lines receive the control-year first signature as well.
     firsts = first_dates(
-        raw, ["AccountID", "CampaignCode", "Audience"], "SignatureDate",
+        source, ["AccountID", "CampaignCode", "Audience"], "SignatureDate",
         F.col("FiscalYear") == params.control_year, "_first_signed",
     )
     df = df.join(firsts, ["AccountID", "CampaignCode", "Audience"], "left")
@@ -322,7 +329,8 @@ def summarise(raw: DataFrame, inp: ExtractInputs, params: RunParams, on_duplicat
     else:
         # Every attached attribute is a function of (account, year, audience,
         # campaign code), all of them roll-up keys: roll up first, attach after.
-        data = _attach_year_context(raw.groupBy(*ROLLUP_KEYS).agg(*sums), raw, inp, params, on_duplicate)
+        rolled = raw.groupBy(*ROLLUP_KEYS).agg(*sums)
+        data = _attach_year_context(rolled, rolled, inp, params, on_duplicate)
 
     adv_hd = isin_ci("Audience", ADV_HD)
     optout_any = F.col("_optout_sum") > 0
@@ -545,27 +553,43 @@ def combine(pool: DataFrame, contracted: DataFrame, params: RunParams) -> DataFr
 # --- the job --------------------------------------------------------------------------
 
 
-@dataclass
 class ExtractStages:
-    raw: DataFrame
-    data: DataFrame
-    final: DataFrame
-    contracted: DataFrame
-    pool: DataFrame
-    extract: DataFrame
+    """The job's stages, built lazily; stages read several times are
+    materialised once, on first use (``session.cut_lineage``)."""
+
+    def __init__(self, inp: ExtractInputs, params: RunParams, materialize: str = "table", on_duplicate: str = "fail"):
+        self.inp, self.params, self.materialize, self.on_duplicate = inp, params, materialize, on_duplicate
+
+    @cached_property
+    def raw(self) -> DataFrame:
+        return raw_cut(self.inp, self.params)
+
+    @cached_property
+    def data(self) -> DataFrame:
+        return summarise(self.raw, self.inp, self.params, on_duplicate=self.on_duplicate)
+
+    @cached_property
+    def final(self) -> DataFrame:  # read by four later steps
+        return cut_lineage(final_cut(self.data), self.materialize)
+
+    @cached_property
+    def contracted(self) -> DataFrame:  # read three times
+        return cut_lineage(allocate_prior_value(self.final, self.params), self.materialize)
+
+    @cached_property
+    def pool(self) -> DataFrame:
+        return roll_forward(self.final, self.contracted, self.inp, self.params)
+
+    @cached_property
+    def extract(self) -> DataFrame:
+        return combine(self.pool, self.contracted, self.params)
 
 
-def stages(inp: ExtractInputs, params: RunParams, materialize: str = "checkpoint", on_duplicate: str = "fail") -> ExtractStages:
-    """All stages; the ones read several times are materialised once."""
-    raw = raw_cut(inp, params)
-    data = summarise(raw, inp, params, on_duplicate=on_duplicate)
-    final = cut_lineage(final_cut(data), materialize)  # read by 4 later steps
-    contracted = cut_lineage(allocate_prior_value(final, params), materialize)  # read 3 times
-    pool = roll_forward(final, contracted, inp, params)
-    return ExtractStages(raw, data, final, contracted, pool, combine(pool, contracted, params))
+def stages(inp: ExtractInputs, params: RunParams, materialize: str = "table", on_duplicate: str = "fail") -> ExtractStages:
+    return ExtractStages(inp, params, materialize, on_duplicate)
 
 
-def revenue_extract(inp: ExtractInputs, params: RunParams, materialize: str = "checkpoint") -> DataFrame:
+def revenue_extract(inp: ExtractInputs, params: RunParams, materialize: str = "table") -> DataFrame:
     return stages(inp, params, materialize).extract
 
 

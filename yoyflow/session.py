@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,16 +57,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
-def cut_lineage(df: DataFrame, how: str = "checkpoint") -> DataFrame:
+def cut_lineage(df: DataFrame, how: str = "table") -> DataFrame:
     """Materialise a stage that is read several times.
 
-    ``checkpoint`` writes to the reliable checkpoint folder (survives executor
-    loss); ``persist`` keeps it in memory and disk of the executors; ``none``
-    leaves the plan untouched.
+    ``table``       write the stage as parquet under the session's checkpoint
+                    folder and read it back: computed once, survives executor
+                    loss, and the read-back prunes columns and carries real size
+                    statistics for adaptive join planning (default);
+    ``checkpoint``  Spark's reliable RDD checkpoint (persisted first so the
+                    stage is not computed twice);
+    ``persist``     executor memory and disk only (recomputed from lineage if
+                    an executor is lost);
+    ``none``        leave the plan untouched.
     """
+    if how == "table":
+        root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+        path = f"{root}/yoyflow-stages/{uuid.uuid4().hex}"
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.parquet(path)
     if how == "checkpoint":
+        from pyspark import StorageLevel
+
         ensure_checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
+        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+        out = kept.checkpoint(eager=True)
+        kept.unpersist()
+        return out
     if how == "persist":
         from pyspark import StorageLevel
 
