@@ -69,3 +69,15 @@ def test_classify_first_match_and_null_falls_through(spark):
     got = [(r[0], r[1]) for r in df.select(value, rid).collect()]
     assert got == [("big", "r1"), ("mid", "r2"), ("small", "default"), ("none", "r3")]
     assert _one(spark, classify([], "d"), [(1,)], "x int") == ["d"]
+
+
+def test_input_check_lists_every_missing_column(spark):
+    import pytest
+
+    from yoyflow.sources.schemas import MissingColumns, check_inputs
+
+    ok = spark.createDataFrame([("1", "x")], "AccountSFID string, accountsegment string")
+    check_inputs({"account_segments": ok})
+    bad = spark.createDataFrame([("1",)], "ID string")
+    with pytest.raises(MissingColumns, match="Client_Code_Adv__c.*Record_Type_Text__c"):
+        check_inputs({"accounts": bad})

@@ -26,6 +26,7 @@ from yoyflow.operators.match import best_match, candidate_counts
 from yoyflow.operators.patch import update_from
 from yoyflow.params import RunParams
 from yoyflow.session import cut_lineage
+from yoyflow.sources.schemas import check_inputs
 
 # --- fixed values --------------------------------------------------------------
 SUB_COLUMNS = [
@@ -268,6 +269,7 @@ def link_contracts(pool: DataFrame, best: DataFrame, contracts: DataFrame, on_du
 
 def renewal_pool(inp: RenewalInputs, params: RunParams, materialize: str = "table") -> DataFrame:
     """The whole job: the pool with its proof columns filled where a link exists."""
+    check_inputs(vars(inp))
     cands = candidate_subscriptions(inp.cpq_subscriptions, inp.raw_subscriptions, inp.opportunities)
     pool = cut_lineage(build_pool(inp, params), materialize)  # read twice below
     best = best_matches(pool, inp.cpq_subscriptions, cands)

@@ -48,6 +48,7 @@ from yoyflow.operators.temporal import first_dates, first_event_flag, year_offse
 from yoyflow.params import RunParams
 from yoyflow.session import cut_lineage
 from yoyflow.sources import codetables
+from yoyflow.sources.schemas import check_inputs
 
 # --- fixed values ----------------------------------------------------------------
 AUDIENCES = ("UG Group", "HD Group", "ALR Group", "Agency", "Adv Group")
@@ -586,6 +587,7 @@ class ExtractStages:
 
 
 def stages(inp: ExtractInputs, params: RunParams, materialize: str = "table", on_duplicate: str = "fail") -> ExtractStages:
+    check_inputs(vars(inp))
     return ExtractStages(inp, params, materialize, on_duplicate)
 
 
