@@ -22,6 +22,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from yoyflow.sources.io import read_input
+
 BASE_TABLES = ("lineitem", "orders", "customer")
 
 # Client code of a customer: consortium customers carry one of the consortium
@@ -350,7 +352,7 @@ class SparkInputs:
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
             if name in BASE_TABLES:
-                self._frames[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+                self._frames[name] = read_input(self.spark, f"{self.sf_dir}/{name}.parquet")
             else:
                 args = {d: self[d] for d in dependencies(name)}
                 self._frames[name] = self.spark.sql(ADAPTERS[name], **args)

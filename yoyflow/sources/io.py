@@ -14,10 +14,25 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Round-robin an input that scans as fewer splits than the cluster has cores.
+
+    An unsplittable file (one parquet row group, one gzip file) is read by a
+    single task, and every narrow step before the first shuffle then runs in
+    that one task.  Large inputs scan as thousands of splits and are returned
+    untouched -- no shuffle is ever added to them.  The split count comes from
+    the planned scan; no job runs.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def read_input(spark: SparkSession, location: str, fmt: str = "parquet") -> DataFrame:
     if "/" in location or ":" in location:
-        return spark.read.format(fmt).load(location)
-    return spark.table(location)
+        return spread_small_input(spark.read.format(fmt).load(location))
+    return spread_small_input(spark.table(location))
 
 
 def read_inputs(spark: SparkSession, locations: Mapping[str, str], fmt: str = "parquet") -> dict[str, DataFrame]:
