@@ -72,7 +72,14 @@ RANKED = sorted(CASE_ORDER)
 assert RANKED == [LABEL_1A, LABEL_1B, LABEL_2A_PHX, LABEL_2A, LABEL_2B_PHX, LABEL_2B, LABEL_3A, LABEL_3B, LABEL_3C]
 RANK_OF = {label: i + 1 for i, label in enumerate(RANKED)}
 
-_KEYS = ["_tier", "_acct", "_cls", "_k1", "_k2"]
+# ``_kh`` hashes the rest of the key and leads every key list: sorts (window,
+# sort-merge join) then mostly compare one 64-bit prefix instead of strings.
+# The full key follows it, so a hash collision cannot merge two keys.
+_KEYS = ["_kh", "_tier", "_acct", "_cls", "_k1", "_k2"]
+
+
+def _with_key_hash(df: DataFrame) -> DataFrame:
+    return df.withColumn("_kh", F.xxhash64("_tier", "_acct", "_cls", "_k1", "_k2"))
 
 
 def _rank_label(rank: Column) -> Column:
@@ -129,6 +136,7 @@ def candidate_tier_rows(candidates: DataFrame) -> DataFrame:
             F.explode(_tier_rows(entries)).alias("_t"),
         )
         .select("_t._tier", "_acct", "_cls", "_t._k1", "_t._k2", "_day", "_val")
+        .transform(_with_key_hash)
     )
 
 
@@ -162,6 +170,7 @@ def probe_tier_rows(probes: DataFrame) -> DataFrame:
             F.explode(_tier_rows(entries)).alias("_t"),
         )
         .select("probe_id", "_t._tier", "_acct", "_cls", "_t._k1", "_t._k2", "_day")
+        .transform(_with_key_hash)
     )
 
 

@@ -9,24 +9,47 @@ downstream readers prune by year.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Below this size a single task reads and processes an input quickly enough
+# that an extra round-robin shuffle costs more than it saves.
+SPREAD_MIN_BYTES = 2 * 1024 * 1024
+
+
+def _local_bytes(df: DataFrame) -> int | None:
+    """Total size of the input files when they are local files, else None."""
+    total = 0
+    for f in df.inputFiles():
+        if not f.startswith("file:"):
+            return None
+        path = f[len("file:"):]
+        if not os.path.exists(path):
+            return None
+        total += os.path.getsize(path)
+    return total
+
+
 def spread_small_input(df: DataFrame) -> DataFrame:
     """Round-robin an input that scans as fewer splits than the cluster has cores.
 
     An unsplittable file (one parquet row group, one gzip file) is read by a
     single task, and every narrow step before the first shuffle then runs in
     that one task.  Large inputs scan as thousands of splits and are returned
-    untouched -- no shuffle is ever added to them.  The split count comes from
-    the planned scan; no job runs.
+    untouched -- no shuffle is ever added to them -- and so are inputs too small
+    for the extra shuffle to pay off.  Only the planned scan and file sizes are
+    consulted; no job runs.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    size = _local_bytes(df)
+    if size is not None and size < SPREAD_MIN_BYTES:
+        return df
+    return df.repartition(cores)
 
 
 def read_input(spark: SparkSession, location: str, fmt: str = "parquet") -> DataFrame:
