@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from yoyflow.operators.joins import hashed_join
+
 
 def group_flag(df: DataFrame, keys: Sequence[str], aggregates: Mapping[str, Column]) -> DataFrame:
     """Attach per-group aggregates to every line of the group.
@@ -17,7 +19,7 @@ def group_flag(df: DataFrame, keys: Sequence[str], aggregates: Mapping[str, Colu
     the keys) lets adaptive execution split a hot group across tasks.
     """
     stats = df.groupBy(*keys).agg(*[expr.alias(name) for name, expr in aggregates.items()])
-    return df.join(stats, list(keys), "left")
+    return hashed_join(df, stats, list(keys), "left")
 
 
 def distinct_indicator(
@@ -34,9 +36,7 @@ def distinct_indicator(
     """
     renamed = [F.col(m).alias(f"_m{i}") for i, m in enumerate(member_keys)]
     distinct = members.select(*renamed).distinct().withColumn(flag, F.lit(1))
-    cond = [df[k] == F.col(f"_m{i}") for i, k in enumerate(df_keys)]
-    out = df.join(distinct, cond, "left")
-    return out.drop(*[f"_m{i}" for i in range(len(member_keys))])
+    return hashed_join(df, distinct, [(k, f"_m{i}") for i, k in enumerate(df_keys)], "left")
 
 
 def parent_hop(

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from yoyflow.operators.audit import guard_unique
+from yoyflow.operators.joins import hashed_join
 
 
 def update_from(
@@ -41,14 +42,13 @@ def update_from(
         reduced = reduced.withColumn(
             "_vals", F.when(F.col("_n") > 1, guard_unique(F.col("_n"), "update_from source")).otherwise(F.col("_vals"))
         )
-    cond = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(on)]
-    joined = target.join(reduced, on=cond, how="left")
+    joined = hashed_join(target, reduced, [(k, f"_k{i}") for i, k in enumerate(on)], "left")
     matched = F.col("_n").isNotNull()
     out = []
     for name in target.columns:
         if name in assignments:
             i = value_cols.index(assignments[name])
-            out.append(F.when(matched, F.col(f"_vals.v{i}")).otherwise(target[name]).alias(name))
+            out.append(F.when(matched, F.col(f"_vals.v{i}")).otherwise(F.col(name)).alias(name))
         else:
-            out.append(target[name])
+            out.append(F.col(name))
     return joined.select(*out)

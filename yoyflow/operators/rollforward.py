@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from yoyflow.functions.text import concat_null, eq_ci, isin_ci, like_ci, not_like_ci
+from yoyflow.operators.joins import hashed_join
 from yoyflow.params import RunParams
 
 if TYPE_CHECKING:  # pragma: no cover
@@ -62,7 +63,7 @@ def roll_forward(final: DataFrame, contracted: DataFrame, inp: "ExtractInputs",
     cy = params.control_year
     units = prior_units(final, params)
     current_units = contracted.select(*UNIT_KEYS).distinct()
-    alive = units.join(current_units, UNIT_KEYS, "left_anti")
+    alive = hashed_join(units, current_units, UNIT_KEYS, "left_anti")
 
     ap = inp.all_packages.where((F.col("Rk") == 1) & (F.col("FiscalYear") == cy)).select(
         F.col("AccountID").alias("_ap_acct"), F.col("Audience").alias("_ap_aud"), F.col("PackageId").alias("PackageId_Current")
@@ -110,5 +111,4 @@ def roll_forward(final: DataFrame, contracted: DataFrame, inp: "ExtractInputs",
     counts = rows.groupBy(F.col("PriorContracted_Account_Audience").alias("_grp")).agg(
         F.sum(F.when(non_discount, F.lit(1)).otherwise(F.lit(0))).alias("PriorNonDiscount_Count")
     )
-    out = rows.join(counts, rows["PriorContracted_Account_Audience"].eqNullSafe(counts["_grp"]), "left").drop("_grp")
-    return out
+    return hashed_join(rows, counts, [("PriorContracted_Account_Audience", "_grp")], "left", null_safe=True)

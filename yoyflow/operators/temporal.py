@@ -23,6 +23,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yoyflow.operators.audit import guard_unique
+from yoyflow.operators.joins import hashed_join
+
+
+def _exploded(snapshot: DataFrame, keys, snap_year: str, attrs: Mapping[int, Mapping[str, str]], tag: str) -> DataFrame:
+    """Snapshot rows once per offset, with the target year each copy serves and
+    every output column of every offset (NULL outside its own slot)."""
+    offsets = sorted(attrs)
+    base = snapshot.select(
+        *[F.col(sk).alias(f"_k{i}") for i, (_, sk) in enumerate(keys)],
+        F.col(snap_year).alias("_y"),
+        *[F.col(c).alias(f"_src_{c}") for c in sorted({c for m in attrs.values() for c in m.values()})],
+        F.explode(F.array(*[F.lit(o) for o in offsets])).alias("_off"),
+    )
+    slot_cols = []
+    for off in offsets:
+        slot = F.col("_off") == off
+        slot_cols.append(F.when(slot, F.lit(1)).alias(f"_n_{tag}_{off}"))
+        for dst, src in attrs[off].items():
+            slot_cols.append(F.when(slot, F.col(f"_src_{src}")).alias(dst))
+    return base.select(
+        *[f"_k{i}" for i in range(len(keys))], (F.col("_y") - F.col("_off")).alias("_target"), *slot_cols
+    )
 
 
 def year_offset_join(
@@ -41,48 +63,63 @@ def year_offset_join(
     attrs  offset -> {output column: snapshot column}; offset k reads the
            snapshot row of year ``line_year + k``.
     """
+    return year_offset_join_many(lines, [(snapshot, snap_year, attrs, name)], keys, line_year, on_duplicate)
+
+
+def year_offset_join_many(
+    lines: DataFrame,
+    snapshots: Sequence[tuple[DataFrame, str, Mapping[int, Mapping[str, str]], str]],
+    keys: Sequence[tuple[str, str]],
+    line_year: str,
+    on_duplicate: str = "fail",
+) -> DataFrame:
+    """``year_offset_join`` for several snapshots keyed the same way.
+
+    snapshots  (snapshot, its year column, attrs, name) -- the snapshot key
+               columns are given by the second element of each ``keys`` pair.
+
+    All snapshots are pivoted together into one table, so the large side is
+    joined once.  A single join directly over its shuffles is also what lets
+    adaptive execution split a hot entity across tasks; a chain of joins on
+    the same key would reuse one partitioning and could not be split.
+    """
     if on_duplicate == "keep":
         out = lines
-        for off, cols in attrs.items():
-            s = snapshot.select(
-                *[F.col(sk).alias(f"_k{i}") for i, (_, sk) in enumerate(keys)],
-                F.col(snap_year).alias("_y"),
-                *[F.col(src).alias(dst) for dst, src in cols.items()],
-            )
-            cond = [out[lk] == s[f"_k{i}"] for i, (lk, _) in enumerate(keys)]
-            cond.append(s["_y"] == out[line_year] + F.lit(off))
-            out = out.join(s, cond, "left").drop(*[f"_k{i}" for i in range(len(keys))], "_y")
+        for snapshot, snap_year, attrs, _ in snapshots:
+            for off, cols in attrs.items():
+                s = snapshot.select(
+                    *[F.col(sk).alias(f"_k{i}") for i, (_, sk) in enumerate(keys)],
+                    F.col(snap_year).alias("_y"),
+                    *[F.col(src).alias(dst) for dst, src in cols.items()],
+                )
+                cond = [out[lk] == s[f"_k{i}"] for i, (lk, _) in enumerate(keys)]
+                cond.append(s["_y"] == out[line_year] + F.lit(off))
+                out = out.join(s, cond, "left").drop(*[f"_k{i}" for i in range(len(keys))], "_y")
         return out
     if on_duplicate != "fail":
         raise ValueError("on_duplicate must be 'fail' or 'keep'")
 
-    offsets = sorted(attrs)
-    needed = sorted({src for cols in attrs.values() for src in cols.values()})
-    exploded = snapshot.select(
-        *[F.col(sk).alias(f"_k{i}") for i, (_, sk) in enumerate(keys)],
-        F.col(snap_year).alias("_y"),
-        *[F.col(c) for c in needed],
-        F.explode(F.array(*[F.lit(o) for o in offsets])).alias("_off"),
-    ).withColumn("_target", F.col("_y") - F.col("_off"))
-    aggs: list[Column] = []
-    for off in offsets:
-        aggs.append(F.count(F.when(F.col("_off") == off, F.lit(1))).alias(f"_n{off}"))
-        for dst, src in attrs[off].items():
-            aggs.append(F.max(F.when(F.col("_off") == off, F.col(src))).alias(dst))
+    parts = [_exploded(s, keys, y, a, f"s{i}") for i, (s, y, a, _) in enumerate(snapshots)]
+    exploded = parts[0]
+    for part in parts[1:]:
+        exploded = exploded.unionByName(part, allowMissingColumns=True)
     key_cols = [f"_k{i}" for i in range(len(keys))]
-    pivot = exploded.groupBy(*key_cols, "_target").agg(*aggs)
-    guarded = []
-    for off in offsets:
-        for dst in attrs[off]:
-            guarded.append(
-                F.when(F.col(f"_n{off}") > 1, guard_unique(F.col(f"_n{off}"), f"{name} at offset {off}"))
-                .otherwise(F.col(dst))
-                .alias(dst)
-            )
-    pivot = pivot.select(*key_cols, "_target", *guarded)
-    cond = [lines[lk] == pivot[f"_k{i}"] for i, (lk, _) in enumerate(keys)]
-    cond.append(lines[line_year] == pivot["_target"])
-    return lines.join(pivot, cond, "left").drop(*key_cols, "_target")
+    aggs: list[Column] = []
+    outputs: list[Column] = []
+    for i, (_, _, attrs, name) in enumerate(snapshots):
+        for off in sorted(attrs):
+            n = f"_n_s{i}_{off}"
+            aggs.append(F.count(n).alias(n))
+            for dst in attrs[off]:
+                aggs.append(F.max(dst).alias(dst))
+                # a slot holding two snapshot rows fails the query here, inside the
+                # aggregation that already groups by the slot: no extra pass
+                outputs.append(
+                    F.when(F.col(n) > 1, guard_unique(F.col(n), f"{name} at offset {off}")).otherwise(F.col(dst)).alias(dst)
+                )
+    pivot = exploded.groupBy(*key_cols, "_target").agg(*aggs).select(*key_cols, "_target", *outputs)
+    on = [(lk, f"_k{i}") for i, (lk, _) in enumerate(keys)] + [(line_year, "_target")]
+    return hashed_join(lines, pivot, on, "left")
 
 
 def first_dates(lines: DataFrame, keys: Sequence[str], date_col: str, scope: Column, out: str) -> DataFrame:
@@ -93,7 +130,7 @@ def first_dates(lines: DataFrame, keys: Sequence[str], date_col: str, scope: Col
 def first_event(lines: DataFrame, keys: Sequence[str], date_col: str, scope: Column, out: str) -> DataFrame:
     """``first_dates`` joined back to every line with the same keys (also lines
     outside the scope, e.g. prior-year lines receive the control-year date)."""
-    return lines.join(first_dates(lines, keys, date_col, scope, out), list(keys), "left")
+    return hashed_join(lines, first_dates(lines, keys, date_col, scope, out), list(keys), "left")
 
 
 def first_event_flag(event_date: Column, first_date: Column, when_first: str, when_later: str) -> Column:

@@ -123,10 +123,17 @@ def build_pool(inp: RenewalInputs, params: RunParams, keep_unused_joins: bool =
             F.col("PredecessorSFID_PreviousContract") == F.col("_pd_id"),
             "left",
         )
-    # The three joins on the subscription id share one partitioning.
-    p = p.join(subs, p["SubscriptionSFID"] == subs["SubscriptionSFID_Program"], "left")
-    p = p.join(prog_subs, p["SubscriptionSFID"] == prog_subs["_ps_id"], "left")
-    p = p.join(raw, p["SubscriptionSFID"] == raw["_raw_id"], "left")
+    # Three dimensions keyed by the subscription id are combined first, so the
+    # pool meets them in one join (splittable by adaptive execution when one
+    # subscription is hot).  Duplicated ids multiply exactly as three left
+    # joins would.
+    sub_dim = (
+        subs.withColumn("_sub_id", F.col("SubscriptionSFID_Program"))
+        .join(prog_subs.withColumn("_sub_id", F.col("_ps_id")), "_sub_id", "full")
+        .join(raw.withColumn("_sub_id", F.col("_raw_id")), "_sub_id", "full")
+        .drop("_ps_id", "_raw_id")
+    )
+    p = p.join(sub_dim, p["SubscriptionSFID"] == sub_dim["_sub_id"], "left")
     p = p.join(periods, p["SubPeriodSFID"] == periods["_period_id"], "left")
     p = distinct_indicator(p, shared, ["AccountSFID", "PoolYear_FY"], ["AccountID", "FiscalYear"], "_shared_ind")
 

@@ -42,9 +42,10 @@ from yoyflow.functions.text import (
 )
 from yoyflow.operators.allocate import allocate_prior_value, alignment_stats, prior_contracted_pool
 from yoyflow.operators.groups import group_flag
+from yoyflow.operators.joins import hashed_join
 from yoyflow.operators.lookup import lookup_by_code
 from yoyflow.operators.rollforward import roll_forward
-from yoyflow.operators.temporal import first_dates, first_event_flag, year_offset_join
+from yoyflow.operators.temporal import first_dates, first_event_flag, year_offset_join_many
 from yoyflow.params import RunParams
 from yoyflow.session import cut_lineage
 from yoyflow.sources import codetables
@@ -162,6 +163,26 @@ def opportunity_type() -> Column:
     )
 
 
+def account_dimension(inp: ExtractInputs) -> DataFrame:
+    """Account codes and segment in one table keyed by account id.
+
+    Both dimensions are keyed by the account id; joining them to each other
+    first (small x small) lets the large line table meet them in a single
+    join, which adaptive execution can split when one account is hot.  A
+    duplicated id on either side multiplies exactly as two left joins would.
+    """
+    acc = inp.accounts.select(
+        F.col("ID").alias("_acct_id"),
+        F.col("Client_Code_Adv__c").alias("_acct_adv_code"),
+        F.col("r_Client_Code__c").alias("_acct_client_code"),
+        F.col("Counter_ID__c").alias("BinderClientCode"),
+        F.col("Record_Type_Text__c").alias("_acct_record_type"),
+    )
+    seg = inp.account_segments.select(F.col("AccountSFID").alias("_seg_id"), "AccountSegment")
+    both = acc.join(seg, acc["_acct_id"] == seg["_seg_id"], "full")
+    return both.select(F.coalesce("_acct_id", "_seg_id").alias("_acct_id"), *[c for c in both.columns if c not in ("_acct_id", "_seg_id")])
+
+
 def raw_cut(inp: ExtractInputs, params: RunParams) -> DataFrame:
     lines = inp.program_lines.where(scope_filter(params))
     job = F.col("JobNumber")
@@ -171,19 +192,11 @@ def raw_cut(inp: ExtractInputs, params: RunParams) -> DataFrame:
     lines = lookup_by_code(
         lines, decode_code(job, params.code_width), codetables.campaign_group_rows(), codetables.CAMPAIGN_GROUPS_SCHEMA, "lk_code"
     )
-    acc = inp.accounts.select(
-        F.col("ID").alias("_acct_id"),
-        F.col("Client_Code_Adv__c").alias("_acct_adv_code"),
-        F.col("r_Client_Code__c").alias("_acct_client_code"),
-        F.col("Counter_ID__c").alias("BinderClientCode"),
-        F.col("Record_Type_Text__c").alias("_acct_record_type"),
-    )
-    seg = inp.account_segments.select(F.col("AccountSFID").alias("_seg_id"), "AccountSegment")
     pkg = inp.program_packages.select(F.col("ID").alias("_pkg_id"), F.col("Name").alias("ProgramPackageName"))
     opt = optout_counts(inp.program_optouts, params)
+    acct = account_dimension(inp)
     lines = (
-        lines.join(acc, lines["AccountID"] == acc["_acct_id"], "left")
-        .join(seg, F.col("AccountID") == seg["_seg_id"], "left")
+        lines.join(acct, lines["AccountID"] == acct["_acct_id"], "left")
         .join(pkg, F.col("PackageID") == pkg["_pkg_id"], "left")
         .join(opt, F.col("ProgramID") == opt["_optout_id"], "left")
     )
@@ -275,23 +288,25 @@ def _attach_year_context(df: DataFrame, source: DataFrame, inp: ExtractInputs, p
         source, ["AccountID", "CampaignCode", "Audience"], "SignatureDate",
         F.col("FiscalYear") == params.control_year, "_first_signed",
     )
-    df = df.join(firsts, ["AccountID", "CampaignCode", "Audience"], "left")
+    df = hashed_join(df, firsts, ["AccountID", "CampaignCode", "Audience"], "left")
     keys = [("AccountID", "AccountID"), ("Audience", "Audience")]
-    df = year_offset_join(
-        df, inp.enrolment_packages, keys, "FiscalYear", "FiscalYear",
-        {0: {"_enr_renewal_type": "RenewalType", "_enr_tenure": "Tenure"}, 1: {"_enr_tenure_next": "Tenure"}},
-        on_duplicate=on_duplicate, name="enrolment packages",
-    )
-    df = year_offset_join(
-        df, inp.other_packages, keys, "FiscalYear", "FiscalYear",
-        {
-            -1: {"_oth_first_prior": "FirstSigned"},
-            0: {"_oth_first": "FirstSigned", "_oth_tenure": "Tenure"},
-            1: {"_oth_tenure_next": "Tenure"},
-        },
-        on_duplicate=on_duplicate, name="other packages",
-    )
-    return df
+    snapshots = [
+        (
+            inp.enrolment_packages, "FiscalYear",
+            {0: {"_enr_renewal_type": "RenewalType", "_enr_tenure": "Tenure"}, 1: {"_enr_tenure_next": "Tenure"}},
+            "enrolment packages",
+        ),
+        (
+            inp.other_packages, "FiscalYear",
+            {
+                -1: {"_oth_first_prior": "FirstSigned"},
+                0: {"_oth_first": "FirstSigned", "_oth_tenure": "Tenure"},
+                1: {"_oth_tenure_next": "Tenure"},
+            },
+            "other packages",
+        ),
+    ]
+    return year_offset_join_many(df, snapshots, keys, "FiscalYear", on_duplicate=on_duplicate)
 
 
 def repaired_job_number(params: RunParams) -> Column:
