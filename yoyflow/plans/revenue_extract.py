@@ -195,11 +195,10 @@ def raw_cut(inp: ExtractInputs, params: RunParams) -> DataFrame:
     pkg = inp.program_packages.select(F.col("ID").alias("_pkg_id"), F.col("Name").alias("ProgramPackageName"))
     opt = optout_counts(inp.program_optouts, params)
     acct = account_dimension(inp)
-    lines = (
-        lines.join(acct, lines["AccountID"] == acct["_acct_id"], "left")
-        .join(pkg, F.col("PackageID") == pkg["_pkg_id"], "left")
-        .join(opt, F.col("ProgramID") == opt["_optout_id"], "left")
+    lines = lines.join(acct, lines["AccountID"] == acct["_acct_id"], "left").join(
+        pkg, F.col("PackageID") == pkg["_pkg_id"], "left"
     )
+    lines = hashed_join(lines, opt, [("ProgramID", "_optout_id")], "left")  # per-program aggregate joined back
     consortium = like_ci("Account", codetables.CONSORTIUM_ACCOUNT)
     audience = F.col("Audience")
     return lines.select(
