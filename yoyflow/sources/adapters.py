@@ -170,7 +170,8 @@ SELECT CAST(cy.o_custkey AS STRING) AS AccountID,
        cy.tenure AS Tenure,
        CASE WHEN cy.n_declined = cy.n_orders THEN 'Lost' WHEN cy.n_orders = 1 THEN NULL ELSE 'Renewed' END AS Renewal_Status
 FROM {x_customer_years} cy
-WHERE (cy.o_custkey + cy.y) % 7 <> 0
+-- no enrolment snapshot for a year whose only orders are low priority
+WHERE cy.min_priority <> '5-LOW'
 """
 
 ADAPTERS["x_other_packages"] = """
@@ -182,19 +183,21 @@ SELECT CAST(cy.o_custkey AS STRING) AS AccountID,
        'PKG' || CAST(cy.o_custkey AS STRING) || '-' || CAST(cy.y AS STRING) AS PackageID,
        CASE WHEN cy.n_declined > 0 THEN 'Lost' ELSE 'Secured' END AS Adj_Renewal_Status
 FROM {x_customer_years} cy
-WHERE (cy.o_custkey + cy.y) % 5 <> 0
+-- no snapshot for a single-order year of unspecified priority
+WHERE NOT (cy.n_orders = 1 AND cy.min_priority = '4-NOT SPECIFIED')
 """
 
 ADAPTERS["x_all_packages"] = """
 SELECT CAST(cy.o_custkey AS STRING) AS AccountID, cy.audience AS Audience, cy.y AS FiscalYear,
        1 AS Rk, 'PKG' || CAST(cy.o_custkey AS STRING) || '-' || CAST(cy.y AS STRING) AS PackageId
 FROM {x_customer_years} cy
-WHERE (cy.o_custkey + cy.y) % 9 <> 0
+WHERE NOT (cy.n_orders = 1 AND cy.min_priority = '3-MEDIUM')
 UNION ALL
 SELECT CAST(cy.o_custkey AS STRING) AS AccountID, cy.audience AS Audience, cy.y AS FiscalYear,
        2 AS Rk, 'PKG-ALT' || CAST(cy.o_custkey AS STRING) AS PackageId
 FROM {x_customer_years} cy
-WHERE cy.o_custkey % 3 = 0
+-- a second-ranked package where the year has several orders
+WHERE cy.n_orders >= 3
 """
 
 # --- renewal pool inputs -------------------------------------------------------
@@ -228,7 +231,8 @@ SELECT 'S' || CAST(o.o_orderkey AS STRING) AS Id,
        CASE WHEN o.o_orderkey % 7 = 0 THEN CAST(0 AS DECIMAL(19,4)) ELSE CAST(o.o_totalprice AS DECIMAL(19,4)) END AS SBQQ__ListPrice__c,
        'CN-' || CAST(o.o_orderkey AS STRING) AS DB_ContractNumber
 FROM {orders} o
-WHERE o.o_orderkey % 43 <> 0
+-- declined low-priority orders have no raw subscription record (inner join drops them)
+WHERE NOT (o.o_orderstatus = 'P' AND o.o_orderpriority = '5-LOW')
 """
 
 ADAPTERS["x_opportunities"] = """
@@ -237,7 +241,7 @@ SELECT 'OPP' || CAST(o.o_orderkey AS STRING) AS Id,
             ELSE 'C' || CAST(o.o_custkey AS STRING) || '-' || CAST(CAST(year(o.o_orderdate) AS INT) - 1 AS STRING) END AS SO_RenewedContract,
        'OPP' || CAST(lag(o.o_orderkey) OVER (PARTITION BY o.o_custkey ORDER BY o.o_orderdate, o.o_orderkey) AS STRING) AS Parent_Opportunity__c
 FROM {orders} o
-WHERE o.o_orderkey % 47 <> 0
+WHERE NOT (o.o_orderstatus = 'P' AND o.o_orderpriority = '1-URGENT')
 """
 
 ADAPTERS["x_program_renewals"] = """
@@ -281,14 +285,14 @@ SELECT 'SP' || CAST(o.o_orderkey AS STRING) AS Id,
             ELSE CAST(CAST(o.o_orderdate AS DATE) + 30 AS STRING) END AS Autorenewal_Notification_Date__c,
        CASE o.o_orderkey % 3 WHEN 0 THEN 'Green' WHEN 1 THEN 'Red' ELSE NULL END AS Account_Health_YV__c
 FROM {orders} o
-WHERE o.o_orderkey % 37 <> 0
+WHERE NOT (o.o_orderstatus = 'O' AND o.o_orderpriority = '2-HIGH')
 """
 
 ADAPTERS["x_program_subscriptions"] = """
 SELECT 'S' || CAST(o.o_orderkey AS STRING) AS ProgramSubSFID,
        'SUB-' || CAST(o.o_orderkey AS STRING) AS ProgramSubName
 FROM {orders} o
-WHERE o.o_orderkey % 3 <> 2
+WHERE o.o_orderpriority <> '3-MEDIUM'
 """
 
 ADAPTERS["x_programs"] = """
@@ -308,10 +312,12 @@ FROM {orders} o
 """
 
 ADAPTERS["x_standard_contracts"] = f"""
-SELECT DISTINCT {_CONTRACT} AS StandardContractSFID,
+SELECT {_CONTRACT} AS StandardContractSFID,
        'SC-' || CAST(o.o_custkey AS STRING) || '/' || CAST(CAST(year(o.o_orderdate) AS INT) AS STRING) AS ContractNumber
 FROM {{orders}} o
-WHERE (o.o_custkey + CAST(year(o.o_orderdate) AS INT)) % 10 <> 0
+GROUP BY o.o_custkey, CAST(year(o.o_orderdate) AS INT)
+-- a contract is on file only for a customer-year with a fulfilled order
+HAVING sum(CASE WHEN o.o_orderstatus = 'F' THEN 1 ELSE 0 END) > 0
 """
 
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
