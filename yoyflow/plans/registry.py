@@ -169,6 +169,11 @@ def q_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(duplicate_keys(li, ["l_orderkey", "l_linenumber"]))
 
 
+def q_pool_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pool = rp.build_pool(renewal_inputs(SparkInputs(spark, sf_dir)), TEST_PARAMS)
+    return present(duplicate_keys(pool, ["SourceObjectSFID"]))
+
+
 def renewal_queries() -> list[Query]:
     pool_final = "SELECT * FROM o_pool"
     return [
@@ -257,6 +262,15 @@ FROM x_program_renewals pr LEFT JOIN x_subscription_periods sp ON pr.SubPeriodSF
             ),
         ),
         Query("renewal_pool", q_renewal_pool, _renewal_sql("o_linked", "SELECT * FROM o_linked", POOL_KINDS)),
+        Query(
+            "pool_duplicate_keys",
+            q_pool_duplicate_keys,
+            _renewal_sql(
+                "o_pool",
+                "SELECT SourceObjectSFID, count(*) AS n_rows FROM o_pool GROUP BY SourceObjectSFID HAVING count(*) > 1",
+                "SourceObjectSFID:s, n_rows:i",
+            ),
+        ),
         Query(
             "duplicate_keys",
             q_duplicate_keys,

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from yoyflow.functions.keys import decode_client, decode_code, encode_key, key_length, year_suffix
 from yoyflow.functions.text import concat_null, eq_ci, like_ci, not_isin_ci
 from yoyflow.operators.allocate import alignment_stats, prior_contracted_pool
-from yoyflow.operators.audit import conservation
-from yoyflow.operators.rollforward import discount_counts
+from yoyflow.operators.audit import conservation, fanout_report
+from yoyflow.operators.rollforward import POOL_GROUP, discount_counts
 from yoyflow.plans import oracle_extract as ox
 from yoyflow.plans import revenue_extract as rx
 from yoyflow.plans.present import present, sql_present
@@ -35,7 +35,7 @@ _MONEY = {
 _INT = {
     "FiscalYear", "NBB", "OptOut_Ind", "Client_Current_Tenure_Index", "Client_NY_Tenure_Index", "Current_Tenure_Index",
     "Upcoming_Tenure_Index", "DiscountCurrent_Count", "PriorNonDiscount_Count", "n_rows", "key_length",
-    "is_cross_sell", "has_discount", "discount_prefix", "is_pending", "in_control_year",
+    "is_cross_sell", "has_discount", "discount_prefix", "is_pending", "in_control_year", "right_matches", "n_left_rows",
     *ox.STAT_COLUMNS[:8],
 }
 
@@ -271,8 +271,34 @@ FULL JOIN (SELECT {u}, sum(CV_Prior) AS allocated_value FROM o_contracted GROUP
   ON {' AND '.join(f'p.{c} = a.{c}' for c in unit)}""", audit_cols),
     ))
 
+    # How many alignment groups each control-year line meets (the source's own
+    # doubt about this join's uniqueness, measured from key counts only).
+    fan_keys = ["AccountID", "Audience", "Model_ProductGroup", "ClientCode", "CampaignCode"]
+
+    def q_fanout(spark, sf_dir):
+        st = _stages(spark, sf_dir, params)
+        lines = st.final.where(F.col("FiscalYear") == params.control_year)
+        stats = alignment_stats(st.final, params).select(
+            "AccountID", "Audience", "Model_ProductGroup",
+            decode_client("JobNumber", params.code_width, params.year_width).alias("ClientCode"),
+            decode_code("JobNumber", params.code_width).alias("CampaignCode"),
+        )
+        return present(fanout_report(lines, stats, fan_keys, fan_keys))
+
+    fk = ", ".join(fan_keys)
+    out.append((
+        "alignment_fanout", q_fanout,
+        _sql(params, "o_stats", f"""SELECT coalesce(r.right_matches, 0) AS right_matches, sum(l.n) AS n_left_rows
+FROM (SELECT {fk}, count(*) AS n FROM o_final WHERE FiscalYear = {params.control_year} GROUP BY {fk}) l
+LEFT JOIN (SELECT AccountID, Audience, Model_ProductGroup, {ox.dclient('JobNumber')} AS ClientCode,
+                  right(JobNumber, 2) AS CampaignCode, count(*) AS right_matches
+           FROM o_stats GROUP BY ALL) r
+  ON {' AND '.join(f'l.{c} = r.{c}' for c in fan_keys)}
+GROUP BY coalesce(r.right_matches, 0)""", ["right_matches", "n_left_rows"]),
+    ))
+
     pool_cols = [
-        *[c for c in __import__("yoyflow.operators.rollforward", fromlist=["POOL_GROUP"]).POOL_GROUP],
+        *POOL_GROUP,
         "CV_Prior", "ContactQuant_Prior", "PriorContracted_Account_Audience", "PackageId_Current",
         "PackageEngagementStatus_Current", "CurrentContracted_Account_Audience_ProductGroup", "DiscountCurrent_Count",
         "PriorNonDiscount_Count",
@@ -290,7 +316,6 @@ FULL JOIN (SELECT {u}, sum(CV_Prior) AS allocated_value FROM o_contracted GROUP
                 ["AccountID", "Account", "Audience", "CampaignCode", "Model_ProductGroup", "PriorNonDiscount_Count"], "o_pool")
 
     ex = rx.EXTRACT_COLUMNS
-    cy_tag = params.fy_tag(0)
 
     def branch(name: str, which: str) -> None:
         def run(spark, sf_dir):
@@ -323,7 +348,6 @@ FULL JOIN (SELECT {u}, sum(CV_Prior) AS allocated_value FROM o_contracted GROUP
        sum(CV_Current) AS sum_cv_current, sum(CV_Prior) AS sum_cv_prior
 FROM o_extract GROUP BY SourceTracker, EB_RevType, Secured_Classification""", union_cols),
     ))
-    _ = cy_tag
 
     def q_extract(spark, sf_dir):
         return present(rx.revenue_extract(extract_inputs(SparkInputs(spark, sf_dir)), params, materialize="table"))
