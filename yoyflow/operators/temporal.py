@@ -10,7 +10,10 @@ aggregation, and a single left join attaches all offsets at once.
 The pivot is only equivalent to the per-offset joins if the snapshot has one
 row per (entity, year).  With ``on_duplicate="fail"`` (default) the pivot
 counts rows per slot and the query fails at run time when a slot is
-duplicated -- no extra pass over the data, no driver round trip.  With
+duplicated -- no extra pass over the data, no driver round trip.  The check
+sits on the attached columns, so it fires whenever one of them is read; a
+query that reads none of them is unaffected by the duplicate anyway (the pivot
+never multiplies rows).  With
 ``on_duplicate="keep"`` the per-offset joins are used, reproducing the fan-out
 a duplicate causes in the source.
 """

@@ -73,10 +73,10 @@ def _stages(spark: SparkSession, sf_dir: str, params) -> rx.ExtractStages:
     return rx.stages(extract_inputs(SparkInputs(spark, sf_dir)), params, materialize="table")
 
 
-def _sql(params, upto: str | None, final: str, cols: Sequence[str]) -> str:
-    head = duckdb_with(EXTRACT_ADAPTERS)
+def _sql(params, upto: str | None, final: str, cols: Sequence[str], enr: str = "x_enrolment_packages") -> str:
+    head = duckdb_with([*EXTRACT_ADAPTERS, enr])
     if upto is not None:
-        head += ",\n" + ox.extract_ctes(params, upto)
+        head += ",\n" + ox.extract_ctes(params, upto, enr=enr)
     return sql_present(head + "\n" + final, spec(cols))
 
 
@@ -222,6 +222,17 @@ FROM (SELECT DISTINCT JobNumber, FiscalYear FROM x_program_lines) k""", key_cols
         "Client_NY_Tenure",
     ]
     stage_query("rollup_lines", "data", data_cols, "o_data")
+    def q_dup_snapshots(spark, sf_dir):
+        x = SparkInputs(spark, sf_dir)
+        inp = extract_inputs(x)
+        inp.enrolment_packages = x["x_enrolment_packages_dup"]
+        raw = rx.raw_cut(inp, params)
+        return present(rx.summarise(raw, inp, params, on_duplicate="keep").select(*data_cols))
+
+    out.append((
+        "rollup_duplicate_snapshots", q_dup_snapshots,
+        _sql(params, "o_data", f"SELECT {', '.join(data_cols)} FROM o_data", data_cols, enr="x_enrolment_packages_dup"),
+    ))
     stage_query("first_event_flag", "data",
                 ["AccountID", "CampaignCode", "Audience", "FiscalYear", "SignatureDate", "Campaign_First_Sign", "OppType"], "o_data")
     stage_query("year_offset_join", "data",

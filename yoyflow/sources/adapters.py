@@ -200,6 +200,14 @@ FROM {x_customer_years} cy
 WHERE cy.n_orders >= 3
 """
 
+# The same snapshot with its "Decision" rows duplicated: exercises the source's
+# fan-out when a snapshot slot is not unique (``on_duplicate="keep"``).
+ADAPTERS["x_enrolment_packages_dup"] = """
+SELECT * FROM {x_enrolment_packages}
+UNION ALL
+SELECT * FROM {x_enrolment_packages} WHERE RenewalType = 'Decision'
+"""
+
 # --- renewal pool inputs -------------------------------------------------------
 
 _CONTRACT = "'C' || CAST(o.o_custkey AS STRING) || '-' || CAST(CAST(year(o.o_orderdate) AS INT) AS STRING)"
