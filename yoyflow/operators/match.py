@@ -174,6 +174,17 @@ def probe_tier_rows(probes: DataFrame) -> DataFrame:
     )
 
 
+def _possible(candidates: DataFrame, probes: DataFrame) -> DataFrame:
+    """Drop candidates that start before every probe: they can match nothing.
+
+    The earliest probe day is a scalar subquery (one small aggregation; no
+    join), and the filter runs before the rank explosion -- with years of
+    subscription history and a pool of a few years it removes most candidates.
+    """
+    earliest = probes.select(F.min("day")).scalar()
+    return candidates.where(F.col("start") >= earliest)
+
+
 def best_match(probes: DataFrame, candidates: DataFrame) -> DataFrame:
     """Best candidate per probe id.
 
@@ -184,7 +195,7 @@ def best_match(probes: DataFrame, candidates: DataFrame) -> DataFrame:
     per probe id that has at least one candidate.  Several probe rows may share
     an id (the best over all of them is returned).
     """
-    cand = candidate_tier_rows(candidates)
+    cand = candidate_tier_rows(_possible(candidates, probes))
     prob = probe_tier_rows(probes)
     found = first_on_or_after(prob, cand, _KEYS, "_day", "_val", found="_found")
     # Per probe row and rank: the first candidate on or after the probe's day.
@@ -221,7 +232,7 @@ def candidate_counts(probes: DataFrame, candidates: DataFrame) -> DataFrame:
     range join would omit them).
     """
     keys = ["_acct", "_cls"]
-    cand = candidates.select(
+    cand = _possible(candidates, probes).select(
         F.col("account").alias("_acct"), F.col("class").alias("_cls"), F.col("start").alias("_day")
     )
     prob = probes.select(
