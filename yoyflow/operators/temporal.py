@@ -75,17 +75,27 @@ def year_offset_join_many(
     keys: Sequence[tuple[str, str]],
     line_year: str,
     on_duplicate: str = "fail",
+    line_years: Sequence[int] | None = None,
 ) -> DataFrame:
     """``year_offset_join`` for several snapshots keyed the same way.
 
     snapshots  (snapshot, its year column, attrs, name) -- the snapshot key
                columns are given by the second element of each ``keys`` pair.
 
+    ``line_years``, when the caller knows which years the lines carry, limits
+    each snapshot to the years some offset can reach (a plain ``IN`` on the
+    snapshot's year column, pushed into its scan).
+
     All snapshots are pivoted together into one table, so the large side is
     joined once.  A single join directly over its shuffles is also what lets
     adaptive execution split a hot entity across tasks; a chain of joins on
     the same key would reuse one partitioning and could not be split.
     """
+    if line_years is not None:
+        snapshots = [
+            (s.where(F.col(y).isin(sorted({ly + off for ly in line_years for off in a}))), y, a, n)
+            for s, y, a, n in snapshots
+        ]
     if on_duplicate == "keep":
         out = lines
         for snapshot, snap_year, attrs, _ in snapshots:

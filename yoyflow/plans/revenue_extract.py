@@ -305,7 +305,9 @@ def _attach_year_context(df: DataFrame, source: DataFrame, inp: ExtractInputs, p
             "other packages",
         ),
     ]
-    return year_offset_join_many(df, snapshots, keys, "FiscalYear", on_duplicate=on_duplicate)
+    return year_offset_join_many(
+        df, snapshots, keys, "FiscalYear", on_duplicate=on_duplicate, line_years=(params.prior_year, params.control_year)
+    )
 
 
 def repaired_job_number(params: RunParams) -> Column:
