@@ -174,18 +174,21 @@ def probe_tier_rows(probes: DataFrame) -> DataFrame:
     )
 
 
-def _possible(candidates: DataFrame, probes: DataFrame) -> DataFrame:
+def _possible(candidates: DataFrame, probes: DataFrame, earliest: Column | None) -> DataFrame:
     """Drop candidates that start before every probe: they can match nothing.
 
-    The earliest probe day is a scalar subquery (one small aggregation; no
-    join), and the filter runs before the rank explosion -- with years of
-    subscription history and a pool of a few years it removes most candidates.
+    ``earliest`` is any lower bound of the probe days -- callers pass a cheap
+    one (a scalar subquery over the table the probe days come from); without
+    it the bound is taken from the probes themselves.  The filter runs before
+    the rank explosion; with years of subscription history and a pool of a
+    few years it removes most candidates.
     """
-    earliest = probes.select(F.min("day")).scalar()
+    if earliest is None:
+        earliest = probes.select(F.min("day")).scalar()
     return candidates.where(F.col("start") >= earliest)
 
 
-def best_match(probes: DataFrame, candidates: DataFrame) -> DataFrame:
+def best_match(probes: DataFrame, candidates: DataFrame, earliest: Column | None = None) -> DataFrame:
     """Best candidate per probe id.
 
     probes:     probe_id, account, class, own_contract, own_program, day
@@ -195,7 +198,7 @@ def best_match(probes: DataFrame, candidates: DataFrame) -> DataFrame:
     per probe id that has at least one candidate.  Several probe rows may share
     an id (the best over all of them is returned).
     """
-    cand = candidate_tier_rows(_possible(candidates, probes))
+    cand = candidate_tier_rows(_possible(candidates, probes, earliest))
     prob = probe_tier_rows(probes)
     found = first_on_or_after(prob, cand, _KEYS, "_day", "_val", found="_found")
     # Per probe row and rank: the first candidate on or after the probe's day.
@@ -224,7 +227,7 @@ def best_match(probes: DataFrame, candidates: DataFrame) -> DataFrame:
     )
 
 
-def candidate_counts(probes: DataFrame, candidates: DataFrame) -> DataFrame:
+def candidate_counts(probes: DataFrame, candidates: DataFrame, earliest: Column | None = None) -> DataFrame:
     """Number of (probe, candidate) pairs per probe id, without listing pairs.
 
     The pair condition is: same account and class, candidate start on or after
@@ -232,7 +235,7 @@ def candidate_counts(probes: DataFrame, candidates: DataFrame) -> DataFrame:
     range join would omit them).
     """
     keys = ["_acct", "_cls"]
-    cand = _possible(candidates, probes).select(
+    cand = _possible(candidates, probes, earliest).select(
         F.col("account").alias("_acct"), F.col("class").alias("_cls"), F.col("start").alias("_day")
     )
     prob = probes.select(

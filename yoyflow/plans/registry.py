@@ -139,23 +139,23 @@ def _pool_and_cands(spark: SparkSession, sf_dir: str):
 
 def q_range_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     inp, pool, cands = _pool_and_cands(spark, sf_dir)
-    return present(rp.range_candidate_counts(pool, inp.cpq_subscriptions, cands))
+    return present(rp.range_candidate_counts(pool, inp.cpq_subscriptions, cands, rp.earliest_period(inp, TEST_PARAMS)))
 
 
 def q_best_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     inp, pool, cands = _pool_and_cands(spark, sf_dir)
-    return present(rp.best_matches(pool, inp.cpq_subscriptions, cands).drop("match_rank"))
+    return present(rp.best_matches(pool, inp.cpq_subscriptions, cands, rp.earliest_period(inp, TEST_PARAMS)).drop("match_rank"))
 
 
 def q_match_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     inp, pool, cands = _pool_and_cands(spark, sf_dir)
-    best = rp.best_matches(pool, inp.cpq_subscriptions, cands)
+    best = rp.best_matches(pool, inp.cpq_subscriptions, cands, rp.earliest_period(inp, TEST_PARAMS))
     return present(best.groupBy("MatchCat").agg(F.count(F.lit(1)).alias("n_pool_rows")))
 
 
 def q_update_from(spark: SparkSession, sf_dir: str) -> DataFrame:
     inp, pool, cands = _pool_and_cands(spark, sf_dir)
-    best = rp.best_matches(pool, inp.cpq_subscriptions, cands)
+    best = rp.best_matches(pool, inp.cpq_subscriptions, cands, rp.earliest_period(inp, TEST_PARAMS))
     out = rp.link_contracts(pool, best, inp.standard_contracts)
     return present(out.select("SourceObjectSFID", "StandardContractSFID_Proof", "StandardContractNum_Proof", "SCProof_Mapping"))
 

@@ -94,12 +94,23 @@ def notification_date(raw: str = "Autorenewal_Notification_Date__c"):
     return F.when(c == F.lit(NOTIFICATION_SENTINEL), F.lit(None).cast("date")).otherwise(c.try_cast("date"))
 
 
-def build_pool(inp: RenewalInputs, params: RunParams, keep_unused_joins: bool = False) -> DataFrame:
-    pr = inp.program_renewals.where(
+def pool_scope(renewals: DataFrame, params: RunParams) -> DataFrame:
+    """Renewable programs in scope: pool years, verticals, not void (NULL stage dropped)."""
+    return renewals.where(
         F.col("PoolYear_FY").isin(list(params.pool_years))
         & isin_ci("Class_3", params.pool_classes)
         & ~eq_ci("Stage", "void")
     )
+
+
+def earliest_period(inp: RenewalInputs, params: RunParams):
+    """Lower bound of every pool row's period start: a scalar subquery over one
+    column of the scoped renewals (no joins), used to prune match candidates."""
+    return pool_scope(inp.program_renewals, params).select(F.min("PeriodStartDate")).scalar()
+
+
+def build_pool(inp: RenewalInputs, params: RunParams, keep_unused_joins: bool = False) -> DataFrame:
+    pr = pool_scope(inp.program_renewals, params)
     seg = inp.account_segments.select(F.col("AccountSFID").alias("_seg_acct"), F.col("AccountSegment").alias("_acct_segment"))
     subs = inp.cpq_subscriptions.select(F.col("SubscriptionSFID").alias("SubscriptionSFID_Program"))
     periods = inp.subscription_periods.select(
@@ -240,9 +251,9 @@ def match_candidates(cands: DataFrame) -> DataFrame:
     )
 
 
-def best_matches(pool: DataFrame, subs: DataFrame, cands: DataFrame) -> DataFrame:
+def best_matches(pool: DataFrame, subs: DataFrame, cands: DataFrame, earliest=None) -> DataFrame:
     """SourceObjectSFID, StandardContractSFID, MatchCat (+ match_rank) of the best link."""
-    m = best_match(match_probes(pool, subs), match_candidates(cands))
+    m = best_match(match_probes(pool, subs), match_candidates(cands), earliest)
     return m.select(
         F.col("probe_id").alias("SourceObjectSFID"),
         F.col("contract").alias("StandardContractSFID"),
@@ -251,8 +262,8 @@ def best_matches(pool: DataFrame, subs: DataFrame, cands: DataFrame) -> DataFram
     )
 
 
-def range_candidate_counts(pool: DataFrame, subs: DataFrame, cands: DataFrame) -> DataFrame:
-    return candidate_counts(match_probes(pool, subs), match_candidates(cands)).select(
+def range_candidate_counts(pool: DataFrame, subs: DataFrame, cands: DataFrame, earliest=None) -> DataFrame:
+    return candidate_counts(match_probes(pool, subs), match_candidates(cands), earliest).select(
         F.col("probe_id").alias("SourceObjectSFID"), "n_candidates"
     )
 
@@ -279,5 +290,5 @@ def renewal_pool(inp: RenewalInputs, params: RunParams, materialize: str = "tabl
     check_inputs(vars(inp))
     cands = candidate_subscriptions(inp.cpq_subscriptions, inp.raw_subscriptions, inp.opportunities)
     pool = cut_lineage(build_pool(inp, params), materialize)  # read twice below
-    best = best_matches(pool, inp.cpq_subscriptions, cands)
+    best = best_matches(pool, inp.cpq_subscriptions, cands, earliest_period(inp, params))
     return link_contracts(pool, best, inp.standard_contracts)
