@@ -18,7 +18,7 @@ from pyspark.sql import SparkSession
 from yoyflow.params import RunParams
 from yoyflow.plans import renewal_pool as rp
 from yoyflow.plans import revenue_extract as rx
-from yoyflow.session import configure
+from yoyflow.session import configure, drop_stages
 from yoyflow.sources.io import read_inputs, write_extract, write_pool
 
 
@@ -39,6 +39,7 @@ def main(argv: list[str] | None = None) -> None:
         write_extract(rx.revenue_extract(rx.ExtractInputs(**frames), params), args.output)
     else:
         write_pool(rp.renewal_pool(rp.RenewalInputs(**frames), params), args.output)
+    drop_stages(spark)  # the result is written; the intermediate stage tables can go
 
 
 if __name__ == "__main__":

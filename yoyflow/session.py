@@ -71,8 +71,7 @@ def cut_lineage(df: DataFrame, how: str = "table") -> DataFrame:
     ``none``        leave the plan untouched.
     """
     if how == "table":
-        root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
-        path = f"{root}/yoyflow-stages/{uuid.uuid4().hex}"
+        path = f"{stage_root(df.sparkSession)}/{uuid.uuid4().hex}"
         df.write.mode("overwrite").parquet(path)
         return df.sparkSession.read.parquet(path)
     if how == "checkpoint":
@@ -92,6 +91,29 @@ def cut_lineage(df: DataFrame, how: str = "table") -> DataFrame:
     raise ValueError(f"unknown materialisation {how!r}")
 
 
+STAGE_FOLDER = "yoyflow-stages"
+
+
+def stage_root(spark: SparkSession) -> str:
+    """Folder of this application's stage tables (one per application, so
+    concurrent jobs sharing a checkpoint folder never touch each other's)."""
+    app = spark.sparkContext.applicationId
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{STAGE_FOLDER}/{app}"
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Delete this application's stage tables (call once the results are written).
+
+    Uses the Hadoop FileSystem of the checkpoint folder, so it works the same
+    on HDFS, object stores and local disk.
+    """
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(stage_root(spark))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        fs.delete(path, True)
+
+
 def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession:
     """Local session for tests and the benchmark (never used by the library)."""
     os.environ.setdefault("PYSPARK_PYTHON", "python")
