@@ -38,7 +38,6 @@ from yoyflow.functions.text import (
     like_ci,
     ne_ci_cols,
     not_isin_ci,
-    not_like_ci,
 )
 from yoyflow.operators.allocate import allocate_prior_value, alignment_stats, prior_contracted_pool
 from yoyflow.operators.groups import group_flag
