@@ -91,7 +91,7 @@ def _brute_best(probes, cands):
     return {pid: (v[0][0], v[1]) for pid, v in best.items()}
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("seed", [1, 2, 3, 4, 5, 6, 7, 8])
 def test_best_match_matches_brute_force(spark, seed):
     rnd = random.Random(seed)
     contracts = ["C1", "C2", "C3", "C4", None]

@@ -41,29 +41,30 @@ def first_on_or_after(
     candidates: DataFrame,
     keys: Sequence[str],
     day: str,
-    value: str,
+    value: str | Sequence[str],
     found: str = "found",
 ) -> DataFrame:
-    """Distinct probe (keys, day) -> smallest candidate ``value`` on or after ``day``.
+    """Distinct probe (keys, day) -> smallest candidate value on or after ``day``.
 
     ``probes`` needs ``keys`` + ``day``; ``candidates`` needs ``keys`` + ``day`` +
-    ``value`` (an orderable column, typically a struct whose first fields are
-    the tie-break).  Rows with a NULL key or day never match.
+    the value column(s) (orderable, typically structs whose first fields are
+    the tie-break).  With several value columns each is searched on its own
+    (NULL where a candidate has no value in that column) and the results are
+    ``found`` + "_" + column name; with one it is ``found``.  Rows with a NULL
+    key or day never match.
     """
+    values = [value] if isinstance(value, str) else list(value)
     cols = list(keys) + [day]
     cand = (
         candidates.where(_all_present(cols))
         .groupBy(*cols)
-        .agg(F.min(value).alias(value))
+        .agg(*[F.min(v).alias(v) for v in values])
         .withColumn("_probe", F.lit(0))
     )
-    prob = (
-        probes.where(_all_present(cols))
-        .select(*cols)
-        .distinct()
-        .withColumn(value, F.lit(None).cast(cand.schema[value].dataType))
-        .withColumn("_probe", F.lit(1))
-    )
+    prob = probes.where(_all_present(cols)).select(*cols).distinct()
+    for v in values:
+        prob = prob.withColumn(v, F.lit(None).cast(cand.schema[v].dataType))
+    prob = prob.withColumn("_probe", F.lit(1))
     # Descending days; on the same day candidates sort before the probe, so a
     # candidate on the probe's own day counts as "on or after".
     w = (
@@ -71,12 +72,11 @@ def first_on_or_after(
         .orderBy(F.col(day).desc(), F.col("_probe").asc())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return (
-        cand.unionByName(prob)
-        .withColumn(found, F.last(value, ignorenulls=True).over(w))
-        .where(F.col("_probe") == 1)
-        .select(*cols, found)
-    )
+    names = [found] if isinstance(value, str) else [f"{found}_{v}" for v in values]
+    out = cand.unionByName(prob)
+    for v, name in zip(values, names):
+        out = out.withColumn(name, F.last(v, ignorenulls=True).over(w))
+    return out.where(F.col("_probe") == 1).select(*cols, *names)
 
 
 def count_on_or_after(

@@ -42,8 +42,10 @@ its migrated prior is "2A (PHX)" exactly when its direct prior differs.)  The
 smallest rank with any candidate on or after the probe's day is the best label,
 and within it the as-of search returns the tie-break winner.  So each probe
 needs, per rank, the first candidate on or after its day under that rank's key:
-nine keyed forward as-of searches, done together as one (see ``asof``), whose
-per-key work is bounded by the calendar rather than by the group size.
+nine keyed forward as-of searches.  They run together as one (see ``asof``)
+over five probe key shapes -- ranks that look the probe up by the same key
+share a row and keep their results in separate value slots -- and the per-key
+work is bounded by the calendar rather than by the group size.
 """
 
 from __future__ import annotations
@@ -72,14 +74,23 @@ RANKED = sorted(CASE_ORDER)
 assert RANKED == [LABEL_1A, LABEL_1B, LABEL_2A_PHX, LABEL_2A, LABEL_2B_PHX, LABEL_2B, LABEL_3A, LABEL_3B, LABEL_3C]
 RANK_OF = {label: i + 1 for i, label in enumerate(RANKED)}
 
+# Probe key shapes.  Ranks 1, 3 and 4 all look the probe up by (own contract,
+# own program), ranks 2, 5 and 6 by its own contract: one probe row per shape
+# (5) instead of one per rank (9).  A candidate row still belongs to exactly
+# one rank; within a shape it fills the value slot of that rank.
+SHAPE_CP, SHAPE_C, SHAPE_PD, SHAPE_P, SHAPE_A = 1, 2, 3, 4, 5
+# shape -> ranks held in value slots 0, 1, 2
+SLOT_RANKS = {SHAPE_CP: (1, 3, 4), SHAPE_C: (2, 5, 6), SHAPE_PD: (7,), SHAPE_P: (8,), SHAPE_A: (9,)}
+SLOTS = ("_v0", "_v1", "_v2")
+
 # ``_kh`` hashes the rest of the key and leads every key list: sorts (window,
 # sort-merge join) then mostly compare one 64-bit prefix instead of strings.
 # The full key follows it, so a hash collision cannot merge two keys.
-_KEYS = ["_kh", "_tier", "_acct", "_cls", "_k1", "_k2"]
+_KEYS = ["_kh", "_shape", "_acct", "_cls", "_k1", "_k2"]
 
 
 def _with_key_hash(df: DataFrame) -> DataFrame:
-    return df.withColumn("_kh", F.xxhash64("_tier", "_acct", "_cls", "_k1", "_k2"))
+    return df.withColumn("_kh", F.xxhash64("_shape", "_acct", "_cls", "_k1", "_k2"))
 
 
 def _rank_label(rank: Column) -> Column:
@@ -89,35 +100,37 @@ def _rank_label(rank: Column) -> Column:
     return expr
 
 
-def _tier_rows(entries: list[tuple[int, Column, Column, Column]]) -> Column:
-    """Array of (tier, k1, k2) structs, NULL entries removed (NULL keys never match)."""
+def _keyed_rows(entries: list[tuple[int, int, Column, Column, Column]]) -> Column:
+    """Array of (shape, slot, k1, k2) structs, NULL entries removed (NULL keys never match)."""
     arr = F.array(
         *[
-            F.when(ok, F.struct(F.lit(t).alias("_tier"), k1.alias("_k1"), k2.alias("_k2")))
-            for t, k1, k2, ok in entries
+            F.when(ok, F.struct(F.lit(shape).alias("_shape"), F.lit(slot).alias("_slot"), k1.alias("_k1"), k2.alias("_k2")))
+            for shape, slot, k1, k2, ok in entries
         ]
     )
     return F.filter(arr, lambda x: x.isNotNull())
 
 
 def candidate_tier_rows(candidates: DataFrame) -> DataFrame:
-    """Explode each candidate into the rank keys it can be found under.
+    """Explode each candidate into the (shape, key) rows it can be found under,
+    its value in the slot of its rank.
 
     candidates: account, class, contract, prior, prior_phx, program, start, sub.
     """
     c = F.col
     empty = F.lit("")
     not_same_prior = ~F.coalesce(c("prior") == c("prior_phx"), F.lit(False))
+    has_prog = c("program").isNotNull()
     entries = [
-        (1, c("contract"), c("program"), c("contract").isNotNull() & c("program").isNotNull()),
-        (2, c("contract"), empty, c("contract").isNotNull()),
-        (3, c("prior_phx"), c("program"), c("prior_phx").isNotNull() & c("program").isNotNull() & not_same_prior),
-        (4, c("prior"), c("program"), c("prior").isNotNull() & c("program").isNotNull()),
-        (5, c("prior_phx"), empty, c("prior_phx").isNotNull() & not_same_prior),
-        (6, c("prior"), empty, c("prior").isNotNull()),
-        (7, c("program"), c("start").cast("string"), c("program").isNotNull()),
-        (8, c("program"), empty, c("program").isNotNull()),
-        (9, empty, empty, F.lit(True)),
+        (SHAPE_CP, 0, c("contract"), c("program"), c("contract").isNotNull() & has_prog),  # rank 1
+        (SHAPE_CP, 1, c("prior_phx"), c("program"), c("prior_phx").isNotNull() & has_prog & not_same_prior),  # rank 3
+        (SHAPE_CP, 2, c("prior"), c("program"), c("prior").isNotNull() & has_prog),  # rank 4
+        (SHAPE_C, 0, c("contract"), empty, c("contract").isNotNull()),  # rank 2
+        (SHAPE_C, 1, c("prior_phx"), empty, c("prior_phx").isNotNull() & not_same_prior),  # rank 5
+        (SHAPE_C, 2, c("prior"), empty, c("prior").isNotNull()),  # rank 6
+        (SHAPE_PD, 0, c("program"), c("start").cast("string"), has_prog),  # rank 7
+        (SHAPE_P, 0, c("program"), empty, has_prog),  # rank 8
+        (SHAPE_A, 0, empty, empty, F.lit(True)),  # rank 9
     ]
     value = F.struct(
         c("start").alias("start"),
@@ -126,22 +139,23 @@ def candidate_tier_rows(candidates: DataFrame) -> DataFrame:
         c("sub").isNull().alias("s_null"),
         c("sub").alias("sub"),
     )
-    return (
+    rows = (
         candidates.where(c("account").isNotNull() & c("class").isNotNull() & c("start").isNotNull())
         .select(
             c("account").alias("_acct"),
             c("class").alias("_cls"),
             c("start").alias("_day"),
             value.alias("_val"),
-            F.explode(_tier_rows(entries)).alias("_t"),
+            F.explode(_keyed_rows(entries)).alias("_t"),
         )
-        .select("_t._tier", "_acct", "_cls", "_t._k1", "_t._k2", "_day", "_val")
-        .transform(_with_key_hash)
+        .select("_t._shape", "_t._slot", "_acct", "_cls", "_t._k1", "_t._k2", "_day", "_val")
     )
+    slots = [F.when(F.col("_slot") == i, F.col("_val")).alias(name) for i, name in enumerate(SLOTS)]
+    return rows.select("_shape", "_acct", "_cls", "_k1", "_k2", "_day", *slots).transform(_with_key_hash)
 
 
 def probe_tier_rows(probes: DataFrame) -> DataFrame:
-    """Explode each probe into its nine rank keys.
+    """Explode each probe into its five key shapes.
 
     probes: probe_id, account, class, own_contract, own_program, day.
     """
@@ -150,15 +164,11 @@ def probe_tier_rows(probes: DataFrame) -> DataFrame:
     has_c = c("own_contract").isNotNull()
     has_p = c("own_program").isNotNull()
     entries = [
-        (1, c("own_contract"), c("own_program"), has_c & has_p),
-        (2, c("own_contract"), empty, has_c),
-        (3, c("own_contract"), c("own_program"), has_c & has_p),
-        (4, c("own_contract"), c("own_program"), has_c & has_p),
-        (5, c("own_contract"), empty, has_c),
-        (6, c("own_contract"), empty, has_c),
-        (7, c("own_program"), c("day").cast("string"), has_p),
-        (8, c("own_program"), empty, has_p),
-        (9, empty, empty, F.lit(True)),
+        (SHAPE_CP, 0, c("own_contract"), c("own_program"), has_c & has_p),
+        (SHAPE_C, 0, c("own_contract"), empty, has_c),
+        (SHAPE_PD, 0, c("own_program"), c("day").cast("string"), has_p),
+        (SHAPE_P, 0, c("own_program"), empty, has_p),
+        (SHAPE_A, 0, empty, empty, F.lit(True)),
     ]
     return (
         probes.where(c("account").isNotNull() & c("class").isNotNull() & c("day").isNotNull())
@@ -167,9 +177,9 @@ def probe_tier_rows(probes: DataFrame) -> DataFrame:
             c("account").alias("_acct"),
             c("class").alias("_cls"),
             c("day").alias("_day"),
-            F.explode(_tier_rows(entries)).alias("_t"),
+            F.explode(_keyed_rows(entries)).alias("_t"),
         )
-        .select("probe_id", "_t._tier", "_acct", "_cls", "_t._k1", "_t._k2", "_day")
+        .select("probe_id", "_t._shape", "_acct", "_cls", "_t._k1", "_t._k2", "_day")
         .transform(_with_key_hash)
     )
 
@@ -180,14 +190,24 @@ def _possible(candidates: DataFrame, probes: DataFrame, earliest: Column | None)
     ``earliest`` is any lower bound of the probe days -- callers pass a cheap
     one (a scalar subquery over the table the probe days come from); without
     it the bound is taken from the probes themselves.  The filter runs before
-    the rank explosion; with years of subscription history and a pool of a
-    few years it removes most candidates.
+    the explosion; with years of subscription history and a pool of a few
+    years it removes most candidates.
     """
     if earliest is None:
         earliest = probes.select(F.min("day")).scalar()
     return candidates.where(F.col("start") >= earliest)
 
 
+def _slot_rank(slot: int) -> Column:
+    """Rank held by value slot ``slot`` of the row's shape (NULL if none)."""
+    expr = None
+    for shape, ranks in SLOT_RANKS.items():
+        if slot < len(ranks):
+            cond = F.col("_shape") == shape
+            expr = F.when(cond, F.lit(ranks[slot])) if expr is None else expr.when(cond, F.lit(ranks[slot]))
+    return expr
+
+
 def best_match(probes: DataFrame, candidates: DataFrame, earliest: Column | None = None) -> DataFrame:
     """Best candidate per probe id.
 
@@ -200,23 +220,29 @@ def best_match(probes: DataFrame, candidates: DataFrame, earliest: Column | None
     """
     cand = candidate_tier_rows(_possible(candidates, probes, earliest))
     prob = probe_tier_rows(probes)
-    found = first_on_or_after(prob, cand, _KEYS, "_day", "_val", found="_found")
-    # Per probe row and rank: the first candidate on or after the probe's day.
-    # The best over all rows of a probe id is the smallest
+    found = first_on_or_after(prob, cand, _KEYS, "_day", list(SLOTS), found="_f")
+    # Per probe row and shape: the first candidate on or after the probe's day
+    # in each slot.  The best over all rows of a probe id is the smallest
     # (rank, start, contract, subscription), NULL ids last.
-    hits = prob.join(found, _KEYS + ["_day"], "inner").where(F.col("_found").isNotNull())
-    ranked = hits.select(
-        "probe_id",
-        F.struct(
-            F.col("_tier").alias("rank"),
-            F.col("_found.start").alias("start"),
-            F.col("_found.c_null").alias("c_null"),
-            F.col("_found.contract").alias("contract"),
-            F.col("_found.s_null").alias("s_null"),
-            F.col("_found.sub").alias("sub"),
-        ).alias("_best"),
-    )
-    best = ranked.groupBy("probe_id").agg(F.min("_best").alias("_best"))
+    hits = prob.join(found, _KEYS + ["_day"], "inner")
+
+    def ranked(slot: int) -> Column:
+        f = F.col(f"_f_{SLOTS[slot]}")
+        return F.when(
+            f.isNotNull(),
+            F.struct(
+                _slot_rank(slot).alias("rank"),
+                f["start"].alias("start"),
+                f["c_null"].alias("c_null"),
+                f["contract"].alias("contract"),
+                f["s_null"].alias("s_null"),
+                f["sub"].alias("sub"),
+            ),
+        )
+
+    best_row = F.least(*[ranked(i) for i in range(len(SLOTS))])
+    best = hits.select("probe_id", best_row.alias("_best")).where(F.col("_best").isNotNull())
+    best = best.groupBy("probe_id").agg(F.min("_best").alias("_best"))
     return best.select(
         "probe_id",
         F.col("_best.contract").alias("contract"),
