@@ -60,3 +60,13 @@ def test_rule_coverage(spark, st):
     assert {"Discount Allocation", "Cross-sell Discount", "Up-sell Discount", "Discount", "Cost Movement", "Re-engagement"} <= types
     eb = {r[0] for r in st.extract.select("EB_RevType").distinct().collect()}
     assert {"Lost Client", "Campaign Drop", "New Sale", "Pending Renewal", "Discount Drop"} <= eb
+
+
+def test_every_match_tier_wins_somewhere(spark):
+    from yoyflow.operators.match import CASE_ORDER
+
+    inp = renewal_inputs(SparkInputs(spark, "/root/testdata/sf0.01"))
+    pool = rp.build_pool(inp, TEST_PARAMS)
+    cands = rp.candidate_subscriptions(inp.cpq_subscriptions, inp.raw_subscriptions, inp.opportunities)
+    best = rp.best_matches(pool, inp.cpq_subscriptions, cands, rp.earliest_period(inp, TEST_PARAMS))
+    assert {r[0] for r in best.select("MatchCat").distinct().collect()} == set(CASE_ORDER)

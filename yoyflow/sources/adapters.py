@@ -9,8 +9,9 @@ Placeholders ``{name}`` refer to a base table or to another adapter.  On Spark
 they are bound to DataFrames (``spark.sql(text, name=df)``); for DuckDB they
 are replaced by CTE / view names.
 
-Only row-local expressions, equi-joins, GROUP BY and simple windows over a
-customer are used, so every adapter scales with its input.  The rules that
+Only row-local expressions, equi-joins and GROUP BY are used (no windows, no
+pairs), so every adapter scales with its input and no customer is processed
+in one task.  The rules that
 inject NULLs, mixed letter case, short keys, duplicate-free snapshots and so on
 are deterministic functions of the source keys.
 """
@@ -148,16 +149,21 @@ FROM {lineitem} l
 # One row per (customer, order year) with what the package snapshots derive from.
 ADAPTERS["x_customer_years"] = f"""
 SELECT g.o_custkey, g.y, g.min_priority, g.n_orders, g.n_declined, g.first_date,
-       CAST(g.y - min(g.y) OVER (PARTITION BY g.o_custkey) AS INT) AS tenure,
-       min(g.first_date) OVER (PARTITION BY g.o_custkey) AS customer_first_date,
+       CAST(g.y - f.first_year AS INT) AS tenure,
+       f.customer_first_date,
        {_DERIVED_AUDIENCE} AS audience
 FROM (
   SELECT o.o_custkey, CAST(year(o.o_orderdate) AS INT) AS y, min(o.o_orderpriority) AS min_priority,
-         count(*) AS n_orders, sum(CASE WHEN o.o_orderstatus = 'P' THEN 1 ELSE 0 END) AS n_declined,
+         count(*) AS n_orders, CAST(sum(CASE WHEN o.o_orderstatus = 'P' THEN 1 ELSE 0 END) AS INT) AS n_declined,
          min(o.o_orderdate) AS first_date
   FROM {{orders}} o
   GROUP BY o.o_custkey, CAST(year(o.o_orderdate) AS INT)
 ) g
+JOIN (
+  SELECT o.o_custkey, CAST(min(year(o.o_orderdate)) AS INT) AS first_year, min(o.o_orderdate) AS customer_first_date
+  FROM {{orders}} o
+  GROUP BY o.o_custkey
+) f ON g.o_custkey = f.o_custkey
 JOIN {{customer}} c ON g.o_custkey = c.c_custkey
 """
 
@@ -243,12 +249,19 @@ FROM {orders} o
 WHERE NOT (o.o_orderstatus = 'P' AND o.o_orderpriority = '5-LOW')
 """
 
+# The parent opportunity of an order is the customer's first order of the
+# previous year (an aggregate and an equi-join; no window over a customer).
 ADAPTERS["x_opportunities"] = """
 SELECT 'OPP' || CAST(o.o_orderkey AS STRING) AS Id,
        CASE WHEN o.o_orderkey % 13 = 0 THEN NULL
             ELSE 'C' || CAST(o.o_custkey AS STRING) || '-' || CAST(CAST(year(o.o_orderdate) AS INT) - 1 AS STRING) END AS SO_RenewedContract,
-       'OPP' || CAST(lag(o.o_orderkey) OVER (PARTITION BY o.o_custkey ORDER BY o.o_orderdate, o.o_orderkey) AS STRING) AS Parent_Opportunity__c
+       'OPP' || CAST(p.first_order AS STRING) AS Parent_Opportunity__c
 FROM {orders} o
+LEFT JOIN (
+  SELECT o2.o_custkey, CAST(year(o2.o_orderdate) AS INT) AS y, min(o2.o_orderkey) AS first_order
+  FROM {orders} o2
+  GROUP BY o2.o_custkey, CAST(year(o2.o_orderdate) AS INT)
+) p ON p.o_custkey = o.o_custkey AND p.y = CAST(year(o.o_orderdate) AS INT) - 1
 WHERE NOT (o.o_orderstatus = 'P' AND o.o_orderpriority = '1-URGENT')
 """
 
