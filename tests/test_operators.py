@@ -207,3 +207,31 @@ def test_audits(spark):
     alloc = spark.createDataFrame([("u", 4.0), ("u", 4.0), ("w", 1.0)], "k string, x double")
     res = {r.k: r.residual for r in conservation(pool, alloc, ["k"], "x", "x").collect()}
     assert res == {"u": 2.0, "v": 5.0, "w": -1.0}
+
+
+@pytest.mark.parametrize("seed", [11, 12, 13])
+def test_tier_pair_counts_match_brute_force(spark, seed):
+    from yoyflow.operators.match import tier_pair_counts
+
+    rnd = random.Random(seed)
+    contracts = ["C1", "C2", "C3", None]
+    progs = ["P1", "P2", None]
+    cands = [
+        (rnd.choice("xy"), "A", rnd.choice(contracts), rnd.choice(contracts), rnd.choice(contracts),
+         rnd.choice(progs), _day(rnd.randint(0, 8)), f"S{i}")
+        for i in range(150)
+    ]
+    probes = [
+        (f"R{i}", rnd.choice("xy"), "A", rnd.choice(contracts), rnd.choice(progs), _day(rnd.randint(0, 8)))
+        for i in range(50)
+    ]
+    cdf = spark.createDataFrame(cands, "account string, class string, contract string, prior string, prior_phx string, program string, start date, sub string")
+    pdf = spark.createDataFrame(probes, "probe_id string, account string, class string, own_contract string, own_program string, day date")
+    got = {r.MatchCat: r.n_pairs for r in tier_pair_counts(pdf, cdf).collect()}
+    want = {}
+    for pr in probes:
+        for ca in cands:
+            if ca[0] == pr[1] and ca[1] == pr[2] and ca[6] >= pr[5]:
+                lab = _label(pr, ca)
+                want[lab] = want.get(lab, 0) + 1
+    assert got == want

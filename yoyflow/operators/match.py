@@ -274,3 +274,121 @@ def candidate_counts(probes: DataFrame, candidates: DataFrame, earliest: Column
         .agg(F.sum("_n").alias("n_candidates"))
         .where(F.col("n_candidates") > 0)
     )
+
+
+# --- pairs per tier, without listing pairs -------------------------------------------
+#
+# For a probe, let C, P, H be "the candidate's contract / prior / migrated prior
+# equals the probe's own contract", G "same program" and D "same start day".
+# Every label is a Boolean combination of these (see the CASE order above):
+#   1A  C & G          1B  C & ~G          2A  ~C & P & G     2A(PHX) ~C & ~P & H & G
+#   2B  ~C & P & ~G    2B(PHX) ~C & ~P & H & ~G
+#   3A  ~C & ~P & ~H & G & D    3B  ~C & ~P & ~H & G & ~D    3C  ~C & ~P & ~H & ~G
+# so its pair count is an inclusion-exclusion sum of f(M, g, d): the number of
+# candidates on or after the probe's day whose fields in M (a subset of
+# {contract, prior, migrated prior}) all equal the probe's contract, with the
+# same program if g and the same day if d.  Each f is a keyed as-of count
+# (``count_on_or_after``): M's fields equal to each other is a candidate-local
+# filter, the common value is the key.  24 terms (8 subsets x 3), all counted in
+# one pass, summed over probes per term, then combined per label.
+
+_FIELDS = ("contract", "prior", "prior_phx")  # C, P, H
+
+
+def _subsets():
+    for bits in range(8):
+        yield tuple(f for i, f in enumerate(_FIELDS) if bits >> i & 1)
+
+
+_TERMS = [(m, g, d) for m in _subsets() for g, d in ((0, 0), (1, 0), (1, 1))]
+_TERM_ID = {t: i for i, t in enumerate(_TERMS)}
+
+
+def _signed(g: int, d: int, fixed=(), excluded=()):
+    """Inclusion-exclusion: fields in ``fixed`` must hold, in ``excluded`` must not."""
+    out: dict[int, int] = {}
+    free = [f for f in excluded]
+    for bits in range(1 << len(free)):
+        extra = tuple(f for i, f in enumerate(free) if bits >> i & 1)
+        m = tuple(f for f in _FIELDS if f in fixed or f in extra)
+        out[_TERM_ID[(m, g, d)]] = out.get(_TERM_ID[(m, g, d)], 0) + (-1) ** len(extra)
+    return out
+
+
+def _minus(a: dict[int, int], b: dict[int, int]) -> dict[int, int]:
+    out = dict(a)
+    for k, v in b.items():
+        out[k] = out.get(k, 0) - v
+    return out
+
+
+def label_coefficients() -> dict[str, dict[int, int]]:
+    """Label -> {term id: coefficient} (derived from the rules above, not tabulated)."""
+    C, P, H = _FIELDS
+    a_phx = _signed(1, 0, fixed=(H,), excluded=(C, P))
+    none_g = _signed(1, 0, excluded=(C, P, H))
+    none_gd = _signed(1, 1, excluded=(C, P, H))
+    return {
+        LABEL_1A: _signed(1, 0, fixed=(C,)),
+        LABEL_1B: _minus(_signed(0, 0, fixed=(C,)), _signed(1, 0, fixed=(C,))),
+        LABEL_2A: _signed(1, 0, fixed=(P,), excluded=(C,)),
+        LABEL_2A_PHX: a_phx,
+        LABEL_2B: _minus(_signed(0, 0, fixed=(P,), excluded=(C,)), _signed(1, 0, fixed=(P,), excluded=(C,))),
+        LABEL_2B_PHX: _minus(_signed(0, 0, fixed=(H,), excluded=(C, P)), a_phx),
+        LABEL_3A: none_gd,
+        LABEL_3B: _minus(none_g, none_gd),
+        LABEL_3C: _minus(_signed(0, 0, excluded=(C, P, H)), none_g),
+    }
+
+
+def _term_rows(df: DataFrame, probe: bool) -> DataFrame:
+    c = F.col
+    empty = F.lit("")
+    day = c("day") if probe else c("start")
+    own_c = c("own_contract") if probe else None
+    prog = c("own_program") if probe else c("program")
+    entries = []
+    for (m, g, d), tid in _TERM_ID.items():
+        ok = F.lit(True)
+        if m:
+            if probe:
+                k1 = own_c
+                ok = ok & own_c.isNotNull()
+            else:
+                k1 = c(m[0])
+                for f in m:
+                    ok = ok & c(f).isNotNull() & (c(f) == c(m[0]))
+        else:
+            k1 = empty
+        k2 = prog if g else empty
+        if g:
+            ok = ok & prog.isNotNull()
+        k3 = day.cast("string") if d else empty
+        entries.append(F.when(ok, F.struct(F.lit(tid).alias("_term"), k1.alias("_k1"), k2.alias("_k2"), k3.alias("_k3"))))
+    rows = F.filter(F.array(*entries), lambda x: x.isNotNull())
+    base = df.where(c("account").isNotNull() & c("class").isNotNull() & day.isNotNull())
+    return base.select(
+        c("account").alias("_acct"), c("class").alias("_cls"), day.alias("_day"), F.explode(rows).alias("_t")
+    ).select("_t._term", "_acct", "_cls", "_t._k1", "_t._k2", "_t._k3", "_day")
+
+
+def tier_pair_counts(probes: DataFrame, candidates: DataFrame, earliest: Column | None = None) -> DataFrame:
+    """Number of (probe, candidate) pairs per tier label -- the histogram of the
+    full pair table -- computed from keyed counts, never from the pairs.
+
+    Returns (MatchCat, n_pairs) for labels with at least one pair.
+    """
+    keys = ["_term", "_acct", "_cls", "_k1", "_k2", "_k3"]
+    cand = _term_rows(_possible(candidates, probes, earliest), probe=False)
+    prob = _term_rows(probes, probe=True)
+    counts = count_on_or_after(prob, cand, keys, "_day", found="_n")
+    totals = prob.join(counts, keys + ["_day"], "inner").groupBy("_term").agg(F.sum("_n").alias("_total"))
+    coef_rows = [(label, tid, k) for label, co in label_coefficients().items() for tid, k in co.items() if k]
+    coefs = probes.sparkSession.createDataFrame(coef_rows, "MatchCat string, _term int, _coef int")
+    return (
+        F.broadcast(coefs)  # at most 9 x 24 literal rows
+        .join(totals, "_term")
+        .groupBy("MatchCat")
+        .agg(F.sum(F.col("_coef") * F.col("_total")).alias("n_pairs"))
+        .where(F.col("n_pairs") > 0)
+    )

@@ -153,6 +153,11 @@ def q_match_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(best.groupBy("MatchCat").agg(F.count(F.lit(1)).alias("n_pool_rows")))
 
 
+def q_match_pair_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inp, pool, cands = _pool_and_cands(spark, sf_dir)
+    return present(rp.pair_tier_histogram(pool, inp.cpq_subscriptions, cands, rp.earliest_period(inp, TEST_PARAMS)))
+
+
 def q_update_from(spark: SparkSession, sf_dir: str) -> DataFrame:
     inp, pool, cands = _pool_and_cands(spark, sf_dir)
     best = rp.best_matches(pool, inp.cpq_subscriptions, cands, rp.earliest_period(inp, TEST_PARAMS))
@@ -252,6 +257,15 @@ FROM x_program_renewals pr LEFT JOIN x_subscription_periods sp ON pr.SubPeriodSF
                 "MatchCat:s, n_pool_rows:i",
             ),
         ),
+        Query(
+            "match_pair_tiers",
+            q_match_pair_tiers,
+            _renewal_sql(
+                "o_pairs",
+                "SELECT MatchCat, count(*) AS n_pairs FROM o_pairs GROUP BY MatchCat",
+                "MatchCat:s, n_pairs:i",
+            ),
+        ),
         Query(
             "update_from",
             q_update_from,

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from yoyflow.functions.rules import Rule, classify
 from yoyflow.functions.text import eq_ci, isin_ci, like_ci, not_like_ci
 from yoyflow.operators.groups import distinct_indicator, parent_hop
-from yoyflow.operators.match import best_match, candidate_counts
+from yoyflow.operators.match import best_match, candidate_counts, tier_pair_counts
 from yoyflow.operators.patch import update_from
 from yoyflow.params import RunParams
 from yoyflow.session import cut_lineage
@@ -268,6 +268,11 @@ def range_candidate_counts(pool: DataFrame, subs: DataFrame, cands: DataFrame, e
     )
 
 
+def pair_tier_histogram(pool: DataFrame, subs: DataFrame, cands: DataFrame, earliest=None) -> DataFrame:
+    """(MatchCat, n_pairs): how many (pool row, candidate) pairs carry each label."""
+    return tier_pair_counts(match_probes(pool, subs), match_candidates(cands), earliest)
+
+
 def link_contracts(pool: DataFrame, best: DataFrame, contracts: DataFrame, on_duplicate: str = "fail") -> DataFrame:
     """Patch the proof columns of pool rows whose best link has a known contract."""
     sc = contracts.select(
