@@ -116,3 +116,57 @@ def test_notification_date_parse(spark):
 def test_year_bearing_labels_follow_control_year():
     assert P.fy_tag(0) == "FY24" and P.fy_tag(-1) == "FY23"
     assert RunParams(control_year=2030).fy_tag(0) == "FY30"
+
+
+# --- renewal pool blocks -------------------------------------------------------------
+
+from yoyflow.plans import renewal_pool as rp  # noqa: E402
+
+
+def test_segment_and_program_labels(spark):
+    df = spark.createDataFrame(
+        [("KDA East", "Moonshot Hub", "2 Year"), ("kda", "the moonshot x", "1 Year"), ("Other%", "Core", None),
+         ("Other Segment", "Moonshot", None), (None, None, "2 Year")],
+        "AccountSegment string, ReportingGroup string, Seg2 string",
+    )
+    got = [tuple(r) for r in df.select(rp.segment_label("AccountSegment"), F.col("ReportingGroup")).collect()]
+    assert [g[0] for g in got] == ["KDA", "KDA", "Others", "Other Segment", None]
+    prog = df.select(F.col("Seg2").alias("AccountSegment"), "ReportingGroup").select(rp.program_label())
+    # hub tiers use the renewal's own segment; a NULL segment keeps the group name
+    assert [r[0] for r in prog.collect()] == ["Tier 1 Hub", "Tier 2 Hub", "Core", "Moonshot", None]
+
+
+def test_auto_renew_and_proposal_value(spark):
+    rows = [
+        ("Need Renewal Contract", "yes", "Research", "Pending", 10, 20),
+        ("Fixed Term - 2yr", "Yes", "Research", "pending", 10, 20),
+        ("Decision", "Yes", "Research", "Pending", 10, 20),
+        ("Decision", None, "Technology", "Pending", 10, 20),
+    ]
+    df = spark.createDataFrame(rows, "DecisionType string, Autorenew__c string, Class_3 string, Stage string, ProposalValue int, AnticipatedRenewalCredit int")
+    got = [(r[0], float(r[1])) for r in df.select(rp.auto_renew(), rp.proposal_value()).collect()]
+    assert got == [(1, 10.0), (0, 0.0), (0, 10.0), (0, 20.0)]
+
+
+def test_renewal_credit_branches_and_notification_dates(spark):
+    params = RunParams(control_year=2024, as_of="2024-06-30 08:00:00")
+    base = ("VTVT", "Need Renewal Contract", "Won", None, "Yes", 0, 100)
+    cols = ("Class_2 string, DecisionType string, Stage string, RenewalHealth string, Autorenew__c string, "
+            "RenewalCredit int, ProposalValue int, Class_3 string, Projection_80_50 string, "
+            "Autorenewal_Notification_Date__c string")
+    rows = [
+        ("X", "Fixed Term", "Pending", None, None, 7, 100, "Research", "80", None),  # 80 -> proposal
+        ("X", "fixed term x", "Pending", None, None, 7, 100, "Research", "50", None),  # 50 -> half
+        (*base, "Technology", None, "2024-06-29"),  # overdue -> proposal
+        (*base, "Technology", None, "2024-06-30"),  # the as-of day counts as overdue after midnight
+        (*base, "Technology", None, "2024-07-01"),  # future -> credit
+        (*base, "Technology", None, "//"),  # sentinel -> no date -> credit
+        (*base, "Technology", None, None),  # NULL -> credit
+        (*base, "Technology", None, "n/a"),  # malformed -> no date -> credit
+        ("VTVT", "Need Renewal Contract", "Dropped", None, "Yes", 0, 100, "Technology", None, "2024-01-01"),  # %Drop%
+        ("VTVT", "Need Renewal Contract", "Won", "drop", "Yes", 0, 100, "Technology", None, "2024-01-01"),  # health Drop
+        ("VTVT", "Need Renewal Contract", "Won", "Good", "Yes", 5, 100, "Technology", None, "2024-01-01"),  # credit != 0
+    ]
+    df = spark.createDataFrame([(*r[:7], *r[7:]) for r in rows], cols)
+    got = [float(r[0]) for r in df.select(rp.renewal_credit(params)).collect()]
+    assert got == [100.0, 50.0, 100.0, 100.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 5.0]

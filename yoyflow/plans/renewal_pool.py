@@ -109,6 +109,71 @@ def earliest_period(inp: RenewalInputs, params: RunParams):
     return pool_scope(inp.program_renewals, params).select(F.min("PeriodStartDate")).scalar()
 
 
+def _fixed_term():
+    return like_ci("DecisionType", "Fixed Term%")
+
+
+def segment_label(segment: str = "AccountSegment"):
+    """KDA* -> KDA; the literal 'Other%' (an equality, not a pattern) -> Others."""
+    return classify(
+        [Rule(like_ci(segment, "KDA%"), "KDA"), Rule(eq_ci(segment, "Other%"), "Others")],
+        F.col(segment),
+    )
+
+
+def program_label():
+    """Moonshot hubs split by the renewal's own segment; otherwise the reporting group."""
+    moonshot = like_ci("ReportingGroup", "%Moonshot%")
+    return classify(
+        [
+            Rule(moonshot & eq_ci("AccountSegment", "2 Year"), "Tier 1 Hub"),
+            Rule(moonshot & ~eq_ci("AccountSegment", "2 Year"), "Tier 2 Hub"),
+        ],
+        F.col("ReportingGroup"),
+    )
+
+
+def auto_renew(autorenew: str = "Autorenew__c"):
+    return F.when(eq_ci("DecisionType", "Need Renewal Contract") & eq_ci(autorenew, "Yes"), 1).otherwise(0)
+
+
+def proposal_value():
+    research, pending = eq_ci("Class_3", "Research"), eq_ci("Stage", "Pending")
+    return classify(
+        [
+            Rule(research & pending & _fixed_term(), F.lit(0).cast("decimal(19,4)")),
+            Rule(research & pending, F.col("ProposalValue")),
+        ],
+        F.col("AnticipatedRenewalCredit"),
+    )
+
+
+def renewal_credit(params: RunParams, autorenew: str = "Autorenew__c"):
+    """Probability-weighted credit: 80 -> full proposal, 50 -> half; an overdue
+    auto-renewing VTVT contract still needing renewal -> the proposal."""
+    c = F.col
+    fixed, pending, research = _fixed_term(), eq_ci("Stage", "Pending"), eq_ci("Class_3", "Research")
+    # a notification date on the as-of day is overdue from midnight on (DATE widens to a timestamp)
+    overdue = notification_date().cast("timestamp_ntz") < params.as_of_col()
+    return classify(
+        [
+            Rule(fixed & pending & research & (c("Projection_80_50") == "80"), c("ProposalValue")),
+            Rule(fixed & pending & research & (c("Projection_80_50") == "50"), c("ProposalValue") * F.lit(0.5).cast("decimal(2,1)")),
+            Rule(
+                eq_ci("Class_2", "VTVT")
+                & eq_ci("DecisionType", "Need Renewal Contract")
+                & not_like_ci("Stage", "%Drop%")
+                & (c("RenewalHealth").isNull() | ~eq_ci("RenewalHealth", "Drop"))
+                & eq_ci(autorenew, "Yes")
+                & (c("RenewalCredit") == 0)
+                & overdue,
+                c("ProposalValue"),
+            ),
+        ],
+        c("RenewalCredit"),
+    )
+
+
 def build_pool(inp: RenewalInputs, params: RunParams, keep_unused_joins: bool = False) -> DataFrame:
     pr = pool_scope(inp.program_renewals, params)
     seg = inp.account_segments.select(F.col("AccountSFID").alias("_seg_acct"), F.col("AccountSegment").alias("_acct_segment"))
@@ -149,10 +214,6 @@ def build_pool(inp: RenewalInputs, params: RunParams, keep_unused_joins: bool =
     p = distinct_indicator(p, shared, ["AccountSFID", "PoolYear_FY"], ["AccountID", "FiscalYear"], "_shared_ind")
 
     c = F.col
-    fixed_term = like_ci("DecisionType", "Fixed Term%")
-    pending = eq_ci("Stage", "Pending")
-    research = eq_ci("Class_3", "Research")
-    overdue = notification_date().cast("timestamp_ntz") < params.as_of_col()
     return p.select(
         c("Class_3").alias("Vertical"),
         c("Class_2").alias("ProductGroup"),
@@ -160,55 +221,18 @@ def build_pool(inp: RenewalInputs, params: RunParams, keep_unused_joins: bool =
         "SourceObjectName",
         "AccountSFID",
         "AccountName",
-        classify(
-            [
-                Rule(like_ci("_acct_segment", "KDA%"), "KDA"),
-                # equality with a literal that merely looks like a pattern
-                Rule(eq_ci("_acct_segment", "Other%"), "Others"),
-            ],
-            c("_acct_segment"),
-        ).alias("AccountSegment"),
+        segment_label("_acct_segment").alias("AccountSegment"),
         F.when(c("_shared_ind") == 1, "Shared").otherwise("Standalone").alias("SharedUG_Ind"),
-        classify(
-            [
-                Rule(like_ci("ReportingGroup", "%Moonshot%") & eq_ci("AccountSegment", "2 Year"), "Tier 1 Hub"),
-                Rule(like_ci("ReportingGroup", "%Moonshot%") & ~eq_ci("AccountSegment", "2 Year"), "Tier 2 Hub"),
-            ],
-            c("ReportingGroup"),
-        ).alias("Program"),
+        program_label().alias("Program"),
         c("ProgramAcronym").alias("Acronym"),
-        F.when(fixed_term, "Fixed Term").otherwise(c("DecisionType")).alias("DecisionType"),
-        F.when(eq_ci("DecisionType", "Need Renewal Contract") & eq_ci("_autorenew", "Yes"), 1)
-        .otherwise(0)
-        .alias("AutoRenew"),
+        F.when(_fixed_term(), F.lit("Fixed Term")).otherwise(c("DecisionType")).alias("DecisionType"),
+        auto_renew("_autorenew").alias("AutoRenew"),
         "Stage",
         "PreviousYearCredit",
-        classify(
-            [
-                Rule(research & pending & fixed_term, F.lit(0).cast("decimal(19,4)")),
-                Rule(research & pending, c("ProposalValue")),
-            ],
-            c("AnticipatedRenewalCredit"),
-        ).alias("ProposalValue"),
-        classify(
-            [
-                Rule(fixed_term & pending & research & (c("Projection_80_50") == "80"), c("ProposalValue")),
-                Rule(fixed_term & pending & research & (c("Projection_80_50") == "50"), c("ProposalValue") * F.lit(0.5).cast("decimal(2,1)")),
-                Rule(
-                    eq_ci("Class_2", "VTVT")
-                    & eq_ci("DecisionType", "Need Renewal Contract")
-                    & not_like_ci("Stage", "%Drop%")
-                    & (c("RenewalHealth").isNull() | ~eq_ci("RenewalHealth", "Drop"))
-                    & eq_ci("_autorenew", "Yes")
-                    & (c("RenewalCredit") == 0)
-                    & overdue,
-                    c("ProposalValue"),
-                ),
-            ],
-            c("RenewalCredit"),
-        ).alias("RenewalCredit"),
+        proposal_value().alias("ProposalValue"),
+        renewal_credit(params, "_autorenew").alias("RenewalCredit"),
         "AccountHealth",
-        F.when(pending, c("RenewalHealth")).alias("RenewalHealth"),
+        F.when(eq_ci("Stage", "Pending"), c("RenewalHealth")).alias("RenewalHealth"),
         "PoolDate",
         "PoolYear_FY",
         "PoolHalf_FY",
