@@ -81,10 +81,21 @@ def roll_forward(final: DataFrame, contracted: DataFrame, inp: "ExtractInputs",
         F.col("Audience").alias("_dc_aud"),
         "DiscountCurrent_Count",
     )
+    # The package ranking and the enrolment snapshot share the (account,
+    # audience) key: combined first (both are control-year dimensions), the
+    # units meet them in one join instead of being shuffled twice on that key.
+    # Duplicates multiply exactly as two left joins would.
+    acct_aud = ap.join(
+        ep, (ap["_ap_acct"] == ep["_ep_acct"]) & (ap["_ap_aud"] == ep["_ep_aud"]), "full"
+    ).select(
+        F.coalesce("_ap_acct", "_ep_acct").alias("_aa_acct"),
+        F.coalesce("_ap_aud", "_ep_aud").alias("_aa_aud"),
+        "PackageId_Current",
+        "_renewal_status",
+    )
     rows = (
-        alive.join(ap, (alive["AccountID"] == ap["_ap_acct"]) & (alive["Audience"] == ap["_ap_aud"]), "left")
+        alive.join(acct_aud, (alive["AccountID"] == acct_aud["_aa_acct"]) & (alive["Audience"] == acct_aud["_aa_aud"]), "left")
         .join(op, F.col("PackageId_Current") == op["_op_pkg"], "left")
-        .join(ep, (F.col("AccountID") == ep["_ep_acct"]) & (F.col("Audience") == ep["_ep_aud"]), "left")
         .join(
             dc,
             (F.col("AccountID") == dc["_dc_acct"])
