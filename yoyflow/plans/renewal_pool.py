@@ -255,7 +255,11 @@ def build_pool(inp: RenewalInputs, params: RunParams, keep_unused_joins: bool =
 
 
 def match_probes(pool: DataFrame, subs: DataFrame) -> DataFrame:
-    """Each pool row seen through its own subscription (inner: no subscription, no match)."""
+    """Each pool row seen through its own subscription (inner: no subscription, no match).
+
+    A plain join: when the pool is small enough, adaptive execution broadcasts
+    it and the subscription table is streamed without a shuffle.
+    """
     own = subs.select(
         F.col("SubscriptionSFID").alias("_own_sub"),
         F.col("AccountSFID").alias("account"),
