@@ -83,3 +83,21 @@ def test_indicator_and_update_split_hot_key(spark, skew_conf):
     assert "skew=true" in _final_plan(distinct_indicator(lines, members, ["acct", "fy"], ["m", "y"], "flag"))
     src = lines.groupBy("acct").agg(F.max("v").alias("mv"))
     assert "skew=true" in _final_plan(update_from(lines, src, ["acct"], {"v": "mv"}))
+
+
+def test_anti_and_null_safe_joins_split_hot_key(spark, skew_conf):
+    from yoyflow.operators.joins import hashed_join
+
+    import tempfile
+
+    path = tempfile.mkdtemp(prefix="yoyflow-skew-") + "/lines"
+    _lines(spark).write.parquet(path)
+    lines = spark.read.parquet(path)  # stored, so the optimizer cannot fold the hot key away
+    current = lines.where(F.col("v") >= 100).select("acct", "fy").distinct()  # every account but the hot one
+    anti = hashed_join(lines, current, ["acct", "fy"], "left_anti")
+    assert "skew=true" in _final_plan(anti)
+    assert anti.count() == 40000  # only the hot account has no counterpart
+    counts = lines.groupBy(F.col("acct").alias("g")).agg(F.count(F.lit(1)).alias("n"))
+    joined = hashed_join(lines, counts, [("acct", "g")], "left", null_safe=True)
+    assert "skew=true" in _final_plan(joined)
+    assert joined.where("acct = 'HOT'").select("n").distinct().collect()[0][0] == 40000
