@@ -260,13 +260,13 @@ def candidate_counts(probes: DataFrame, candidates: DataFrame, earliest: Column
     the probe's day.  Probe ids with no candidate are omitted (as an inner
     range join would omit them).
     """
-    keys = ["_acct", "_cls"]
+    keys = ["_kh", "_acct", "_cls"]
     cand = _possible(candidates, probes, earliest).select(
         F.col("account").alias("_acct"), F.col("class").alias("_cls"), F.col("start").alias("_day")
-    )
+    ).withColumn("_kh", F.xxhash64("_acct", "_cls"))
     prob = probes.select(
         "probe_id", F.col("account").alias("_acct"), F.col("class").alias("_cls"), F.col("day").alias("_day")
-    )
+    ).withColumn("_kh", F.xxhash64("_acct", "_cls"))
     counts = count_on_or_after(prob, cand, keys, "_day", found="_n")
     return (
         prob.join(counts, keys + ["_day"], "inner")
@@ -367,9 +367,11 @@ def _term_rows(df: DataFrame, probe: bool) -> DataFrame:
         entries.append(F.when(ok, F.struct(F.lit(tid).alias("_term"), k1.alias("_k1"), k2.alias("_k2"), k3.alias("_k3"))))
     rows = F.filter(F.array(*entries), lambda x: x.isNotNull())
     base = df.where(c("account").isNotNull() & c("class").isNotNull() & day.isNotNull())
-    return base.select(
-        c("account").alias("_acct"), c("class").alias("_cls"), day.alias("_day"), F.explode(rows).alias("_t")
-    ).select("_t._term", "_acct", "_cls", "_t._k1", "_t._k2", "_t._k3", "_day")
+    return (
+        base.select(c("account").alias("_acct"), c("class").alias("_cls"), day.alias("_day"), F.explode(rows).alias("_t"))
+        .select("_t._term", "_acct", "_cls", "_t._k1", "_t._k2", "_t._k3", "_day")
+        .withColumn("_kh", F.xxhash64("_term", "_acct", "_cls", "_k1", "_k2", "_k3"))
+    )
 
 
 def tier_pair_counts(probes: DataFrame, candidates: DataFrame, earliest: Column | None = None) -> DataFrame:
@@ -378,7 +380,7 @@ def tier_pair_counts(probes: DataFrame, candidates: DataFrame, earliest: Column
 
     Returns (MatchCat, n_pairs) for labels with at least one pair.
     """
-    keys = ["_term", "_acct", "_cls", "_k1", "_k2", "_k3"]
+    keys = ["_kh", "_term", "_acct", "_cls", "_k1", "_k2", "_k3"]
     cand = _term_rows(_possible(candidates, probes, earliest), probe=False)
     prob = _term_rows(probes, probe=True)
     counts = count_on_or_after(prob, cand, keys, "_day", found="_n")
