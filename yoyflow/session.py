@@ -34,27 +34,44 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in RECOMMENDED.items():
         if not _is_set(spark, key):
             spark.conf.set(key, value)
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's reliable checkpoint folder.
+# Application id -> folder for stage tables, resolved once per application.
+_stage_base: dict[str, str] = {}
+
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only when it is unset (local tests) a scratch folder is created.
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the application's shared folder for stages and checkpoints.
+
+    In this order: ``spark.checkpoint.dir`` of the session or of the Spark
+    conf, the folder a caller has set with ``setCheckpointDir``, and, only
+    where all executors run in this machine's one process (``local`` masters),
+    a scratch folder.  Anywhere else a missing setting is an error: a folder of
+    the driver's machine is not visible to the executors.  The answer is kept
+    for the life of the application, and a folder the caller has set is never
+    replaced.
     """
     sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
+        _stage_base[sc.applicationId] = configured
         return configured
-    local = tempfile.mkdtemp(prefix="yoyflow-ckpt-")
-    sc.setCheckpointDir(local)
-    return local
+    known = _stage_base.get(sc.applicationId)
+    if known:
+        return known
+    own = sc.getCheckpointDir()
+    if own is None:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        own = tempfile.mkdtemp(prefix="yoyflow-ckpt-")
+        sc.setCheckpointDir(own)
+    else:
+        own = own.rstrip("/").rsplit("/", 1)[0]  # Spark appends a folder of its own
+    _stage_base[sc.applicationId] = own
+    return own
 
 
 def cut_lineage(df: DataFrame, how: str = "table") -> DataFrame:
@@ -71,7 +88,7 @@ def cut_lineage(df: DataFrame, how: str = "table") -> DataFrame:
     ``none``        leave the plan untouched.
     """
     if how == "table":
-        path = f"{stage_root(df.sparkSession)}/{uuid.uuid4().hex}"
+        path = new_stage(df.sparkSession)
         df.write.mode("overwrite").parquet(path)
         return df.sparkSession.read.parquet(path)
     if how == "checkpoint":
@@ -101,17 +118,26 @@ def stage_root(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{STAGE_FOLDER}/{app}"
 
 
+def new_stage(spark: SparkSession) -> str:
+    """A fresh path for one stage table of this application."""
+    return f"{stage_root(spark)}/{uuid.uuid4().hex}"
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete ``path`` through its Hadoop file system (a no-op if it is absent)."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(target):
+        fs.delete(target, True)
+
+
 def drop_stages(spark: SparkSession) -> None:
     """Delete this application's stage tables (call once the results are written).
 
     Uses the Hadoop FileSystem of the checkpoint folder, so it works the same
     on HDFS, object stores and local disk.
     """
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(stage_root(spark))
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(path):
-        fs.delete(path, True)
+    drop_path(spark, stage_root(spark))
 
 
 def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession:
