@@ -65,9 +65,10 @@ class Memo(dict):
         self._compute, self._limit = compute, limit
 
     def ensure(self, words) -> None:
-        missing = [w for w in dict.fromkeys(words) if w not in self]
+        words = dict.fromkeys(words)
+        missing = [w for w in words if w not in self]
         if missing:
             if len(self) + len(missing) > self._limit:
                 self.clear()
-                missing = list(dict.fromkeys(words))
+                missing = list(words)
             self.update(zip(missing, self._compute(missing), strict=True))
