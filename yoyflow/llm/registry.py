@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from yoyflow.llm.lattice_lm import op8_lattice_lm
+from yoyflow.llm.sentencepiece_codec import op2_sentencepiece
 from yoyflow.llm.token_counts import op3_token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_token_counts,)}
+    return {f.__name__: f for f in (op2_sentencepiece, op3_token_counts, op8_lattice_lm)}
 
 
 def oracle_sql() -> dict[str, str]:
