@@ -41,6 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from yoyflow.llm import bloom
 from yoyflow.llm.common import slices, table
 from yoyflow.llm.components import components
 from yoyflow.llm.decontaminate import split_words, word_hashes
@@ -53,7 +54,6 @@ BANDS, ROWS = 48, 6
 VALUES, STEP = 96, 16
 TOLERANCE = 1e-7
 BLOCK = 1 << 18
-BLOOM_BITS = 1 << 23
 _PAIRS = 1 << 20
 _FACTOR = 0x100000001B3
 _MULTIPLIERS = np.random.default_rng(20).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
@@ -242,26 +242,14 @@ def _roots(edges: list[tuple[np.ndarray, np.ndarray]], n: int) -> np.ndarray:
             return root
 
 
-def _bloom(ids: DataFrame) -> np.ndarray:
-    """A filter of ``BLOOM_BITS`` bits over the column doc_id; its size does not grow."""
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(BLOOM_BITS))
-    words = ids.select(bit.alias("bit")).selectExpr("cast(bit div 32 as int) at", "shiftleft(1L, cast(bit % 32 as int)) b")
-    out = np.zeros(BLOOM_BITS // 32, np.uint32)
-    for r in words.groupBy("at").agg(F.bit_or("b").alias("b")).toLocalIterator():
-        out[r["at"]] = r.b
-    return out
-
-
 def _ngrams_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``(digest, doc_id, grams binary)`` of the documents whose id may be wanted."""
-    shared = docs.sparkSession.sparkContext.broadcast(_bloom(wanted))
-    hashed = docs.withColumn("_bit", F.pmod(F.xxhash64("doc_id"), F.lit(BLOOM_BITS)))
+    shared = docs.sparkSession.sparkContext.broadcast(bloom.build(wanted, bloom.bit("doc_id")))
+    hashed = docs.withColumn("_bit", bloom.bit("doc_id"))
 
     def run(batches):
         for batch in batches:
-            bit = batch.column("_bit").to_numpy()
-            keep = (shared.value[bit // 32] >> (bit % 32).astype(np.uint32)) & 1
-            batch = batch.filter(pa.array(keep.astype(bool)))
+            batch = batch.filter(pa.array(bloom.passes(shared.value, batch.column("_bit").to_numpy())))
             for part in slices(batch, "_text"):
                 sets = ngram_sets(_bytes(part))
                 yield pa.record_batch({"digest": pa.array([_digest(s) for s in sets], pa.binary()), "doc_id": part.column("doc_id"), "grams": pa.array([s.tobytes() for s in sets], pa.binary())})
