@@ -165,7 +165,7 @@ def find(patterns: Patterns, words: Words) -> tuple[np.ndarray, np.ndarray, np.n
     hashes = word_hashes(words, patterns.factor)
     near = np.minimum(np.searchsorted(patterns.hashes, hashes), len(patterns.hashes) - 1)
     ids = np.where(patterns.hashes[near] == hashes, near + 1, 0)
-    found = []
+    found = [(none, none, none)]
     for g in patterns.groups:
         end = _positions(words, ids, g)
         suffix = _block_hash(ids, end, g.block)
