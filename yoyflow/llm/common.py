@@ -54,21 +54,30 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
 
 
 class Memo(dict):
-    """A worker's results by word, refilled from empty once it holds ``limit`` words.
+    """A worker's results by word, in two generations of at most ``limit`` words each.
 
     Most words of a corpus come back many times, so the costly per-word step
-    runs once per word and worker; the bound keeps the worker's memory flat.
+    runs about once per word and worker.  When the young generation is full it
+    becomes the old one, and words still in use move over from there: the
+    worker's memory stays flat.  With ``two=False`` a full generation is dropped;
+    ``compute`` then sees an empty memo and may drop what it holds, too.
     """
 
-    def __init__(self, compute: Callable[[list[str]], list], limit: int = 400_000):
+    def __init__(self, compute: Callable[[list[str]], list], limit: int = 300_000, two: bool = True):
         super().__init__()
-        self._compute, self._limit = compute, limit
-
-    def ensure(self, words) -> None:
-        words = dict.fromkeys(words)
-        missing = [w for w in words if w not in self]
-        if missing:
-            if len(self) + len(missing) > self._limit:
-                self.clear()
-                missing = list(words)
-            self.update(zip(missing, self._compute(missing), strict=True))
+        self._compute, self._limit, self._two, self._old = compute, limit, two, {}
+
+    def ensure(self, parts: list[list]) -> None:
+        """Afterwards all words of the given lists can be looked up."""
+        words = set().union(*parts)
+        missing = words.difference(self)
+        if not missing:
+            return
+        if len(self) + len(missing) > self._limit:
+            self._old = dict(self) if self._two else {}
+            self.clear()
+            missing = words
+        old = self._old
+        self.update({w: old[w] for w in missing if w in old})
+        new = [w for w in missing if w not in old]
+        self.update(zip(new, self._compute(new), strict=True))

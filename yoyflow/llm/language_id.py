@@ -203,7 +203,7 @@ class _Scores:
 
     def __init__(self, model: LanguageModel):
         self.model, self.rows, self.letters, self.size = model, np.zeros((1 << 16, len(model.languages))), np.zeros(1 << 16, np.int64), 0
-        self.memo = Memo(self._add, 300_000)
+        self.memo = Memo(self._add, 300_000, two=False)
 
     def _add(self, words: list[str]) -> list[int]:
         if not self.memo:
@@ -237,7 +237,7 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", keep: lis
             _words[name] = _Scores(shared.value)
         scores, languages = _words[name], shared.value.languages
         parts = [words_of(t) for t in texts(batch, "_text")] if languages else [[] for _ in range(batch.num_rows)]
-        scores.memo.ensure(w for p in parts for w in p)
+        scores.memo.ensure(parts)
         count = np.array([len(p) for p in parts], np.int64)
         first = np.cumsum(count) - count
         ix = np.fromiter((scores.memo[w] for p in parts for w in p), np.int64, int(count.sum()))

@@ -146,7 +146,7 @@ class _Scorer:
 
     def __init__(self, model: PieceModel, hot: dict[bytes, int], n: int, v: int):
         self.model, self.hot, self.n, self.v = model, hot, n, v
-        self.memo = Memo(self._add, 250_000)
+        self.memo = Memo(self._add, 250_000, two=False)
         self._reset()
 
     def _reset(self) -> None:
@@ -206,7 +206,7 @@ def score_documents(docs: DataFrame, model_path: str, train) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text"):
                 split = [words_of(t) for t in _byte_texts(part)]
-                scorer.memo.ensure(w for ws in split for w in ws)
+                scorer.memo.ensure(split)
                 rows = []
                 for ws in split:
                     ix = np.fromiter(map(scorer.memo.__getitem__, ws), np.int64, len(ws))

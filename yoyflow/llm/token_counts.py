@@ -37,28 +37,37 @@ def null_as_empty(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
-def _counter(path: str):
-    """Counts per chunk: SentencePiece for ``.model``, tokenizers for ``.json``."""
-    if path.endswith(".model"):
+class _PieceCounter:
+    """Counts by SentencePiece, each distinct word encoded about once."""
+
+    def __init__(self, path: str):
         model = tk.sentence_piece(path)
-        return tk.piece_chunks, lambda words: [len(ids) for ids in model.encode(words, num_threads=1)]
-    tokenizer = tk.byte_level(path)
-    return tk.byte_level_chunks, lambda words: [len(e.ids) for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        self._memo = Memo(lambda words: [len(ids) for ids in model.encode(words, num_threads=1)])
+
+    def __call__(self, given: list[str]) -> list[int]:
+        parts = [tk.piece_chunks(t) for t in given]
+        self._memo.ensure(parts)
+        return [sum(map(self._memo.__getitem__, p)) for p in parts]
+
+
+class _ByteLevelCounter:
+    """Counts by a tokenizers file."""
+
+    def __init__(self, path: str):
+        self._coder = tk.ByteLevelCoder(path, "<u4")
+
+    def __call__(self, given: list[str]) -> list[int]:
+        return [len(ids) // 4 for ids in self._coder(given)]
 
 
-_memos: dict[str, tuple] = {}
+_counters: dict[str, _PieceCounter | _ByteLevelCounter] = {}
 
 
 def _count_slice(path: str):
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if path not in _memos:
-            chunks, count = _counter(path)
-            _memos[path] = chunks, Memo(count)
-        chunks, memo = _memos[path]
-        parts = [chunks(t) for t in texts(batch)]
-        memo.ensure(w for p in parts for w in p)
-        counts = [sum(map(memo.__getitem__, p)) for p in parts]
-        return pa.record_batch({"content_digest": batch.column("content_digest"), "n_tokens": pa.array(counts, pa.int64())})
+        if path not in _counters:
+            _counters[path] = _PieceCounter(path) if path.endswith(".model") else _ByteLevelCounter(path)
+        return pa.record_batch({"content_digest": batch.column("content_digest"), "n_tokens": pa.array(_counters[path](texts(batch)), pa.int64())})
 
     return run
 

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yoyflow.llm import tokenizers as tk
-from yoyflow.llm.common import Memo, map_slices, table, texts
+from yoyflow.llm.common import map_slices, table, texts
 from yoyflow.session import cut_lineage, new_stage
 
 BLOCK_TOKENS = 1 << 18
@@ -69,7 +69,7 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out
 
 
-_memos: dict[str, Memo] = {}
+_coders: dict[str, tk.ByteLevelCoder] = {}
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int | None) -> tuple[DataFrame, str]:
@@ -79,12 +79,9 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int | None) -
     end = b"" if end_id is None else np.array([end_id], dtype).tobytes()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if tokenizer_path not in _memos:
-            _memos[tokenizer_path] = Memo(tk.byte_level_ids(tokenizer_path, dtype), 500_000)
-        memo = _memos[tokenizer_path]
-        parts = [tk.byte_level_chunks(t) for t in texts(batch)]
-        memo.ensure(w for p in parts for w in p)
-        ids = [b"".join(map(memo.__getitem__, p)) + end for p in parts]
+        if tokenizer_path not in _coders:
+            _coders[tokenizer_path] = tk.ByteLevelCoder(tokenizer_path, dtype)
+        ids = [i + end for i in _coders[tokenizer_path](texts(batch))]
         return pa.record_batch({"doc_id": batch.column("doc_id"), "ids": pa.array(ids, pa.binary()), "crc": pa.array(map(zlib.crc32, ids), pa.int64())})
 
     return map_slices(docs.select("doc_id", "text"), run, "doc_id long, ids binary, crc long"), dtype

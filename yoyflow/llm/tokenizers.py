@@ -21,15 +21,21 @@ from functools import cache
 
 import numpy as np
 
+from yoyflow.llm.common import Memo
+
 MARKER = "▁"
 _BEFORE_WORD = re.compile(r" (?=\S)")
+_ASCII_SPACES = tuple(" " + c for c in " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f")
+_PLAIN = re.compile(r" \S+")
 _SPACED = re.compile(r" +[^ ]+(?: +\Z)?| +\Z")
 
 
 def byte_level_chunks(text: str) -> list[str]:
-    """Pieces of ``text`` whose ids, joined, are the ids of ``text``."""
-    first, *rest = _BEFORE_WORD.split(text)
-    return [first, *[" " + w for w in rest]]
+    """The first piece of ``text``, then the others without their leading space;
+    the ids of the pieces, joined, are the ids of ``text``."""
+    if text.isascii() and text[-1:] != " " and not any(s in text for s in _ASCII_SPACES):
+        return text.split(" ")
+    return _BEFORE_WORD.split(text)
 
 
 def piece_chunks(text: str) -> list[str]:
@@ -65,11 +71,43 @@ def digest(path: str) -> str:
         return hashlib.sha256(f.read()).hexdigest()
 
 
-def byte_level_ids(path: str, dtype: str):
-    """A function giving the ids of each string as little-endian bytes of ``dtype``."""
-    tokenizer = byte_level(path)
-
-    def encode(words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype).tobytes() for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-
-    return encode
+class ByteLevelCoder:
+    """Ids of whole texts as little-endian integers, each distinct word encoded about once."""
+
+    def __init__(self, path: str, dtype: str):
+        self._tokenizer, self._dtype = byte_level(path), dtype
+        self._size = np.dtype(dtype).itemsize
+        line = self._tokenizer.encode("\n", add_special_tokens=False).ids
+        self._line = line[0] if len(line) == 1 else None
+        self._first = Memo(lambda words: self._encode(words), 50_000)
+        self._other = Memo(lambda words: self._encode([" " + w for w in words]))
+
+    def _each(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self._dtype).tobytes() for e in self._tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _encode(self, words: list[str]) -> list[bytes]:
+        """Words of the form " x" are encoded as lines of one text: a line feed before a
+        space is a token of its own, and no such word holds one."""
+        plain = [w for w in words if self._line is not None and _PLAIN.fullmatch(w)]
+        ids: dict[str, bytes] = {}
+        for i in range(0, len(plain), 1000):
+            part = plain[i : i + 1000]
+            flat = np.array(self._tokenizer.encode("\n".join(part), add_special_tokens=False).ids, self._dtype)
+            cut = np.flatnonzero(flat == self._line)
+            if len(cut) != len(part) - 1:
+                ids.update(zip(part, self._each(part), strict=True))
+                continue
+            raw, size = flat.tobytes(), self._size
+            begin, end = [0, *(cut + 1).tolist()], [*cut.tolist(), len(flat)]
+            ids.update({w: raw[a * size : b * size] for w, a, b in zip(part, begin, end, strict=True)})
+        rest = [w for w in words if w not in ids]
+        ids.update(zip(rest, self._each(rest), strict=True))
+        return [ids[w] for w in words]
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        parts = [byte_level_chunks(t) for t in texts]
+        firsts = [p.pop(0) for p in parts]
+        self._first.ensure([firsts])
+        self._other.ensure(parts)
+        get = self._other.__getitem__
+        return [b"".join([self._first[f], *map(get, p)]) for f, p in zip(firsts, parts, strict=True)]
