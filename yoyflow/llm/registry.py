@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from yoyflow.llm.decontaminate import op5_decontaminate
+from yoyflow.llm.kmeans_tree import op6_nearest
 from yoyflow.llm.language_id import op4_language_id
 from yoyflow.llm.lattice_lm import op8_lattice_lm
 from yoyflow.llm.ngram_join import op1_ngram_join
@@ -18,7 +19,7 @@ from yoyflow.llm.token_files import op7_token_files
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_join, op2_sentencepiece, op3_token_counts, op4_language_id, op5_decontaminate, op7_token_files, op8_lattice_lm, op9_repeats, op10_secrets)}
+    return {f.__name__: f for f in (op1_ngram_join, op2_sentencepiece, op3_token_counts, op4_language_id, op5_decontaminate, op6_nearest, op7_token_files, op8_lattice_lm, op9_repeats, op10_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
