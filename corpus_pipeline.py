@@ -1,8 +1,95 @@
-"""Stages over ``documents`` (filled in as the operators arrive)."""
+"""From raw documents to clean, encoded ones: five stages over ``documents``.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir), works on all rows it is given and
+returns a DataFrame that is written as Parquet and reread as the next one's
+``docs``.  All but the last return the columns of ``documents``; further
+columns of the input are kept as they are (the last stage's own replace them).
+
+1. ``language``: documents without an identified language go (no letter, or
+   no language that covers half of the letters).
+2. ``near_duplicates``: of every class that links of Jaccard similarity 0.8 on
+   word 5-grams connect, the row with the least doc_id stays (of equal rows of
+   that id, one).  Texts without words are in no class and stay.
+3. ``decontaminate``: documents with a passage of a benchmark item go.
+4. ``secrets``: findings are replaced by ``[SECRET]`` in the text, and n_chars
+   is set again where the text changed; no document goes.
+5. ``encode``: the SentencePiece ids and score of each text are added.
+
+Null texts go in the first stage; later stages pass them on unchanged.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from yoyflow.llm import decontaminate, language_id, ngram_join, secrets, sentencepiece_codec
+from yoyflow.llm.common import table
+from yoyflow.operators.joins import hashed_join
+from yoyflow.session import cut_lineage, new_stage
+
+LEAST_LANGUAGE_SHARE = 0.5
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and, whatever the names of its columns, the whole row as ``_doc``."""
+    return docs.select("doc_id", "text", F.struct("*").alias("_doc"))
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Learns from the labelled rows outside the held-out third."""
+    model = language_id.fit(docs.where(language_id.training_rows()))
+    found = language_id.predict(packed(docs), model, keep=["_doc"])
+    known = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SHARE)
+    return found.where(known).select("_doc.*")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    classes = cut_lineage(ngram_join.jaccard_join(docs).select("doc_id", "class_id"))
+    stay = classes.where("doc_id = class_id").groupBy("doc_id").agg(F.count("*").alias("_rows"))
+    kept = hashed_join(packed(docs).drop("text"), stay, ["doc_id"], how="inner")
+    without_id = docs.where("doc_id is null")
+    again = F.col("_rows") > 1
+    if not stay.where(again).limit(1).count():
+        return kept.select("_doc.*").unionByName(without_id)
+    once = kept.where(again).dropDuplicates(["doc_id"])
+    return kept.where(~again).unionByName(once).select("_doc.*").unionByName(without_id)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = decontaminate.search(packed(docs), table(spark, sf_dir, "benchmark"), keep=["_doc"])
+    return found.where(~decontaminate.contaminated()).select("_doc.*")
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    clean = secrets.redact(packed(docs).drop("doc_id"), secrets.fit(docs))
+    changed = ~F.col("text").eqNullSafe(F.col("_doc.text"))
+    new = {"text": F.col("text"), "n_chars": F.when(changed, F.length("text").cast("long")).otherwise(F.col("_doc")["n_chars"])}
+    return clean.select(*(new[c].alias(c) if c in new else F.col("_doc")[c].alias(c) for c in docs.columns))
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return sentencepiece_codec.encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+STAGES = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("decontaminate", decontaminated),
+    ("secrets", without_secrets),
+    ("encode", encoded),
+]
+
+# Language, links and pieces are not SQL; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES:
+        path = new_stage(spark)
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs
