@@ -11,7 +11,6 @@ The package is organised as
   update-from, audits).
 * ``plans``     -- the two end-to-end jobs composed from the operators and the
   registry of named queries.
-* ``streaming`` -- intentionally empty: the workload is batch only.
 
 Everything is expressed with native DataFrame expressions; there are no Python
 UDFs on any data path.

@@ -54,6 +54,16 @@ def not_isin_ci(c: ColumnOrName, values: Iterable[str]) -> Column:
     return ~isin_ci(c, values)
 
 
+def spelled(c: ColumnOrName, labels: Iterable[str]) -> Column:
+    """The label that ``c`` equals under the source's comparison, in its listed
+    spelling; any other text without its trailing blanks.  Grouping and joining by
+    the result then follows that comparison."""
+    out = F.rtrim(_col(c))
+    for label in reversed(list(labels)):
+        out = F.when(eq_ci(c, label), F.lit(label)).otherwise(out)
+    return out
+
+
 def _has_wildcard(pattern: str) -> bool:
     return "%" in pattern or "_" in pattern
 

@@ -55,12 +55,12 @@ def conservation(pool: DataFrame, allocated: DataFrame, keys: Sequence[str], poo
     """Per unit: value in the pool, value allocated, and the residual."""
     p = pool.groupBy(*keys).agg(F.sum(pool_value).alias("pool_value"))
     a = allocated.groupBy(*keys).agg(F.sum(allocated_value).alias("allocated_value"))
+    both = p.select(*keys, "pool_value", F.lit(None).cast(a.schema["allocated_value"].dataType).alias("allocated_value")).unionByName(
+        a.select(*keys, F.lit(None).cast(p.schema["pool_value"].dataType).alias("pool_value"), "allocated_value")
+    )
+    # one more grouping instead of a full join: units with a NULL key meet, too
     return (
-        p.join(a, list(keys), "full")
-        .select(
-            *keys,
-            F.coalesce("pool_value", F.lit(0)).alias("pool_value"),
-            F.coalesce("allocated_value", F.lit(0)).alias("allocated_value"),
-        )
+        both.groupBy(*keys)
+        .agg(F.coalesce(F.max("pool_value"), F.lit(0)).alias("pool_value"), F.coalesce(F.max("allocated_value"), F.lit(0)).alias("allocated_value"))
         .withColumn("residual", F.col("pool_value") - F.col("allocated_value"))
     )

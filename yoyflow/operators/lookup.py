@@ -16,16 +16,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_CODE_TABLE_ROWS = 10_000
-
-
-def code_frame(spark, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
-    if len(rows) > MAX_CODE_TABLE_ROWS:
-        raise ValueError(f"code table of {len(rows)} rows is too large to broadcast")
-    return spark.createDataFrame(list(rows), schema)
+BROADCAST_ROWS = 10_000
 
 
 def lookup_by_code(df: DataFrame, key: Column, rows: Sequence[tuple], schema: T.StructType, table_key: str) -> DataFrame:
-    """Left join the literal table ``rows`` on ``key == table_key`` (broadcast)."""
-    table = F.broadcast(code_frame(df.sparkSession, rows, schema))
+    """Left join the literal table ``rows`` on ``key == table_key``.
+
+    Broadcast up to ``BROADCAST_ROWS`` rows; a longer list is joined without the
+    hint, as any other table."""
+    table = df.sparkSession.createDataFrame(list(rows), schema)
+    if len(rows) <= BROADCAST_ROWS:
+        table = F.broadcast(table)
     return df.join(table, key == table[table_key], "left")

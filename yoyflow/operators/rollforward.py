@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from yoyflow.functions.text import concat_null, eq_ci, isin_ci, like_ci, not_like_ci
 from yoyflow.operators.joins import hashed_join
 from yoyflow.params import RunParams
+from yoyflow.session import cut_lineage
 
 if TYPE_CHECKING:  # pragma: no cover
     from yoyflow.plans.revenue_extract import ExtractInputs
@@ -59,7 +60,9 @@ def discount_counts(contracted: DataFrame) -> DataFrame:
     )
 
 
-def roll_forward(final: DataFrame, contracted: DataFrame, inp: "ExtractInputs", params: RunParams) -> DataFrame:
+def roll_forward(final: DataFrame, contracted: DataFrame, inp: "ExtractInputs", params: RunParams, materialize: str = "table") -> DataFrame:
+    """Prior-year units without a control-year counterpart, enriched (the joined rows
+    are read twice -- counted per group, joined back -- and stored before that)."""
     cy = params.control_year
     units = prior_units(final, params)
     current_units = contracted.select(*UNIT_KEYS).distinct()
@@ -116,6 +119,7 @@ def roll_forward(final: DataFrame, contracted: DataFrame, inp: "ExtractInputs",
         concat_null("_dc_account", "_dc_aud", "_dc_group").alias("CurrentContracted_Account_Audience_ProductGroup"),
         "DiscountCurrent_Count",
     )
+    rows = cut_lineage(rows, materialize)
     # Non-discount units per account+audience, over the rows as they stand now
     # (after the anti-join and any fan-out of the joins above).
     non_discount = not_like_ci(concat_null("Account", "Audience", "CampaignCode"), f"%{params.discount_code}%")

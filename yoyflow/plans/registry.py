@@ -24,6 +24,7 @@ from yoyflow.params import RunParams
 from yoyflow.plans import oracle_renewal as orn
 from yoyflow.plans import renewal_pool as rp
 from yoyflow.plans.present import present, sql_present
+from yoyflow.session import cut_lineage
 from yoyflow.sources.adapters import SparkInputs, duckdb_with
 
 # Parameters of the test-data runs: the driver's orders span 1995-2001.
@@ -132,7 +133,7 @@ def q_drop_unused_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _pool_and_cands(spark: SparkSession, sf_dir: str):
     inp = renewal_inputs(SparkInputs(spark, sf_dir))
-    pool = rp.build_pool(inp, TEST_PARAMS)
+    pool = cut_lineage(rp.build_pool(inp, TEST_PARAMS))  # read two or three times, as in the job
     cands = rp.candidate_subscriptions(inp.cpq_subscriptions, inp.raw_subscriptions, inp.opportunities)
     return inp, pool, cands
 
@@ -175,8 +176,10 @@ def q_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_pool_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pool = rp.build_pool(renewal_inputs(SparkInputs(spark, sf_dir)), TEST_PARAMS)
-    return present(duplicate_keys(pool, ["SourceObjectSFID"]))
+    x = SparkInputs(spark, sf_dir)
+    inp = renewal_inputs(x)
+    inp.subscription_periods = x["x_subscription_periods_dup"]
+    return present(duplicate_keys(rp.build_pool(inp, TEST_PARAMS), ["SourceObjectSFID"]))
 
 
 def renewal_queries() -> list[Query]:
@@ -279,9 +282,10 @@ FROM x_program_renewals pr LEFT JOIN x_subscription_periods sp ON pr.SubPeriodSF
         Query(
             "pool_duplicate_keys",
             q_pool_duplicate_keys,
-            _renewal_sql(
-                "o_pool",
-                "SELECT SourceObjectSFID, count(*) AS n_rows FROM o_pool GROUP BY SourceObjectSFID HAVING count(*) > 1",
+            sql_present(
+                duckdb_with([*RENEWAL_ADAPTERS, "x_subscription_periods_dup"])
+                + ",\no_pool AS (" + orn.pool_sql(TEST_PARAMS, periods="x_subscription_periods_dup")
+                + "\n)\nSELECT SourceObjectSFID, count(*) AS n_rows FROM o_pool GROUP BY SourceObjectSFID HAVING count(*) > 1",
                 "SourceObjectSFID:s, n_rows:i",
             ),
         ),

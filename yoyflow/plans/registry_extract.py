@@ -73,10 +73,10 @@ def _stages(spark: SparkSession, sf_dir: str, params) -> rx.ExtractStages:
     return rx.stages(extract_inputs(SparkInputs(spark, sf_dir)), params, materialize="table")
 
 
-def _sql(params, upto: str | None, final: str, cols: Sequence[str], enr: str = "x_enrolment_packages") -> str:
-    head = duckdb_with([*EXTRACT_ADAPTERS, enr])
+def _sql(params, upto: str | None, final: str, cols: Sequence[str], enr: str = "x_enrolment_packages", lines: str = "x_program_lines") -> str:
+    head = duckdb_with([*EXTRACT_ADAPTERS, enr, lines])
     if upto is not None:
-        head += ",\n" + ox.extract_ctes(params, upto, enr=enr)
+        head += ",\n" + ox.extract_ctes(params, upto, enr=enr, lines=lines)
     return sql_present(head + "\n" + final, spec(cols))
 
 
@@ -233,6 +233,23 @@ FROM (SELECT DISTINCT JobNumber, FiscalYear FROM x_program_lines) k""", key_cols
         "rollup_duplicate_snapshots", q_dup_snapshots,
         _sql(params, "o_data", f"SELECT {', '.join(data_cols)} FROM o_data", data_cols, enr="x_enrolment_packages_dup"),
     ))
+
+    # lines whose labels come in mixed case and with trailing blanks, rolled up
+    text_cols = ["FiscalYear", "Audience", "RevAccrual_Type", "OppType", "ProgramStatus", "n_rows", "sum_cv_current"]
+
+    def q_text(spark, sf_dir):
+        x = SparkInputs(spark, sf_dir)
+        inp = extract_inputs(x)
+        inp.program_lines = x["x_program_lines_spelled"]
+        rolled = rx.raw_cut(inp, params).groupBy(*rx.ROLLUP_KEYS).agg(F.sum("ProgramCost").alias("cost"))
+        return present(rolled.groupBy(*text_cols[:5]).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("cost").alias("sum_cv_current")))
+
+    out.append((
+        "key_text_semantics", q_text,
+        _sql(params, "o_raw", f"""SELECT {', '.join(text_cols[:5])}, count(*) AS n_rows, sum(cost) AS sum_cv_current
+FROM (SELECT {', '.join(f'min({k}) AS {k}' for k in ox.LINE_KEYS)}, sum(ProgramCost) AS cost FROM o_raw
+      GROUP BY {', '.join(f'lower(rtrim(CAST({k} AS VARCHAR)))' for k in ox.LINE_KEYS)}) GROUP BY ALL""", text_cols, lines="x_program_lines_spelled"),
+    ))
     stage_query("first_event_flag", "data",
                 ["AccountID", "CampaignCode", "Audience", "FiscalYear", "SignatureDate", "Campaign_First_Sign", "OppType"], "o_data")
     stage_query("year_offset_join", "data",
@@ -279,7 +296,7 @@ FROM (SELECT DISTINCT JobNumber, FiscalYear FROM x_program_lines) k""", key_cols
        coalesce(p.pool_value, 0) - coalesce(a.allocated_value, 0) AS residual
 FROM (SELECT {u}, sum(CV_Prior) AS pool_value FROM o_prior GROUP BY {u}) p
 FULL JOIN (SELECT {u}, sum(CV_Prior) AS allocated_value FROM o_contracted GROUP BY {u}) a
-  ON {' AND '.join(f'p.{c} = a.{c}' for c in unit)}""", audit_cols),
+  ON {' AND '.join(f'p.{c} IS NOT DISTINCT FROM a.{c}' for c in unit)}""", audit_cols),
     ))
 
     # How many alignment groups each control-year line meets (the source's own

@@ -325,10 +325,10 @@ def link_contracts(pool: DataFrame, best: DataFrame, contracts: DataFrame, on_du
     )
 
 
-def renewal_pool(inp: RenewalInputs, params: RunParams, materialize: str = "table") -> DataFrame:
+def renewal_pool(inp: RenewalInputs, params: RunParams, materialize: str = "table", on_duplicate: str = "fail") -> DataFrame:
     """The whole job: the pool with its proof columns filled where a link exists."""
     check_inputs(vars(inp))
     cands = candidate_subscriptions(inp.cpq_subscriptions, inp.raw_subscriptions, inp.opportunities)
     pool = cut_lineage(build_pool(inp, params), materialize)  # read twice below
     best = best_matches(pool, inp.cpq_subscriptions, cands, earliest_period(inp, params))
-    return link_contracts(pool, best, inp.standard_contracts)
+    return link_contracts(pool, best, inp.standard_contracts, on_duplicate)

@@ -38,6 +38,7 @@ from yoyflow.functions.text import (
     like_ci,
     ne_ci_cols,
     not_isin_ci,
+    spelled,
 )
 from yoyflow.operators.allocate import allocate_prior_value, alignment_stats, prior_contracted_pool
 from yoyflow.operators.groups import group_flag
@@ -183,13 +184,14 @@ def account_dimension(inp: ExtractInputs) -> DataFrame:
 
 
 def raw_cut(inp: ExtractInputs, params: RunParams) -> DataFrame:
-    lines = inp.program_lines.where(scope_filter(params))
+    # labels in one spelling, so that grouping and joining by them compares as the source does
+    lines = inp.program_lines.where(scope_filter(params)).withColumns({c: spelled(c, v) for c, v in codetables.LABELS.items()})
     job = F.col("JobNumber")
     lines = lookup_by_code(
         lines, F.left(job, F.lit(3)), codetables.CONSORTIUM_CLIENTS, codetables.CONSORTIUM_SCHEMA, "lk_client_code"
     )
     lines = lookup_by_code(
-        lines, decode_code(job, params.code_width), codetables.campaign_group_rows(), codetables.CAMPAIGN_GROUPS_SCHEMA, "lk_code"
+        lines, decode_code(job, params.code_width), codetables.campaign_group_rows(params.code_width), codetables.CAMPAIGN_GROUPS_SCHEMA, "lk_code"
     )
     pkg = inp.program_packages.select(F.col("ID").alias("_pkg_id"), F.col("Name").alias("ProgramPackageName"))
     opt = optout_counts(inp.program_optouts, params)
@@ -594,7 +596,7 @@ class ExtractStages:
 
     @cached_property
     def pool(self) -> DataFrame:
-        return roll_forward(self.final, self.contracted, self.inp, self.params)
+        return roll_forward(self.final, self.contracted, self.inp, self.params, self.materialize)
 
     @cached_property
     def extract(self) -> DataFrame:
@@ -606,8 +608,8 @@ def stages(inp: ExtractInputs, params: RunParams, materialize: str = "table", on
     return ExtractStages(inp, params, materialize, on_duplicate)
 
 
-def revenue_extract(inp: ExtractInputs, params: RunParams, materialize: str = "table") -> DataFrame:
-    return stages(inp, params, materialize).extract
+def revenue_extract(inp: ExtractInputs, params: RunParams, materialize: str = "table", on_duplicate: str = "fail") -> DataFrame:
+    return stages(inp, params, materialize, on_duplicate).extract
 
 
 __all__ = [

@@ -11,7 +11,8 @@ are replaced by CTE / view names.
 
 Only row-local expressions, equi-joins and GROUP BY are used (no windows, no
 pairs), so every adapter scales with its input and no customer is processed
-in one task.  The rules that
+in one task.  Every table is read whole: where a record is to be missing, its
+row stays and carries a key that nothing refers to.  The rules that
 inject NULLs, mixed letter case, short keys, duplicate-free snapshots and so on
 are deterministic functions of the source keys.
 """
@@ -24,6 +25,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 from yoyflow.sources.io import read_input
+from yoyflow.sources.schemas import REQUIRED
 
 BASE_TABLES = ("lineitem", "orders", "customer")
 
@@ -114,6 +116,21 @@ FROM (
 ) b
 """
 
+# The same lines with labels in other spellings, as differing case and trailing
+# blanks are equal to the source.
+_RESPELLED = {
+    "Audience": "CASE WHEN NBB = 1 THEN upper(Audience) ELSE Audience || ' ' END",
+    "PType": "CASE WHEN DataSource = 'SF Open' THEN lower(PType) ELSE PType || '  ' END",
+    "OppType": "CASE WHEN ContactQuantity > 25 THEN upper(OppType) ELSE OppType END",
+    "ProgramStatus": "CASE WHEN ContactQuantity > 10 THEN lower(ProgramStatus) ELSE ProgramStatus || ' ' END",
+    "FYVertAccountStatus": "upper(FYVertAccountStatus)",
+}
+ADAPTERS["x_program_lines_spelled"] = (
+    "SELECT "
+    + ", ".join(f"{_RESPELLED[c]} AS {c}" if c in _RESPELLED else c for c in REQUIRED["program_lines"])
+    + " FROM {x_program_lines}"
+)
+
 ADAPTERS["x_accounts"] = f"""
 SELECT CAST(c.c_custkey AS STRING) AS ID,
        CASE WHEN c.c_custkey % 29 = 0 THEN 'A' || CAST(c.c_custkey AS STRING) ELSE {_CLIENT_CODE} END AS Client_Code_Adv__c,
@@ -168,7 +185,8 @@ JOIN {{customer}} c ON g.o_custkey = c.c_custkey
 """
 
 ADAPTERS["x_enrolment_packages"] = """
-SELECT CAST(cy.o_custkey AS STRING) AS AccountID,
+SELECT -- no snapshot of the customer for a year whose only orders are low priority: the row names no account
+       CASE WHEN cy.min_priority = '5-LOW' THEN 'none-' ELSE '' END || CAST(cy.o_custkey AS STRING) AS AccountID,
        cy.y AS FiscalYear,
        cy.audience AS Audience,
        CASE cy.min_priority WHEN '1-URGENT' THEN 'Fixed Term' WHEN '2-HIGH' THEN 'Decision'
@@ -176,34 +194,31 @@ SELECT CAST(cy.o_custkey AS STRING) AS AccountID,
        cy.tenure AS Tenure,
        CASE WHEN cy.n_declined = cy.n_orders THEN 'Lost' WHEN cy.n_orders = 1 THEN NULL ELSE 'Renewed' END AS Renewal_Status
 FROM {x_customer_years} cy
--- no enrolment snapshot for a year whose only orders are low priority
-WHERE cy.min_priority <> '5-LOW'
 """
 
 ADAPTERS["x_other_packages"] = """
-SELECT CAST(cy.o_custkey AS STRING) AS AccountID,
+SELECT -- a single-order year of unspecified priority names no account and no package
+       CASE WHEN cy.n_orders = 1 AND cy.min_priority = '4-NOT SPECIFIED' THEN 'none-' ELSE '' END || CAST(cy.o_custkey AS STRING) AS AccountID,
        cy.y AS FiscalYear,
        cy.audience AS Audience,
        CASE WHEN cy.o_custkey % 4 = 0 THEN cy.customer_first_date ELSE cy.first_date END AS FirstSigned,
        cy.tenure AS Tenure,
-       'PKG' || CAST(cy.o_custkey AS STRING) || '-' || CAST(cy.y AS STRING) AS PackageID,
+       CASE WHEN cy.n_orders = 1 AND cy.min_priority = '4-NOT SPECIFIED' THEN 'none-' ELSE 'PKG' END
+         || CAST(cy.o_custkey AS STRING) || '-' || CAST(cy.y AS STRING) AS PackageID,
        CASE WHEN cy.n_declined > 0 THEN 'Lost' ELSE 'Secured' END AS Adj_Renewal_Status
 FROM {x_customer_years} cy
--- no snapshot for a single-order year of unspecified priority
-WHERE NOT (cy.n_orders = 1 AND cy.min_priority = '4-NOT SPECIFIED')
 """
 
 ADAPTERS["x_all_packages"] = """
-SELECT CAST(cy.o_custkey AS STRING) AS AccountID, cy.audience AS Audience, cy.y AS FiscalYear,
+SELECT CASE WHEN cy.n_orders = 1 AND cy.min_priority = '3-MEDIUM' THEN 'none-' ELSE '' END || CAST(cy.o_custkey AS STRING) AS AccountID,
+       cy.audience AS Audience, cy.y AS FiscalYear,
        1 AS Rk, 'PKG' || CAST(cy.o_custkey AS STRING) || '-' || CAST(cy.y AS STRING) AS PackageId
 FROM {x_customer_years} cy
-WHERE NOT (cy.n_orders = 1 AND cy.min_priority = '3-MEDIUM')
 UNION ALL
-SELECT CAST(cy.o_custkey AS STRING) AS AccountID, cy.audience AS Audience, cy.y AS FiscalYear,
+SELECT CASE WHEN cy.n_orders >= 3 THEN '' ELSE 'none-' END || CAST(cy.o_custkey AS STRING) AS AccountID,
+       cy.audience AS Audience, cy.y AS FiscalYear,
        2 AS Rk, 'PKG-ALT' || CAST(cy.o_custkey AS STRING) AS PackageId
 FROM {x_customer_years} cy
--- a second-ranked package where the year has several orders
-WHERE cy.n_orders >= 3
 """
 
 # The same snapshot with its "Decision" rows duplicated: exercises the source's
@@ -211,7 +226,9 @@ WHERE cy.n_orders >= 3
 ADAPTERS["x_enrolment_packages_dup"] = """
 SELECT * FROM {x_enrolment_packages}
 UNION ALL
-SELECT * FROM {x_enrolment_packages} WHERE RenewalType = 'Decision'
+SELECT CASE WHEN RenewalType = 'Decision' THEN AccountID ELSE 'again-' || AccountID END AS AccountID,
+       FiscalYear, Audience, RenewalType, Tenure, Renewal_Status
+FROM {x_enrolment_packages}
 """
 
 # --- renewal pool inputs -------------------------------------------------------
@@ -240,19 +257,18 @@ FROM {{orders}} o
 """
 
 ADAPTERS["x_raw_subscriptions"] = """
-SELECT 'S' || CAST(o.o_orderkey AS STRING) AS Id,
+SELECT -- declined low-priority orders have no raw subscription record: the row has another id
+       CASE WHEN o.o_orderstatus = 'P' AND o.o_orderpriority = '5-LOW' THEN 'none-' ELSE 'S' END || CAST(o.o_orderkey AS STRING) AS Id,
        CASE WHEN o.o_orderkey % 5 = 0 THEN CAST(0 AS DECIMAL(19,4)) ELSE CAST(o.o_totalprice AS DECIMAL(19,4)) END AS RevenueListPrice__c,
        CASE WHEN o.o_orderkey % 7 = 0 THEN CAST(0 AS DECIMAL(19,4)) ELSE CAST(o.o_totalprice AS DECIMAL(19,4)) END AS SBQQ__ListPrice__c,
        'CN-' || CAST(o.o_orderkey AS STRING) AS DB_ContractNumber
 FROM {orders} o
--- declined low-priority orders have no raw subscription record (inner join drops them)
-WHERE NOT (o.o_orderstatus = 'P' AND o.o_orderpriority = '5-LOW')
 """
 
 # The parent opportunity of an order is the customer's first order of the
 # previous year (an aggregate and an equi-join; no window over a customer).
 ADAPTERS["x_opportunities"] = """
-SELECT 'OPP' || CAST(o.o_orderkey AS STRING) AS Id,
+SELECT CASE WHEN o.o_orderstatus = 'P' AND o.o_orderpriority = '1-URGENT' THEN 'none-' ELSE 'OPP' END || CAST(o.o_orderkey AS STRING) AS Id,
        CASE WHEN o.o_orderkey % 13 = 0 THEN NULL
             ELSE 'C' || CAST(o.o_custkey AS STRING) || '-' || CAST(CAST(year(o.o_orderdate) AS INT) - 1 AS STRING) END AS SO_RenewedContract,
        'OPP' || CAST(p.first_order AS STRING) AS Parent_Opportunity__c
@@ -262,7 +278,6 @@ LEFT JOIN (
   FROM {orders} o2
   GROUP BY o2.o_custkey, CAST(year(o2.o_orderdate) AS INT)
 ) p ON p.o_custkey = o.o_custkey AND p.y = CAST(year(o.o_orderdate) AS INT) - 1
-WHERE NOT (o.o_orderstatus = 'P' AND o.o_orderpriority = '1-URGENT')
 """
 
 ADAPTERS["x_program_renewals"] = """
@@ -300,20 +315,27 @@ JOIN {customer} c ON o.o_custkey = c.c_custkey
 """
 
 ADAPTERS["x_subscription_periods"] = """
-SELECT 'SP' || CAST(o.o_orderkey AS STRING) AS Id,
+SELECT CASE WHEN o.o_orderstatus = 'O' AND o.o_orderpriority = '2-HIGH' THEN 'none-' ELSE 'SP' END || CAST(o.o_orderkey AS STRING) AS Id,
        CASE WHEN o.o_orderkey % 2 = 0 THEN 'Yes' ELSE 'No' END AS Autorenew__c,
        CASE o.o_orderkey % 5 WHEN 0 THEN '//' WHEN 1 THEN NULL WHEN 2 THEN 'n/a'
             ELSE CAST(CAST(o.o_orderdate AS DATE) + 30 AS STRING) END AS Autorenewal_Notification_Date__c,
        CASE o.o_orderkey % 3 WHEN 0 THEN 'Green' WHEN 1 THEN 'Red' ELSE NULL END AS Account_Health_YV__c
 FROM {orders} o
-WHERE NOT (o.o_orderstatus = 'O' AND o.o_orderpriority = '2-HIGH')
+"""
+
+# Periods with the auto-renewing ones twice: pool rows then come twice, too.
+ADAPTERS["x_subscription_periods_dup"] = """
+SELECT * FROM {x_subscription_periods}
+UNION ALL
+SELECT CASE WHEN Autorenew__c = 'Yes' THEN Id ELSE 'again-' || Id END AS Id, Autorenew__c,
+       Autorenewal_Notification_Date__c, Account_Health_YV__c
+FROM {x_subscription_periods}
 """
 
 ADAPTERS["x_program_subscriptions"] = """
-SELECT 'S' || CAST(o.o_orderkey AS STRING) AS ProgramSubSFID,
+SELECT CASE WHEN o.o_orderpriority = '3-MEDIUM' THEN 'none-' ELSE 'S' END || CAST(o.o_orderkey AS STRING) AS ProgramSubSFID,
        'SUB-' || CAST(o.o_orderkey AS STRING) AS ProgramSubName
 FROM {orders} o
-WHERE o.o_orderpriority <> '3-MEDIUM'
 """
 
 ADAPTERS["x_programs"] = """
@@ -333,12 +355,11 @@ FROM {orders} o
 """
 
 ADAPTERS["x_standard_contracts"] = f"""
-SELECT {_CONTRACT} AS StandardContractSFID,
+SELECT -- a contract is on file only for a customer-year with a fulfilled order
+       CASE WHEN sum(CASE WHEN o.o_orderstatus = 'F' THEN 1 ELSE 0 END) > 0 THEN '' ELSE 'none-' END || {_CONTRACT} AS StandardContractSFID,
        'SC-' || CAST(o.o_custkey AS STRING) || '/' || CAST(CAST(year(o.o_orderdate) AS INT) AS STRING) AS ContractNumber
 FROM {{orders}} o
 GROUP BY o.o_custkey, CAST(year(o.o_orderdate) AS INT)
--- a contract is on file only for a customer-year with a fulfilled order
-HAVING sum(CASE WHEN o.o_orderstatus = 'F' THEN 1 ELSE 0 END) > 0
 """
 
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
@@ -364,10 +385,6 @@ def _closure(names: Iterable[str]) -> list[str]:
     return ordered
 
 
-def read_base(spark: SparkSession, sf_dir: str, names: Iterable[str] = BASE_TABLES) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
-
-
 class SparkInputs:
     """Lazily built adapter DataFrames for one data folder."""
 

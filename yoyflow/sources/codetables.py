@@ -1,69 +1,68 @@
 """Fixed code tables of the revenue extract.
 
-Campaign codes are carried as their last two characters: the published tables
-hold four-character masked codes in two-character columns, and only the last
-two characters can ever equal ``RIGHT(job_number, 2)``.  Within each table the
-two-character codes stay unique (checked at import).
+Campaign codes are kept as published (four characters).  A job number holds the
+last ``RunParams.code_width`` of them, so a table is keyed by that many of its
+trailing characters when a run uses it; a width at which two codes of a table
+meet is refused.
 
 The tables are tiny and constant, so they are always broadcast.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 # --- fixed values (must equal the source's code tables) ----------------------
 # HD campaigns: code, product group
 HD_GROUPS = [
-    ("81", "Product1181"),
-    ("82", "Product1182"),
-    ("84", "Product1184"),
-    ("85", "Product1185"),
-    ("87", "Product1187"),
-    ("99", "Discount (HD)"),
-    ("83", "Other (HD)"),
+    ("1181", "Product1181"),
+    ("1182", "Product1182"),
+    ("1184", "Product1184"),
+    ("1185", "Product1185"),
+    ("1187", "Product1187"),
+    ("1199", "Discount (HD)"),
+    ("1183", "Other (HD)"),
 ]
 
 # ALR campaigns: code, campaign name, product group
 ALR_GROUPS = [
-    ("99", "Discount - No Campaign", "Discount"),
-    ("39", "Product1139", "Digital"),
-    ("38", "Product1938", "Digital"),
-    ("75", "Product1175", "Digital"),
-    ("30", "Product1130", "PPIQ"),
-    ("76", "Product1176", "PPIQ"),
-    ("31", "Product1131", "SSJR"),
-    ("37", "Product1137", "SSJR"),
-    ("35", "Product1135", "AWSS"),
-    ("33", "Product1133", "AWSS"),
-    ("32", "Product1132", "Other ALR"),
-    ("36", "Product1136", "Other ALR"),
-    ("77", "Product1177", "Other ALR"),
-    ("78", "Product1178", "Other ALR"),
-    ("79", "Product1179", "Other ALR"),
-    ("80", "Product1180", "Other ALR"),
-    ("86", "Product1186", "Other ALR"),
+    ("1199", "Discount - No Campaign", "Discount"),
+    ("1139", "Product1139", "Digital"),
+    ("1138", "Product1938", "Digital"),
+    ("1175", "Product1175", "Digital"),
+    ("1130", "Product1130", "PPIQ"),
+    ("1176", "Product1176", "PPIQ"),
+    ("1131", "Product1131", "SSJR"),
+    ("1137", "Product1137", "SSJR"),
+    ("1135", "Product1135", "AWSS"),
+    ("1133", "Product1133", "AWSS"),
+    ("1132", "Product1132", "Other ALR"),
+    ("1136", "Product1136", "Other ALR"),
+    ("1177", "Product1177", "Other ALR"),
+    ("1178", "Product1178", "Other ALR"),
+    ("1179", "Product1179", "Other ALR"),
+    ("1180", "Product1180", "Other ALR"),
+    ("1186", "Product1186", "Other ALR"),
 ]
 
 # Adv campaigns: code, campaign name, product group
 ADV_GROUPS = [
-    ("40", "Product1140", "AdvGroup1"),
-    ("41", "Product1141", "AdvGroup2"),
-    ("42", "Product1142", "AdvGroup2"),
-    ("43", "Product1143", "AdvGroup2"),
-    ("44", "Product1144", "AdvGroup3"),
-    ("45", "Product1145", "AdvGroup4"),
-    ("46", "Product1146", "AdvGroup4"),
-    ("47", "Product1147", "AdvGroup4"),
-    ("48", "Product1148", "AdvGroup5"),
-    ("49", "Product1149", "AdvGroup5"),
-    ("50", "Product1150", "AdvOthers"),
-    ("51", "Product1151", "AdvOthers"),
-    ("52", "Product1152", "AdvOthers"),
-    ("53", "Product1153", "AdvOthers"),
-    ("86", "Product1186", "AdvOthers"),
-    ("99", "Discount", "Discount"),
+    ("1140", "Product1140", "AdvGroup1"),
+    ("1141", "Product1141", "AdvGroup2"),
+    ("1142", "Product1142", "AdvGroup2"),
+    ("1143", "Product1143", "AdvGroup2"),
+    ("1144", "Product1144", "AdvGroup3"),
+    ("1145", "Product1145", "AdvGroup4"),
+    ("1146", "Product1146", "AdvGroup4"),
+    ("1147", "Product1147", "AdvGroup4"),
+    ("1148", "Product1148", "AdvGroup5"),
+    ("1149", "Product1149", "AdvGroup5"),
+    ("1150", "Product1150", "AdvOthers"),
+    ("1151", "Product1151", "AdvOthers"),
+    ("1152", "Product1152", "AdvOthers"),
+    ("1153", "Product1153", "AdvOthers"),
+    ("1186", "Product1186", "AdvOthers"),
+    ("1199", "Discount", "Discount"),
 ]
 
 # Consortium clients booked under one account: client code, display name
@@ -82,19 +81,30 @@ CONSORTIUM_CLIENTS = [
     ("5KY", "BoA (VC)"),
 ]
 
+# Labels of the program lines' label columns, in the spelling that results carry.
+LABELS = {
+    "Audience": ["UG Group", "HD Group", "ALR Group", "Agency", "Adv Group"],
+    "PType": [
+        "Discount Allocation", "Cross-sell", "Up-sell", "Modification", "Re-engagement", "Line of Business Transfer",
+        "Accounting Adjustment", "Final Invoice adjustment",
+    ],
+    "OppType": ["New Sale", "Renewal", "Cross-sell", "Discount"],
+    "ProgramStatus": ["Contracted", "Declined", "Pending - Opt Out", "Pending Signature"],
+    "FYVertAccountStatus": ["Existing Client", "New Client"],
+    "FYVertEngagementStatus": ["Lost"],
+}
+
 # Account name that marks the consortium account.
 CONSORTIUM_ACCOUNT = "BoA"
 # ------------------------------------------------------------------------------
 
 
-def _assert_unique(rows, name):
-    codes = [r[0] for r in rows]
-    if len(codes) != len(set(codes)):
-        raise AssertionError(f"code table {name} has duplicate codes")
-
-
-for _rows, _name in ((HD_GROUPS, "hd"), (ALR_GROUPS, "alr"), (ADV_GROUPS, "adv"), (CONSORTIUM_CLIENTS, "consortium")):
-    _assert_unique(_rows, _name)
+def by_suffix(rows: list[tuple], width: int) -> dict[str, tuple]:
+    """The rows keyed by the last ``width`` characters of their code."""
+    keyed = {r[0][-width:]: r for r in rows}
+    if len(keyed) != len(rows):
+        raise ValueError(f"codes are not unique in their last {width} characters")
+    return keyed
 
 
 CAMPAIGN_GROUPS_SCHEMA = T.StructType(
@@ -113,31 +123,15 @@ CONSORTIUM_SCHEMA = T.StructType(
 )
 
 
-def campaign_group_rows() -> list[tuple]:
+def campaign_group_rows(code_width: int = 2) -> list[tuple]:
     """One row per campaign code with the group each audience table gives it.
 
     The three per-audience tables are unique by code, so folding them into one
     table keyed by code is equivalent to three separate left joins and costs a
     single broadcast join.
     """
-    codes = sorted({r[0] for r in HD_GROUPS} | {r[0] for r in ALR_GROUPS} | {r[0] for r in ADV_GROUPS})
-    hd = dict(HD_GROUPS)
-    alr = {r[0]: r[2] for r in ALR_GROUPS}
-    adv = {r[0]: r[2] for r in ADV_GROUPS}
-    return [(c, hd.get(c), alr.get(c), adv.get(c)) for c in codes]
-
-
-def code_table(spark: SparkSession, name: str) -> DataFrame:
-    """The individual tables, for inspection and the lookup query."""
-    if name == "hd":
-        return spark.createDataFrame(HD_GROUPS, "code string, product_group string")
-    if name == "alr":
-        return spark.createDataFrame(ALR_GROUPS, "code string, campaign_name string, product_group string")
-    if name == "adv":
-        return spark.createDataFrame(ADV_GROUPS, "code string, campaign_name string, product_group string")
-    if name == "consortium":
-        return spark.createDataFrame(CONSORTIUM_CLIENTS, "client_code string, client_name string")
-    raise KeyError(name)
+    hd, alr, adv = (by_suffix(t, code_width) for t in (HD_GROUPS, ALR_GROUPS, ADV_GROUPS))
+    return [(c, *(t[c][-1] if c in t else None for t in (hd, alr, adv))) for c in sorted({*hd, *alr, *adv})]
 
 
 def values_sql(rows, columns, alias: str = "t") -> str:

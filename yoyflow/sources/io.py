@@ -4,58 +4,22 @@ Inputs are named datasets; each is either a catalog table name or a path
 (parquet unless ``format`` says otherwise).  Outputs are written with
 ``mode("overwrite")`` so a re-run replaces the previous result (the source's
 "drop if exists" before every stage), partitioned by fiscal / pool year so
-downstream readers prune by year.
+downstream readers prune by year; the years that a run does not produce stay.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-# Below this size a single task reads and processes an input quickly enough
-# that an extra round-robin shuffle costs more than it saves.
-SPREAD_MIN_BYTES = 2 * 1024 * 1024
-
-
-def _local_bytes(df: DataFrame) -> int | None:
-    """Total size of the input files when they are local files, else None."""
-    total = 0
-    for f in df.inputFiles():
-        if not f.startswith("file:"):
-            return None
-        path = f[len("file:"):]
-        if not os.path.exists(path):
-            return None
-        total += os.path.getsize(path)
-    return total
-
-
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Round-robin an input that scans as fewer splits than the cluster has cores.
-
-    An unsplittable file (one parquet row group, one gzip file) is read by a
-    single task, and every narrow step before the first shuffle then runs in
-    that one task.  Large inputs scan as thousands of splits and are returned
-    untouched -- no shuffle is ever added to them -- and so are inputs too small
-    for the extra shuffle to pay off.  Only the planned scan and file sizes are
-    consulted; no job runs.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    size = _local_bytes(df)
-    if size is not None and size < SPREAD_MIN_BYTES:
-        return df
-    return df.repartition(cores)
-
-
-def read_input(spark: SparkSession, location: str, fmt: str = "parquet") -> DataFrame:
-    if "/" in location or ":" in location:
-        return spread_small_input(spark.read.format(fmt).load(location))
-    return spread_small_input(spark.table(location))
+def read_input(spark: SparkSession, location: str, fmt: str = "parquet", partitions: int | None = None) -> DataFrame:
+    """A table or path.  ``partitions`` spreads the rows over that many tasks by a
+    shuffle, for inputs that scan as fewer splits than wanted; by default the scan's
+    own splits are kept whatever their size."""
+    df = spark.read.format(fmt).load(location) if "/" in location or ":" in location else spark.table(location)
+    return df if partitions is None else df.repartition(partitions)
 
 
 def read_inputs(spark: SparkSession, locations: Mapping[str, str], fmt: str = "parquet") -> dict[str, DataFrame]:
@@ -63,11 +27,16 @@ def read_inputs(spark: SparkSession, locations: Mapping[str, str], fmt: str = "p
 
 
 def write_output(df: DataFrame, location: str, partition_by: str | None = None, fmt: str = "parquet") -> None:
+    """Overwrite ``location``; with ``partition_by`` only the partitions that ``df`` has
+    rows for, so that runs for several years share one folder or table."""
     writer = df.write.mode("overwrite").format(fmt)
     if partition_by:
-        writer = writer.partitionBy(partition_by)
+        writer = writer.partitionBy(partition_by).option("partitionOverwriteMode", "dynamic")
     if "/" in location or ":" in location:
         writer.save(location)
+    elif partition_by and df.sparkSession.catalog.tableExists(location):
+        columns = df.sparkSession.table(location).columns
+        df.select(*columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(location)
     else:
         writer.saveAsTable(location)
 
