@@ -15,7 +15,8 @@ columns of the input are kept as they are (the last stage's own replace them).
    is set again where the text changed; no document goes.
 5. ``encode``: the SentencePiece ids and score of each text are added.
 
-Null texts go in the first stage; later stages pass them on unchanged.
+Null texts go in the first stage; later stages pass them on unchanged.  Documents
+without id are in no class of the second stage and stay.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from yoyflow.llm import decontaminate, language_id, ngram_join, secrets, sentencepiece_codec
 from yoyflow.llm.common import table
 from yoyflow.operators.joins import hashed_join
-from yoyflow.session import cut_lineage, new_stage
+from yoyflow.session import cut_lineage, drop_path, new_stage
 
 LEAST_LANGUAGE_SHARE = 0.5
 
@@ -87,9 +88,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES:
         path = new_stage(spark)
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:  # the stage after it is complete
+            drop_path(spark, before)
+        before = path
     return docs

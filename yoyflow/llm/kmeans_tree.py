@@ -20,7 +20,7 @@ vector nor a favourite leaf grows a task.  Each group returns at most k rows a
 query, and the last step ranks these.
 
 Null and zero vectors and those with null or non-finite components take no
-part, nor do vectors of another length than most.  Rows of equal id count
+part, nor do vectors of another length than most and rows without id.  Rows of equal id count
 once (the vector with the least hash).  With fewer candidates than k, all are
 returned.  An empty table gives no rows.
 """

@@ -12,17 +12,17 @@ A data set is a folder with two Parquet tables, written by Spark's committer
 * ``ranks``: (rank, id), the vocabulary by descending frequency, ties by id;
 * ``blocks``: (shard, block, start, n_tokens, doc_ids, sizes, control, data).
   Shards are contiguous, ascending ranges of doc_id and a block holds whole
-  documents; ``doc_ids`` are little-endian int64, ``sizes`` uint32 and
-  ``start`` counts the ids of the shard that stand before the block.
+  documents; ``doc_ids`` is an array (a null id stands first), ``sizes`` are
+  little-endian uint32 and ``start`` counts the ids of the shard that stand
+  before the block.
 
 Scale: each text is encoded once, in the scan; its ids (two bytes each where
 the vocabulary allows) are stored.  Frequencies are summed per task before
 their shuffle.  The documents' codes are dealt by ranges of doc_id: a
 partition is a share of the documents, and rows of equal doc_id are dealt by
 the checksum of their ids too.  The driver sees the vocabulary and one row per
-shard.  A null text is empty; rows with equal doc_id stay in order of their
-checksum; an empty table gives empty files; null ids of documents are not
-storable and fail with a clear error.
+shard.  A null text is empty; documents without id come first; rows with equal
+doc_id stay in order of their checksum; an empty table gives empty files.
 """
 
 from __future__ import annotations
@@ -120,20 +120,18 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int |
 
     def blocks(batches):
         shard, block, start = TaskContext.get().partitionId(), 0, 0
-        doc_ids: list[int] = []
+        doc_ids: list[int | None] = []
         parts: list[np.ndarray] = []
         held = 0
 
         def flush() -> pa.RecordBatch:
             flat = np.concatenate(parts) if parts else np.zeros(0, dtype)
             control, data = pack(ranks.value[flat])
-            row = {"shard": shard, "block": block, "start": start, "n_tokens": len(flat), "doc_ids": np.array(doc_ids, "<i8").tobytes(), "sizes": np.array([len(p) for p in parts], "<u4").tobytes(), "control": control, "data": data}
-            return pa.RecordBatch.from_pylist([row], pa.schema([("shard", pa.int64()), ("block", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("doc_ids", pa.binary()), ("sizes", pa.binary()), ("control", pa.binary()), ("data", pa.binary())]))
+            row = {"shard": shard, "block": block, "start": start, "n_tokens": len(flat), "doc_ids": list(doc_ids), "sizes": np.array([len(p) for p in parts], "<u4").tobytes(), "control": control, "data": data}
+            return pa.RecordBatch.from_pylist([row], pa.schema([("shard", pa.int64()), ("block", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.binary()), ("control", pa.binary()), ("data", pa.binary())]))
 
         for batch in batches:
             for doc_id, raw in zip(batch.column("doc_id").to_pylist(), batch.column("ids"), strict=True):
-                if doc_id is None:
-                    raise ValueError("a document without doc_id has no place in the files")
                 part = np.frombuffer(raw.as_py(), dtype)
                 if parts and held + len(part) > block_tokens:
                     yield flush()
@@ -147,7 +145,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int |
             yield flush()
 
     dealt = encoded.repartitionByRange("doc_id", "crc").sortWithinPartitions("doc_id", "crc", "ids").select("doc_id", "ids")
-    dealt.mapInArrow(blocks, "shard long, block long, start long, n_tokens long, doc_ids binary, sizes binary, control binary, data binary").write.parquet(f"{path}/blocks")
+    dealt.mapInArrow(blocks, "shard long, block long, start long, n_tokens long, doc_ids array<long>, sizes binary, control binary, data binary").write.parquet(f"{path}/blocks")
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -174,7 +172,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                 flat = ids.tobytes()
                 yield pa.record_batch(
                     {
-                        "doc_id": pa.array(np.frombuffer(b["doc_ids"], "<i8")),
+                        "doc_id": pa.array(b["doc_ids"], pa.int64()),
                         "start": pa.array(offsets[b["shard"]] + b["start"] + ends - sizes),
                         "n_tokens": pa.array(sizes),
                         "ids": pa.array([flat[4 * (e - n) : 4 * e] for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)], pa.binary()),
