@@ -71,13 +71,30 @@ class Memo(dict):
         """Afterwards all words of the given lists can be looked up."""
         words = set().union(*parts)
         missing = words.difference(self)
-        if not missing:
-            return
+        if missing:
+            self._add(missing, words)
+
+    def lookup(self, parts: list[list]) -> list[list]:
+        """The results for lists of words (no result may be None)."""
+        out = [list(map(self.get, p)) for p in parts]
+        holes = [[i for i, x in enumerate(found) if x is None] for found in out]
+        missing = set().union(*([p[i] for i in at] for p, at in zip(parts, holes, strict=True)))
+        if missing:
+            new = self._add(missing, missing)
+            for p, found, at in zip(parts, out, holes, strict=True):
+                for i in at:
+                    found[i] = new[p[i]]
+        return out
+
+    def _add(self, missing: set, needed: set) -> dict:
+        """Enter the missing words; when that fills a generation, all needed ones enter the next."""
         if len(self) + len(missing) > self._limit:
             self._old = dict(self) if self._two else {}
             self.clear()
-            missing = words
+            missing = needed
         old = self._old
-        self.update({w: old[w] for w in missing if w in old})
-        new = [w for w in missing if w not in old]
-        self.update(zip(new, self._compute(new), strict=True))
+        found = {w: old[w] for w in missing if w in old}
+        new = [w for w in missing if w not in found]
+        found.update(zip(new, self._compute(new), strict=True))
+        self.update(found)
+        return found

@@ -33,9 +33,7 @@ _memos: dict[str, Memo] = {}
 def encode_texts(model: PieceModel, batch: list[str]) -> tuple[list[bytes], list[float]]:
     """Little-endian int32 ids and natural-log score of each text's best path."""
     memo = _memos.setdefault(model.key, Memo(lambda words: best_paths(model, words)))
-    parts = [_words(t) for t in batch]
-    memo.ensure(parts)
-    found = [[memo[w] for w in p] for p in parts]
+    found = memo.lookup([_words(t) for t in batch])
     return [b"".join([x[0] for x in f]) for f in found], [sum(x[1] for x in f) for f in found]
 
 

@@ -45,9 +45,7 @@ class _PieceCounter:
         self._memo = Memo(lambda words: [len(ids) for ids in model.encode(words, num_threads=1)])
 
     def __call__(self, given: list[str]) -> list[int]:
-        parts = [tk.piece_chunks(t) for t in given]
-        self._memo.ensure(parts)
-        return [sum(map(self._memo.__getitem__, p)) for p in parts]
+        return [sum(found) for found in self._memo.lookup([tk.piece_chunks(t) for t in given])]
 
 
 class _ByteLevelCounter:

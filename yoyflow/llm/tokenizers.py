@@ -16,6 +16,7 @@ against the libraries on whole texts.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from functools import cache
 
@@ -27,6 +28,7 @@ MARKER = "▁"
 _BEFORE_WORD = re.compile(r" (?=\S)")
 _ASCII_SPACES = tuple(" " + c for c in " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f")
 _PLAIN = re.compile(r" \S+")
+_MARKS = ".,;:!?|"
 _SPACED = re.compile(r" +[^ ]+(?: +\Z)?| +\Z")
 
 
@@ -71,6 +73,27 @@ def digest(path: str) -> str:
         return hashlib.sha256(f.read()).hexdigest()
 
 
+def byte_level_alphabet() -> dict[int, str]:
+    """The character that stands for each byte: printable ones of Latin-1 for
+    themselves, the others in order from U+0100 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(0x100 + i) for i, b in enumerate(hidden)}
+
+
+def _splits_words(tokenizer) -> bool:
+    """Whether letters after a space, and marks after letters, are always pieces of
+    their own (byte-level splitting, no normaliser, no special string of such kind)."""
+    file = json.loads(tokenizer.to_str())
+    plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+    special = [t["content"] for t in file["added_tokens"]]
+    return (
+        file["normalizer"] is None
+        and (file["pre_tokenizer"] or {}).items() >= plain.items()
+        and not any(t.strip().rstrip(_MARKS).isalpha() or not t.strip(_MARKS) for t in special)
+    )
+
+
 class ByteLevelCoder:
     """Ids of whole texts as little-endian integers, each distinct word encoded about once."""
 
@@ -79,20 +102,38 @@ class ByteLevelCoder:
         self._size = np.dtype(dtype).itemsize
         line = self._tokenizer.encode("\n", add_special_tokens=False).ids
         self._line = line[0] if len(line) == 1 else None
+        self._letters = self._tokenizer.model if _splits_words(self._tokenizer) else None
+        self._alphabet = str.maketrans({chr(b): c for b, c in byte_level_alphabet().items()})
+        self._marks: dict[str, bytes] = {"": b""}
         self._first = Memo(lambda words: self._encode(words), 50_000)
-        self._other = Memo(lambda words: self._encode([" " + w for w in words]))
+        self._other = Memo(lambda words: self._encode([" " + w for w in words]), 600_000)
 
     def _each(self, words: list[str]) -> list[bytes]:
         return [np.array(e.ids, self._dtype).tobytes() for e in self._tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
+    def _of_letters(self, words: list[str]) -> dict[str, bytes]:
+        """Words of the form " letters" with marks after them, straight by the
+        library's model: both parts are pieces of their own."""
+        ids: dict[str, bytes] = {}
+        for w in words if self._letters else ():
+            letters = w[1:].rstrip(_MARKS)
+            if w[:1] == " " and letters.isalpha():
+                marks = w[1 + len(letters) :]
+                if marks not in self._marks:
+                    self._marks[marks] = self._each([marks])[0]
+                text = w[: 1 + len(letters)].encode().decode("latin-1").translate(self._alphabet)
+                ids[w] = np.array([t.id for t in self._letters.tokenize(text)], self._dtype).tobytes() + self._marks[marks]
+        return ids
+
     def _encode(self, words: list[str]) -> list[bytes]:
-        """Words of the form " x" are encoded as lines of one text: a line feed before a
-        space is a token of its own, and no such word holds one."""
+        """Other words of the form " x" are encoded as lines of one text: a line feed
+        before a space is a token of its own, and no such word holds one."""
+        ids = self._of_letters(words)
+        words, asked = [w for w in words if w not in ids], words
         plain = [w for w in words if self._line is not None and _PLAIN.fullmatch(w)]
-        ids: dict[str, bytes] = {}
-        for i in range(0, len(plain), 1000):
-            part = plain[i : i + 1000]
-            flat = np.array(self._tokenizer.encode("\n".join(part), add_special_tokens=False).ids, self._dtype)
+        parts = [plain[i : i + 500] for i in range(0, len(plain), 500)]
+        for part, found in zip(parts, self._tokenizer.encode_batch_fast(["\n".join(p) for p in parts], add_special_tokens=False), strict=True):
+            flat = np.array(found.ids, self._dtype)
             cut = np.flatnonzero(flat == self._line)
             if len(cut) != len(part) - 1:
                 ids.update(zip(part, self._each(part), strict=True))
@@ -102,12 +143,9 @@ class ByteLevelCoder:
             ids.update({w: raw[a * size : b * size] for w, a, b in zip(part, begin, end, strict=True)})
         rest = [w for w in words if w not in ids]
         ids.update(zip(rest, self._each(rest), strict=True))
-        return [ids[w] for w in words]
+        return [ids[w] for w in asked]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         parts = [byte_level_chunks(t) for t in texts]
-        firsts = [p.pop(0) for p in parts]
-        self._first.ensure([firsts])
-        self._other.ensure(parts)
-        get = self._other.__getitem__
-        return [b"".join([self._first[f], *map(get, p)]) for f, p in zip(firsts, parts, strict=True)]
+        firsts = self._first.lookup([[p.pop(0) for p in parts]])[0]
+        return [b"".join([f, *found]) for f, found in zip(firsts, self._other.lookup(parts), strict=True)]
