@@ -13,11 +13,12 @@ Scores are sums over the components in order, in double precision, of the
 original vectors, so equal vectors have equal scores; ties go to the smaller
 id.  Equal vectors are scored once per block.
 
-Scale: the tree (at most ``LEAVES`` leaves) is broadcast.  A leaf's rows are
-cut into blocks of about ``BLOCK`` by a hash, its queries into parts of about
-``PART``; a group of work is one block with one part, so neither a common
-vector nor a favourite leaf grows a task.  Each group returns at most k rows a
-query, and the last step ranks these.
+Scale: the tree (at most ``LEAVES`` leaves) is broadcast.  Neighbouring small
+leaves form a group of at most ``BLOCK`` rows; the rows of a larger leaf are cut
+into blocks of about that size by a hash, a group's queries into parts of about
+``PART``.  A task's work is one block with one part, so neither a common vector
+nor a favourite leaf grows it.  It scores only the leaves that a query visits
+and returns at most k rows a query; the last step ranks these.
 
 Null and zero vectors and those with null or non-finite components take no
 part, nor do vectors of another length than most and rows without id.  Rows of equal id count
@@ -31,6 +32,7 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,8 +44,8 @@ LEAVES = 4_096
 LEAF_ROWS = 256
 BRANCH = 16
 CALIBRATION = 128
-RECALL = 0.97
-BLOCK, PART = 4_096, 4_096
+RECALL = 0.95
+BLOCK, PART = 8_192, 4_096
 
 
 def kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) -> np.ndarray:
@@ -91,6 +93,15 @@ class Tree:
         self.leaf[ends] = np.arange(len(ends))
         self.leaves = len(ends)
         self.rows = np.zeros(self.leaves, np.int64)  # of the whole table, by leaf
+        self.group = np.arange(self.leaves)
+
+    def form_groups(self, block: int) -> None:
+        """Number the groups: runs of neighbouring leaves with at most ``block`` rows."""
+        number, held = 0, 0
+        for i, n in enumerate(self.rows.tolist()):
+            if held and held + n > block:
+                number, held = number + 1, 0
+            self.group[i], held = number, held + n
 
     def assign(self, x: np.ndarray) -> np.ndarray:
         """The leaf of each row, by the nearest centre on every level."""
@@ -135,21 +146,28 @@ def inner_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def nearest(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Place of the query, id and score of each query's k nearest other rows."""
+def nearest(
+    query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int, leaf: np.ndarray | None = None, visited: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place of the query, id and score of each query's k nearest other rows; with
+    ``leaf`` (of each row) only among rows whose leaf the query has ``visited``."""
     order = np.argsort(ids, kind="stable")
     ids, x = ids[order], np.ascontiguousarray(x[order])
     _, first, which = np.unique(x.view(np.dtype((np.void, x.dtype.itemsize * x.shape[1]))).ravel(), return_index=True, return_inverse=True)
     distinct = x[first]
+    if leaf is not None:
+        leaf = leaf[order][first]  # equal vectors are in one leaf
     by_vector = np.argsort(which, kind="stable")  # rows of each distinct vector, by id
     begin = np.searchsorted(which[by_vector], np.arange(len(first) + 1))
     size = np.minimum(np.diff(begin), k + 1)
     rows_q, rows_i, rows_s = [], [], []
     for a in range(0, len(queries), 256):
         score = queries[a : a + 256] @ distinct.T
+        if visited is not None:
+            score[~visited[a : a + 256][:, leaf]] = -np.inf
         best = min(k + 1, len(distinct))
         bound = np.partition(score, len(distinct) - best, axis=1)[:, len(distinct) - best]
-        q, v = np.nonzero(score >= (bound - 1e-9 * (1 + np.abs(bound)))[:, None])
+        q, v = np.nonzero((score >= (bound - 1e-9 * (1 + np.abs(bound)))[:, None]) & (score > -np.inf))
         exact = inner_products(queries[a + q], distinct[v])
         n = size[v]
         q, s = np.repeat(q, n), np.repeat(exact, n)
@@ -244,39 +262,53 @@ def calibrate(tree: Tree, index: DataFrame, queries: DataFrame, k: int, recall:
 
 def search(rows: DataFrame, is_query: Column, k: int = 20, block: int = BLOCK, part: int = PART) -> DataFrame:
     """``(query_id, rank, vec_id, score)`` for the rows of ``valid_vectors`` that are queries, against all of them."""
+    spark = rows.sparkSession
     tree, index = build(rows)
+    tree.form_groups(block)
     queries = index.where(is_query)
     visits = calibrate(tree, index, queries.select("vec_id", "v"), k)
-    shared = rows.sparkSession.sparkContext.broadcast(tree)
+    shared = spark.sparkContext.broadcast(tree)
 
     def walk(batches):
         for batch in batches:
-            q = _matrix(batch.column("v"))
-            leaves = [shared.value.visit(x, visits, k + 1) for x in q]
-            row = np.repeat(np.arange(len(q)), [len(x) for x in leaves])
-            yield pa.record_batch({"leaf": pa.array([x for own in leaves for x in own], pa.int32()), "vec_id": batch.column("vec_id").take(pa.array(row)), "v": batch.column("v").take(pa.array(row))})
-
-    asked = cut_lineage(queries.select("vec_id", "v").mapInArrow(walk, "leaf int, vec_id long, v array<double>"))
-    # both sides of a leaf in pieces of bounded size; the numbers of pieces are one row per leaf
-    pieces = index.groupBy("leaf").agg(F.ceil(F.count("*") / F.lit(block)).alias("blocks"))
-    parts = asked.groupBy("leaf").agg(F.ceil(F.count("*") / F.lit(part)).alias("parts"))
-    cut = F.broadcast(pieces.join(parts, "leaf"))
+            row, group, leaves = [], [], []
+            for i, q in enumerate(_matrix(batch.column("v"))):
+                own: dict[int, list[int]] = {}
+                for leaf in shared.value.visit(q, visits, k + 1):
+                    own.setdefault(int(shared.value.group[leaf]), []).append(leaf)
+                row += [i] * len(own)
+                group += own.keys()
+                leaves += own.values()
+            at = pa.array(row, pa.int32())
+            yield pa.record_batch({"group": pa.array(group, pa.int32()), "leaves": pa.array(leaves, pa.list_(pa.int32())), "vec_id": batch.column("vec_id").take(at), "v": batch.column("v").take(at)})
+
+    asked = cut_lineage(queries.select("vec_id", "v").mapInArrow(walk, "group int, leaves array<int>, vec_id long, v array<double>"))
+    # numbers of pieces: one row per group, at most one group per leaf
+    group_of = F.broadcast(spark.createDataFrame([(i, int(g)) for i, g in enumerate(tree.group)], "leaf int, group int"))
+    held = np.bincount(tree.group, tree.rows, int(tree.group.max(initial=0)) + 1)
+    blocks = spark.createDataFrame([(g, max(1, -(-int(n) // block))) for g, n in enumerate(held.tolist())], "group int, blocks long")
+    parts = asked.groupBy("group").agg(F.ceil(F.count("*") / F.lit(part)).alias("parts"))
+    cut = F.broadcast(blocks.join(parts, "group"))
 
     def every(n: str) -> Column:
         return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
 
-    left = asked.join(cut, "leaf").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts"))).withColumn("block", every("blocks"))
-    right = index.join(cut, "leaf").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks"))).withColumn("part", every("parts"))
-    keys = ["leaf", "block", "part"]
+    left = asked.join(cut, "group").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts"))).withColumn("block", every("blocks"))
+    right = index.join(group_of, "leaf").join(cut, "group").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks"))).withColumn("part", every("parts"))
+    keys = ["group", "block", "part"]
 
     def score(q: pa.Table, x: pa.Table) -> pa.Table:
         if not q.num_rows or not x.num_rows:
             return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        own = q.column("vec_id").to_numpy()
-        at, found, value = nearest(own, _matrix(q.column("v")), x.column("vec_id").to_numpy(), _matrix(x.column("v")), k)
+        own, leaf = q.column("vec_id").to_numpy(), x.column("leaf").to_numpy()
+        asked_leaves = q.column("leaves").combine_chunks()
+        low = min(int(leaf.min()), int(pc.min(asked_leaves.flatten()).as_py()))
+        visited = np.zeros((q.num_rows, max(int(leaf.max()), int(pc.max(asked_leaves.flatten()).as_py())) - low + 1), bool)
+        visited[asked_leaves.value_parent_indices().to_numpy(), asked_leaves.flatten().to_numpy() - low] = True
+        at, found, value = nearest(own, _matrix(q.column("v")), x.column("vec_id").to_numpy(), _matrix(x.column("v")), k, leaf - low, visited)
         return pa.table({"query_id": own[at], "vec_id": found, "score": value})
 
-    left, right = left.select(*keys, "vec_id", "v"), right.select(*keys, "vec_id", "v")
+    left, right = left.select(*keys, "vec_id", "v", "leaves"), right.select(*keys, "vec_id", "v", "leaf")
     return _best(left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(score, "query_id long, vec_id long, score double"), k)
 
 
