@@ -77,3 +77,18 @@ def test_runner_writes_the_job(spark, tmp_path, monkeypatch, capsys):
         runner.main(["extract", *args, "--output", out, "--control-year", "1998"])
     with pytest.raises(SystemExit):
         runner.main(["extract", *args, "--output", out, "--control-year", "1998", "--as-of", "now", "--on-duplicate", "smallest"])
+
+
+def test_discount_units_by_code_alone(spark):
+    from yoyflow.plans import revenue_extract as rx
+    from yoyflow.plans.registry_extract import extract_inputs
+
+    def counts(test):
+        params = RunParams(control_year=1998, as_of="1998-12-15 00:00:00", discount_test=test)
+        pool = rx.stages(extract_inputs(SparkInputs(spark, SF)), params).pool
+        return pool.agg(F.sum("PriorNonDiscount_Count"), F.count("*")).first()
+
+    text, code = counts("text"), counts("code")
+    assert text[1] == code[1] and text[0] <= code[0]  # names that hold the code no longer count as discounts
+    with pytest.raises(ValueError, match="discount_test"):
+        RunParams(discount_test="name")

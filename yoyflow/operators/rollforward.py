@@ -122,7 +122,10 @@ def roll_forward(final: DataFrame, contracted: DataFrame, inp: "ExtractInputs",
     rows = cut_lineage(rows, materialize)
     # Non-discount units per account+audience, over the rows as they stand now
     # (after the anti-join and any fan-out of the joins above).
-    non_discount = not_like_ci(concat_null("Account", "Audience", "CampaignCode"), f"%{params.discount_code}%")
+    if params.discount_test == "code":
+        non_discount = ~eq_ci("CampaignCode", params.discount_code)
+    else:
+        non_discount = not_like_ci(concat_null("Account", "Audience", "CampaignCode"), f"%{params.discount_code}%")
     counts = rows.groupBy(F.col("PriorContracted_Account_Audience").alias("_grp")).agg(
         F.sum(F.when(non_discount, F.lit(1)).otherwise(F.lit(0))).alias("PriorNonDiscount_Count")
     )

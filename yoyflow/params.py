@@ -28,6 +28,9 @@ class RunParams:
                    campaign code.
     year_width     number of characters of the fiscal year inside a job number.
     discount_code  campaign code that marks a discount campaign.
+    discount_test  how a roll-forward unit counts as a discount unit: "text", as the
+                   source has it (the code anywhere in account, audience and
+                   campaign code), or "code" (the campaign code equals it).
     pool_years     renewal-pool years in scope.
     pool_classes   renewal-pool verticals in scope.
     """
@@ -37,11 +40,14 @@ class RunParams:
     code_width: int = 2
     year_width: int = 2
     discount_code: str = "99"
+    discount_test: str = "text"
     pool_years: tuple[int, ...] = field(default_factory=_default_pool_years)
     pool_classes: tuple[str, ...] = ("Research", "Technology", "Consulting")
 
     def __post_init__(self) -> None:
         _dt.datetime.fromisoformat(self.as_of)  # fail fast on a malformed instant
+        if self.discount_test not in ("text", "code"):
+            raise ValueError("discount_test must be 'text' or 'code'")
         if len(self.discount_code) != self.code_width:
             raise ValueError("discount_code must be code_width characters long")
 

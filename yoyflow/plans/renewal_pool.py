@@ -199,24 +199,10 @@ def build_pool(inp: RenewalInputs, params: RunParams, keep_unused_joins: bool =
             F.col("PredecessorSFID_PreviousContract") == F.col("_pd_id"),
             "left",
         )
-    # Three tables keyed by the subscription id are first cut down to the ids
-    # the pool uses (a semi-join: broadcast when that id set is small, so the
-    # subscription-sized tables are filtered where they are read), then combined,
-    # so the pool meets them in one join (splittable by adaptive execution when
-    # one subscription is hot).  Duplicated ids multiply exactly as three left
-    # joins would.
-    pool_ids = pr.select(F.col("SubscriptionSFID").alias("_pool_sub")).where(F.col("_pool_sub").isNotNull()).distinct()
-
-    def used(df: DataFrame, key: str) -> DataFrame:
-        return df.join(pool_ids, df[key] == pool_ids["_pool_sub"], "left_semi").withColumn("_sub_id", F.col(key))
-
-    sub_dim = (
-        used(subs, "SubscriptionSFID_Program")
-        .join(used(prog_subs, "_ps_id"), "_sub_id", "full")
-        .join(used(raw, "_raw_id"), "_sub_id", "full")
-        .drop("_ps_id", "_raw_id")
-    )
-    p = p.join(sub_dim, p["SubscriptionSFID"] == sub_dim["_sub_id"], "left")
+    # Three tables keyed by the subscription id, one left join each: the pool is
+    # dealt by that id once, and every table can be broadcast or split on its own.
+    for dim, key in ((subs, "SubscriptionSFID_Program"), (prog_subs, "_ps_id"), (raw, "_raw_id")):
+        p = p.join(dim, p["SubscriptionSFID"] == dim[key], "left")
     p = p.join(periods, p["SubPeriodSFID"] == periods["_period_id"], "left")
     p = distinct_indicator(p, shared, ["AccountSFID", "PoolYear_FY"], ["AccountID", "FiscalYear"], "_shared_ind")
 

@@ -20,6 +20,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # operators/joins.py: without it an aggregate joined back on its keys cannot be split
+    "spark.sql.requireAllClusterKeysForCoPartition": "true",
 }
 
 
