@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from yoyflow.llm import oracle
 from yoyflow.llm.decontaminate import op5_decontaminate
 from yoyflow.llm.kmeans_tree import op6_nearest
 from yoyflow.llm.language_id import op4_language_id
@@ -23,4 +24,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_ngram_join": oracle.OP1, "op5_decontaminate": oracle.OP5, "op9_repeats": oracle.OP9}
