@@ -17,8 +17,7 @@ A data set is a folder with two Parquet tables, written by Spark's committer
   before the block.
 
 Scale: each text is encoded once, in the scan; its ids (two bytes each where
-the vocabulary allows) are stored.  Frequencies are summed per task before
-their shuffle.  The documents' codes are dealt by ranges of doc_id: a
+the vocabulary allows) are stored, with the frequencies summed per task.  The documents' codes are dealt by ranges of doc_id: a
 partition is a share of the documents, and rows of equal doc_id are dealt by
 the checksum of their ids too.  The driver sees the vocabulary and one row per
 shard.  A null text is empty; documents without id come first; rows with equal
@@ -36,8 +35,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yoyflow.llm import tokenizers as tk
-from yoyflow.llm.common import map_slices, table, texts
-from yoyflow.session import cut_lineage, new_stage
+from yoyflow.llm.common import slices, table, texts
+from yoyflow.session import new_stage
 
 BLOCK_TOKENS = 1 << 18
 _LENGTHS = np.array([[1 + (c >> 2 * k & 3) for k in range(4)] for c in range(256)], np.uint8)
@@ -73,45 +72,53 @@ _coders: dict[str, tk.ByteLevelCoder] = {}
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int | None) -> tuple[DataFrame, str]:
-    """``(doc_id, ids binary, crc long)``, ids as little-endian integers of the returned type."""
+    """``(doc_id, ids binary, crc long, counts binary)``, ids as little-endian integers of
+    the returned type; the last row of each task holds no document but ``counts``, how
+    often each id occurs in the task's documents (int64 by id)."""
     size = tk.byte_level(tokenizer_path).get_vocab_size(with_added_tokens=True)
     dtype = "<u2" if size <= 1 << 16 else "<u4"
     end = b"" if end_id is None else np.array([end_id], dtype).tobytes()
+    kinds = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("crc", pa.int64()), ("counts", pa.binary())])
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def run(batches):
         if tokenizer_path not in _coders:
             _coders[tokenizer_path] = tk.ByteLevelCoder(tokenizer_path, dtype)
-        ids = [i + end for i in _coders[tokenizer_path](texts(batch))]
-        return pa.record_batch({"doc_id": batch.column("doc_id"), "ids": pa.array(ids, pa.binary()), "crc": pa.array(map(zlib.crc32, ids), pa.int64())})
+        total = np.zeros(size, np.int64)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                ids = [i + end for i in _coders[tokenizer_path](texts(part))]
+                total += np.bincount(np.frombuffer(b"".join(ids), dtype), minlength=size)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary()), pa.array(map(zlib.crc32, ids), pa.int64()), pa.nulls(len(ids), pa.binary())], schema=kinds)
+        yield pa.RecordBatch.from_pylist([{"counts": total.astype("<i8").tobytes()}], kinds)
 
-    return map_slices(docs.select("doc_id", "text"), run, "doc_id long, ids binary, crc long"), dtype
+    columns = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return columns.mapInArrow(run, "doc_id long, ids binary, crc long, counts binary"), dtype
 
 
-def rank_table(encoded: DataFrame, dtype: str) -> DataFrame:
+def frequencies(encoded: DataFrame) -> DataFrame:
     """``(id, n)``, every id that occurs with its frequency."""
 
     def run(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for raw in batch.column("ids"):
-                found = np.bincount(np.frombuffer(raw.as_buffer(), dtype))
-                if len(found) > len(total):
-                    found[: len(total)] += total
-                    total = found
-                else:
-                    total[: len(found)] += found
+            for raw in batch.column("counts").to_pylist():
+                found = np.frombuffer(raw, "<i8")
+                total = found + total if len(total) else found
         used = np.flatnonzero(total)
         yield pa.record_batch({"id": pa.array(used, pa.int64()), "n": pa.array(total[used], pa.int64())})
 
-    return encoded.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return encoded.select("counts").where("counts is not null").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int | None = None, block_tokens: int = BLOCK_TOKENS) -> None:
     """Encode ``(doc_id, text)`` and write the data set ``path`` (see the module's text)."""
     spark = docs.sparkSession
     fresh, dtype = encode_documents(docs, tokenizer_path, end_id)
-    encoded = cut_lineage(fresh)
-    frequency = rank_table(encoded, dtype).orderBy(F.desc("n"), "id").collect()  # one row per id of the vocabulary
+    stage = new_stage(spark)
+    fresh.write.option("compression", "zstd").parquet(stage)
+    stored = spark.read.parquet(stage)
+    encoded = stored.where("counts is null").drop("counts")
+    frequency = frequencies(stored).orderBy(F.desc("n"), "id").collect()  # one row per id of the vocabulary
     ids = [r.id for r in frequency]
     spark.createDataFrame([(i, x) for i, x in enumerate(ids)], "rank long, id long").coalesce(1).write.parquet(f"{path}/ranks")
     rank_of = np.zeros(max(ids, default=0) + 1, np.uint32)
