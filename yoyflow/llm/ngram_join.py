@@ -53,7 +53,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 48, 6
 VALUES, STEP = 96, 16
 TOLERANCE = 1e-7
-BLOCK = 1 << 18
+BLOCK = 1 << 16
 _PAIRS = 1 << 20
 _FACTOR = 0x100000001B3
 _MULTIPLIERS = np.random.default_rng(20).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
