@@ -18,6 +18,8 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import sys
+from array import array
 from functools import cache
 
 import numpy as np
@@ -104,7 +106,11 @@ class ByteLevelCoder:
         self._line = line[0] if len(line) == 1 else None
         self._letters = self._tokenizer.model if _splits_words(self._tokenizer) else None
         self._alphabet = str.maketrans({chr(b): c for b, c in byte_level_alphabet().items()})
+        self._space = self._alphabet[ord(" ")]
         self._marks: dict[str, bytes] = {"": b""}
+        self._code = {2: "H", 4: "I"}[self._size]
+        if sys.byteorder != "little" or array(self._code).itemsize != self._size:
+            self._letters = None
         self._first = Memo(lambda words: self._encode(words), 50_000)
         self._other = Memo(lambda words: self._encode([" " + w for w in words]), 600_000)
 
@@ -121,8 +127,12 @@ class ByteLevelCoder:
                 marks = w[1 + len(letters) :]
                 if marks not in self._marks:
                     self._marks[marks] = self._each([marks])[0]
-                text = w[: 1 + len(letters)].encode().decode("latin-1").translate(self._alphabet)
-                ids[w] = np.array([t.id for t in self._letters.tokenize(text)], self._dtype).tobytes() + self._marks[marks]
+                known = self._other.get(letters) if marks else None
+                if known is None:
+                    text = " " + letters
+                    text = text.replace(" ", self._space) if letters.isascii() else text.encode().decode("latin-1").translate(self._alphabet)
+                    known = array(self._code, [t.id for t in self._letters.tokenize(text)]).tobytes()
+                ids[w] = known + self._marks[marks]
         return ids
 
     def _encode(self, words: list[str]) -> list[bytes]:
