@@ -101,3 +101,40 @@ def test_anti_and_null_safe_joins_split_hot_key(spark, skew_conf):
     joined = hashed_join(lines, counts, [("acct", "g")], "left", null_safe=True)
     assert "skew=true" in _final_plan(joined)
     assert joined.where("acct = 'HOT'").select("n").distinct().collect()[0][0] == 40000
+
+
+def _shuffle_rows(df, spark) -> list[int]:
+    """Rows in each partition of the left input of the (single) join of ``df``, as its key deals them."""
+    from pyspark.sql import functions as F
+
+    return [r["n"] for r in df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+
+
+def test_null_keys_are_scattered(spark, skew_conf):
+    """90 % of the keys are NULL: with a row id to scatter them, no partition holds much more than its share."""
+    from yoyflow.operators.joins import hashed_join
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = spark.range(20000).selectExpr("id", "case when id % 10 = 0 then concat('k', id % 500) end as k")
+        dim = spark.range(500).selectExpr("concat('k', id) as dk", "id as v")
+        plain, spread = (hashed_join(rows, dim, [("k", "dk")], scatter=s) for s in ((), ("id",)))
+        assert max(_shuffle_rows(plain, spark)) > 18000
+        assert max(_shuffle_rows(spread, spark)) < 3 * 20000 / 16
+        again = hashed_join(spread, dim.withColumnRenamed("v", "w"), [("k", "dk")], scatter=("id",))  # a chain on one key
+        assert max(_shuffle_rows(again, spark)) < 3 * 20000 / 16
+        assert sorted(map(tuple, spread.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+        assert spread.where("v is not null").count() == rows.where("k is not null").count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_pool_joins_deal_rows_without_subscription_by_their_id(spark):
+    from yoyflow.plans import renewal_pool as rp
+    from yoyflow.plans.registry import TEST_PARAMS, renewal_inputs
+    from yoyflow.sources.adapters import SparkInputs
+
+    pool = rp.build_pool(renewal_inputs(SparkInputs(spark, "/root/testdata/sf0.001")), TEST_PARAMS)
+    spark.conf.set("spark.sql.debug.maxToStringFields", "200")
+    plan = pool._jdf.queryExecution().analyzed().toString()
+    assert plan.count("xxhash64(SourceObjectSFID") >= 5

@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 
 from yoyflow.functions.keys import decode_client, decode_code
 from yoyflow.functions.rules import Rule, classify
-from yoyflow.functions.text import eq_ci, isin_ci, like_ci, not_isin_ci, not_like_ci
+from yoyflow.functions.text import eq_ci, eq_ci_cols, isin_ci, like_ci, not_isin_ci, not_like_ci
+from yoyflow.operators.collated import group
 from yoyflow.params import RunParams
 
 # --- fixed values -------------------------------------------------------------------
@@ -63,40 +64,35 @@ def alignment_stats(final: DataFrame, params: RunParams) -> DataFrame:
     rat, st = F.col("RevAccrualType"), F.col("ProgramStatus")
     re_eng = like_ci(rat, "Re-engagement")
     discount = isin_ci(rat, DISCOUNT_TYPES)
-    return (
-        final.where(F.col("FiscalYear") == params.control_year)
-        .groupBy(*STAT_KEYS)
-        .agg(
-            _count(re_eng).alias("Re_engagement_Count"),
-            _count(re_eng & like_ci(st, "Contracted") & (F.col("SignatureDate") == F.col("Campaign_First_Sign"))).alias(
-                "Contracted_Re_engage_Count"
-            ),
-            _count(like_ci(rat, "Cross-sell")).alias("Cross_Sell_Count"),
-            _count(isin_ci(rat, ["Modification"])).alias("Modification_Count"),
-            _count(like_ci(rat, "Discount Allocation") & not_like_ci(st, "Declined")).alias("DA_Count"),
-            _count(discount & like_ci(st, "Contracted")).alias("Contracted_Discount_Count"),
-            _count(discount & like_ci(st, "Pending%")).alias("Pending_Discount_Count"),
-            _count(discount & not_isin_ci(st, NOT_DISCOUNT_BUCKET)).alias("All_Discount_Count"),
-            _first(re_eng).alias("First_Re_engagement"),
-            _first(like_ci(rat, "Cross-sell")).alias("First_Cross_Sell"),
-            _first(like_ci(rat, "Modification")).alias("First_Modification"),
-            _first(like_ci(rat, "Discount Allocation")).alias("First_DA"),
-            _first(discount).alias("First_Discount"),
-        )
+    return group(
+        final.where(F.col("FiscalYear") == params.control_year),
+        STAT_KEYS,
+        _count(re_eng).alias("Re_engagement_Count"),
+        _count(re_eng & like_ci(st, "Contracted") & (F.col("SignatureDate") == F.col("Campaign_First_Sign"))).alias(
+            "Contracted_Re_engage_Count"
+        ),
+        _count(like_ci(rat, "Cross-sell")).alias("Cross_Sell_Count"),
+        _count(isin_ci(rat, ["Modification"])).alias("Modification_Count"),
+        _count(like_ci(rat, "Discount Allocation") & not_like_ci(st, "Declined")).alias("DA_Count"),
+        _count(discount & like_ci(st, "Contracted")).alias("Contracted_Discount_Count"),
+        _count(discount & like_ci(st, "Pending%")).alias("Pending_Discount_Count"),
+        _count(discount & not_isin_ci(st, NOT_DISCOUNT_BUCKET)).alias("All_Discount_Count"),
+        _first(re_eng).alias("First_Re_engagement"),
+        _first(like_ci(rat, "Cross-sell")).alias("First_Cross_Sell"),
+        _first(like_ci(rat, "Modification")).alias("First_Modification"),
+        _first(like_ci(rat, "Discount Allocation")).alias("First_DA"),
+        _first(discount).alias("First_Discount"),
     )
 
 
 def prior_contracted_pool(final: DataFrame, params: RunParams) -> DataFrame:
     """Prior-year contracted value and contacts per unit and job number."""
-    return (
-        final.where(eq_ci("ProgramStatus", "Contracted") & (F.col("FiscalYear") == params.prior_year))
-        .groupBy(*POOL_KEYS)
-        .agg(
-            F.sum(F.coalesce("ProgramCost", F.lit(0))).alias("CV_Prior"),
-            F.sum(F.coalesce("ContactQuantity", F.lit(0))).alias("ContactQuant_Prior"),
-        )
-        .withColumn("JobNumber_ClientCode", decode_client("JobNumber", params.code_width, params.year_width))
-    )
+    return group(
+        final.where(eq_ci("ProgramStatus", "Contracted") & (F.col("FiscalYear") == params.prior_year)),
+        POOL_KEYS,
+        F.sum(F.coalesce("ProgramCost", F.lit(0))).alias("CV_Prior"),
+        F.sum(F.coalesce("ContactQuantity", F.lit(0))).alias("ContactQuant_Prior"),
+    ).withColumn("JobNumber_ClientCode", decode_client("JobNumber", params.code_width, params.year_width))
 
 
 def allocation_rule(cv: Column) -> Column:
@@ -196,21 +192,21 @@ def allocate_prior_value(final: DataFrame, params: RunParams) -> DataFrame:
     )
     j = lines.join(
         s,
-        (lines["AccountID"] == s["_s_acct"])
-        & (lines["Audience"] == s["_s_aud"])
-        & (lines["Model_ProductGroup"] == s["_s_group"])
-        & (lines["ClientCode"] == s["_s_client"])
-        & (lines["CampaignCode"] == s["_s_code"]),
+        eq_ci_cols(lines["AccountID"], s["_s_acct"])
+        & eq_ci_cols(lines["Audience"], s["_s_aud"])
+        & eq_ci_cols(lines["Model_ProductGroup"], s["_s_group"])
+        & eq_ci_cols(lines["ClientCode"], s["_s_client"])
+        & eq_ci_cols(lines["CampaignCode"], s["_s_code"]),
         "left",
     )
     j = j.join(
         p,
-        (j["AccountID"] == p["_p_acct"])
-        & (j["Audience"] == p["_p_aud"])
-        & (j["Model_ProductGroup"] == p["_p_group"])
-        & (j["ClientCode"] == p["_p_client"])
-        & (j["CampaignCode"] == p["_p_code"])
-        & (decode_client(j["JobNumber"], cw, yw) == p["_p_job_client"]),
+        eq_ci_cols(j["AccountID"], p["_p_acct"])
+        & eq_ci_cols(j["Audience"], p["_p_aud"])
+        & eq_ci_cols(j["Model_ProductGroup"], p["_p_group"])
+        & eq_ci_cols(j["ClientCode"], p["_p_client"])
+        & eq_ci_cols(j["CampaignCode"], p["_p_code"])
+        & eq_ci_cols(decode_client(j["JobNumber"], cw, yw), p["_p_job_client"]),
         "left",
     )
     cv = F.coalesce(F.col("_p_cv"), F.lit(0)).cast("double")

@@ -7,19 +7,20 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from yoyflow.operators.collated import group
 from yoyflow.operators.joins import hashed_join
 
 
 def group_flag(df: DataFrame, keys: Sequence[str], aggregates: Mapping[str, Column]) -> DataFrame:
-    """Attach per-group aggregates to every line of the group.
+    """Attach per-group aggregates to every line of the group (text keys collated).
 
     Aggregated with partial (map-side) combining, then joined back on the keys.
     A line with a NULL key meets no group and gets NULL statistics, as the
     source's self-join does.  An aggregate-and-join (rather than a window over
     the keys) lets adaptive execution split a hot group across tasks.
     """
-    stats = df.groupBy(*keys).agg(*[expr.alias(name) for name, expr in aggregates.items()])
-    return hashed_join(df, stats, list(keys), "left")
+    stats = group(df, keys, *[expr.alias(name) for name, expr in aggregates.items()])
+    return hashed_join(df, stats, list(keys), "left", collated=True)
 
 
 def distinct_indicator(
@@ -35,8 +36,8 @@ def distinct_indicator(
     the left join can never fan out.
     """
     renamed = [F.col(m).alias(f"_m{i}") for i, m in enumerate(member_keys)]
-    distinct = members.select(*renamed).distinct().withColumn(flag, F.lit(1))
-    return hashed_join(df, distinct, [(k, f"_m{i}") for i, k in enumerate(df_keys)], "left")
+    distinct = group(members.select(*renamed), [f"_m{i}" for i in range(len(renamed))], F.lit(1).alias(flag))
+    return hashed_join(df, distinct, [(k, f"_m{i}") for i, k in enumerate(df_keys)], "left", collated=True)
 
 
 def parent_hop(

@@ -22,27 +22,44 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from yoyflow.operators.collated import key
+
 Key = str | tuple[str, str]
 
 
-def hashed_join(left: DataFrame, right: DataFrame, on: Sequence[Key], how: str = "left", null_safe: bool = False) -> DataFrame:
+def hashed_join(
+    left: DataFrame, right: DataFrame, on: Sequence[Key], how: str = "left", null_safe: bool = False, collated: bool = False, scatter: Sequence[str] = ()
+) -> DataFrame:
     """Join ``left`` and ``right`` on ``on`` (names, or (left, right) pairs).
 
     With plain names and ``null_safe=False`` the result has one copy of each
     key column, as ``DataFrame.join(other, on=[...])``.  Otherwise the right
     key columns are dropped and the left ones kept.  ``null_safe`` makes NULL
     keys meet each other (the grouping of a window over a NULL key).
+    ``collated`` compares text keys as the source does, by their normal form
+    (``operators.collated``); the left spelling is kept.
+
+    ``scatter`` names left columns (a row id) that spread the rows with a NULL key:
+    they match nothing, so any task will do, while by their key they would all be
+    dealt to one.
     """
     pairs = [(k, k) if isinstance(k, str) else k for k in on]
-    lh = left.withColumn("_jk", F.xxhash64(*[F.col(lk) for lk, _ in pairs]))
-    rh = right.withColumn("_jk", F.xxhash64(*[F.col(rk) for _, rk in pairs]))
+    of = key if collated else lambda df, name: df[name]
+    hashed = F.xxhash64(*[of(left, lk) for lk, _ in pairs])
+    if scatter and not null_safe:
+        missing = F.lit(False)
+        for lk, _ in pairs:
+            missing = missing | left[lk].isNull()
+        hashed = F.when(missing, F.xxhash64(*[left[c] for c in scatter])).otherwise(hashed)
+    lh = left.withColumn("_jk", hashed)
+    rh = right.withColumn("_jk", F.xxhash64(*[of(right, rk) for _, rk in pairs]))
     same_names = all(lk == rk for lk, rk in pairs)
-    if same_names and not null_safe:
+    if same_names and not null_safe and not collated:
         return lh.join(rh, ["_jk", *[lk for lk, _ in pairs]], how).drop("_jk")
     renamed = rh.select(*[F.col(c).alias(f"_r_{c}") for c in rh.columns])
     cond = [lh["_jk"] == renamed["_r__jk"]]
     for lk, rk in pairs:
-        l, r = lh[lk], renamed[f"_r_{rk}"]
+        l, r = of(lh, lk), of(renamed, f"_r_{rk}")
         cond.append(l.eqNullSafe(r) if null_safe else l == r)
     out = lh.join(renamed, cond, how)
     if how in ("left_anti", "left_semi", "anti", "semi", "leftanti", "leftsemi"):

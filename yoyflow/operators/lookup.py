@@ -16,15 +16,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from yoyflow.functions.text import norm
+
 BROADCAST_ROWS = 10_000
 
 
 def lookup_by_code(df: DataFrame, key: Column, rows: Sequence[tuple], schema: T.StructType, table_key: str) -> DataFrame:
-    """Left join the literal table ``rows`` on ``key == table_key``.
+    """Left join the literal table ``rows`` on ``key == table_key``, compared as the source compares text.
 
     Broadcast up to ``BROADCAST_ROWS`` rows; a longer list is joined without the
     hint, as any other table."""
     table = df.sparkSession.createDataFrame(list(rows), schema)
     if len(rows) <= BROADCAST_ROWS:
         table = F.broadcast(table)
-    return df.join(table, key == table[table_key], "left")
+    return df.join(table, norm(key) == norm(table[table_key]), "left")

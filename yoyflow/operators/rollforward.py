@@ -21,7 +21,8 @@ from typing import TYPE_CHECKING
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from yoyflow.functions.text import concat_null, eq_ci, isin_ci, like_ci, not_like_ci
+from yoyflow.functions.text import concat_null, eq_ci, eq_ci_cols, isin_ci, like_ci, not_like_ci
+from yoyflow.operators.collated import group
 from yoyflow.operators.joins import hashed_join
 from yoyflow.params import RunParams
 from yoyflow.session import cut_lineage
@@ -48,16 +49,13 @@ def prior_units(final: DataFrame, params: RunParams) -> DataFrame:
         F.col("Client_NY_Tenure_Index").alias("Upcoming_Tenure_Index"),
         F.col("Client_NY_Tenure").alias("Upcoming_Tenure"),
     )
-    return prior.groupBy(*POOL_GROUP).agg(
-        F.sum("ProgramCost").alias("CV_Prior"), F.sum("ContactQuantity").alias("ContactQuant_Prior")
-    )
+    return group(prior, POOL_GROUP, F.sum("ProgramCost").alias("CV_Prior"), F.sum("ContactQuantity").alias("ContactQuant_Prior"))
 
 
 def discount_counts(contracted: DataFrame) -> DataFrame:
     """Control-year discount lines per (source, account, product group, audience)."""
-    return contracted.groupBy("FiscalYear", "DataSource", "AccountID", "Account", "Model_ProductGroup", "Audience").agg(
-        F.sum(F.when(like_ci("Campaign", "%Discount%"), F.lit(1)).otherwise(F.lit(0))).alias("DiscountCurrent_Count")
-    )
+    keys = ["FiscalYear", "DataSource", "AccountID", "Account", "Model_ProductGroup", "Audience"]
+    return group(contracted, keys, F.sum(F.when(like_ci("Campaign", "%Discount%"), F.lit(1)).otherwise(F.lit(0))).alias("DiscountCurrent_Count"))
 
 
 def roll_forward(final: DataFrame, contracted: DataFrame, inp: "ExtractInputs", params: RunParams, materialize: str = "table") -> DataFrame:
@@ -65,8 +63,7 @@ def roll_forward(final: DataFrame, contracted: DataFrame, inp: "ExtractInputs",
     are read twice -- counted per group, joined back -- and stored before that)."""
     cy = params.control_year
     units = prior_units(final, params)
-    current_units = contracted.select(*UNIT_KEYS).distinct()
-    alive = hashed_join(units, current_units, UNIT_KEYS, "left_anti")
+    alive = hashed_join(units, group(contracted, UNIT_KEYS), UNIT_KEYS, "left_anti", collated=True)
 
     ap = inp.all_packages.where((F.col("Rk") == 1) & (F.col("FiscalYear") == cy)).select(
         F.col("AccountID").alias("_ap_acct"), F.col("Audience").alias("_ap_aud"), F.col("PackageId").alias("PackageId_Current")
@@ -89,7 +86,7 @@ def roll_forward(final: DataFrame, contracted: DataFrame, inp: "ExtractInputs",
     # units meet them in one join instead of being shuffled twice on that key.
     # Duplicates multiply exactly as two left joins would.
     acct_aud = ap.join(
-        ep, (ap["_ap_acct"] == ep["_ep_acct"]) & (ap["_ap_aud"] == ep["_ep_aud"]), "full"
+        ep, eq_ci_cols(ap["_ap_acct"], ep["_ep_acct"]) & eq_ci_cols(ap["_ap_aud"], ep["_ep_aud"]), "full"
     ).select(
         F.coalesce("_ap_acct", "_ep_acct").alias("_aa_acct"),
         F.coalesce("_ap_aud", "_ep_aud").alias("_aa_aud"),
@@ -97,13 +94,11 @@ def roll_forward(final: DataFrame, contracted: DataFrame, inp: "ExtractInputs",
         "_renewal_status",
     )
     rows = (
-        alive.join(acct_aud, (alive["AccountID"] == acct_aud["_aa_acct"]) & (alive["Audience"] == acct_aud["_aa_aud"]), "left")
-        .join(op, F.col("PackageId_Current") == op["_op_pkg"], "left")
+        alive.join(acct_aud, eq_ci_cols(alive["AccountID"], acct_aud["_aa_acct"]) & eq_ci_cols(alive["Audience"], acct_aud["_aa_aud"]), "left")
+        .join(op, eq_ci_cols("PackageId_Current", op["_op_pkg"]), "left")
         .join(
             dc,
-            (F.col("AccountID") == dc["_dc_acct"])
-            & (F.col("Audience") == dc["_dc_aud"])
-            & (F.col("Model_ProductGroup") == dc["_dc_group"]),
+            eq_ci_cols("AccountID", dc["_dc_acct"]) & eq_ci_cols("Audience", dc["_dc_aud"]) & eq_ci_cols("Model_ProductGroup", dc["_dc_group"]),
             "left",
         )
     )
@@ -126,7 +121,9 @@ def roll_forward(final: DataFrame, contracted: DataFrame, inp: "ExtractInputs",
         non_discount = ~eq_ci("CampaignCode", params.discount_code)
     else:
         non_discount = not_like_ci(concat_null("Account", "Audience", "CampaignCode"), f"%{params.discount_code}%")
-    counts = rows.groupBy(F.col("PriorContracted_Account_Audience").alias("_grp")).agg(
-        F.sum(F.when(non_discount, F.lit(1)).otherwise(F.lit(0))).alias("PriorNonDiscount_Count")
+    counts = group(
+        rows.withColumn("_grp", F.col("PriorContracted_Account_Audience")),
+        ["_grp"],
+        F.sum(F.when(non_discount, F.lit(1)).otherwise(F.lit(0))).alias("PriorNonDiscount_Count"),
     )
-    return hashed_join(rows, counts, [("PriorContracted_Account_Audience", "_grp")], "left", null_safe=True)
+    return hashed_join(rows, counts, [("PriorContracted_Account_Audience", "_grp")], "left", null_safe=True, collated=True)

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yoyflow.operators.audit import guard_unique
+from yoyflow.operators.collated import group, key
 from yoyflow.operators.joins import hashed_join
 
 
@@ -105,7 +106,7 @@ def year_offset_join_many(
                     F.col(snap_year).alias("_y"),
                     *[F.col(src).alias(dst) for dst, src in cols.items()],
                 )
-                cond = [out[lk] == s[f"_k{i}"] for i, (lk, _) in enumerate(keys)]
+                cond = [key(out, lk) == key(s, f"_k{i}") for i, (lk, _) in enumerate(keys)]
                 cond.append(s["_y"] == out[line_year] + F.lit(off))
                 out = out.join(s, cond, "left").drop(*[f"_k{i}" for i in range(len(keys))], "_y")
         return out
@@ -130,20 +131,20 @@ def year_offset_join_many(
                 outputs.append(
                     F.when(F.col(n) > 1, guard_unique(F.col(n), f"{name} at offset {off}")).otherwise(F.col(dst)).alias(dst)
                 )
-    pivot = exploded.groupBy(*key_cols, "_target").agg(*aggs).select(*key_cols, "_target", *outputs)
+    pivot = group(exploded, [*key_cols, "_target"], *aggs).select(*key_cols, "_target", *outputs)
     on = [(lk, f"_k{i}") for i, (lk, _) in enumerate(keys)] + [(line_year, "_target")]
-    return hashed_join(lines, pivot, on, "left")
+    return hashed_join(lines, pivot, on, "left", collated=True)
 
 
 def first_dates(lines: DataFrame, keys: Sequence[str], date_col: str, scope: Column, out: str) -> DataFrame:
     """Earliest ``date_col`` per ``keys`` among rows in ``scope`` (one row per key)."""
-    return lines.where(scope).groupBy(*keys).agg(F.min(date_col).alias(out))
+    return group(lines.where(scope), keys, F.min(date_col).alias(out))
 
 
 def first_event(lines: DataFrame, keys: Sequence[str], date_col: str, scope: Column, out: str) -> DataFrame:
     """``first_dates`` joined back to every line with the same keys (also lines
     outside the scope, e.g. prior-year lines receive the control-year date)."""
-    return hashed_join(lines, first_dates(lines, keys, date_col, scope, out), list(keys), "left")
+    return hashed_join(lines, first_dates(lines, keys, date_col, scope, out), list(keys), "left", collated=True)
 
 
 def first_event_flag(event_date: Column, first_date: Column, when_first: str, when_later: str) -> Column:

@@ -39,8 +39,30 @@ def columns(names: Iterable[str], of: str = "") -> str:
     return ", ".join(f"{of}.{n}" if of else n for n in names)
 
 
+# Key columns that are not text; text keys compare without case and trailing blanks.
+NOT_TEXT = {
+    "FiscalYear", "NBB", "SignatureDate", "Renewal_Package_FirstSigned", "Renewal_Campaign_FirstSigned", "Upcoming_Tenure_Index",
+    "first_signed", "enr_now", "enr_next", "signed_before", "signed_now", "oth_now", "oth_next",
+}
+
+
+def key(name: str, of: str = "") -> str:
+    x = f"{of}.{name}" if of else name
+    return x if name in NOT_TEXT else norm(x)
+
+
 def same(a: str, b: str, names: Iterable[str]) -> str:
-    return " AND ".join(f"{a}.{n} = {b}.{n}" for n in names)
+    return " AND ".join(f"{key(n, a)} = {key(n, b)}" for n in names)
+
+
+def keys(names: Iterable[str], of: str = "") -> str:
+    """For GROUP BY."""
+    return ", ".join(key(n, of) for n in names)
+
+
+def shown(names: Iterable[str], of: str = "") -> str:
+    """The grouped columns, text in its least spelling."""
+    return ", ".join(f"{of}.{n}" if of and n in NOT_TEXT else n if n in NOT_TEXT else f"min({of + '.' if of else ''}{n}) AS {n}" for n in names)
 
 
 def ctes(stages: Sequence[tuple[str, str]], upto: str) -> str:

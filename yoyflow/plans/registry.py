@@ -118,11 +118,18 @@ def q_filter_overdue(spark: SparkSession, sf_dir: str) -> DataFrame:
             "SourceObjectSFID",
             "Autorenewal_Notification_Date__c",
             parsed.alias("notification_date"),
+            rp.notification_state().alias("date_state"),
             F.coalesce(parsed.cast("timestamp_ntz") < TEST_PARAMS.as_of_col(), F.lit(False)).cast("int").alias("is_overdue"),
         )
     )
 
 
+def q_date_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many notification dates are read, absent and unreadable (the source would abort on the last)."""
+    periods = SparkInputs(spark, sf_dir)["x_subscription_periods"]
+    return present(periods.groupBy(rp.notification_state().alias("date_state")).agg(F.count(F.lit(1)).alias("n_rows")))
+
+
 def q_pool_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(rp.build_pool(renewal_inputs(SparkInputs(spark, sf_dir)), TEST_PARAMS))
 
@@ -222,10 +229,20 @@ LEFT JOIN (SELECT AccountID, FiscalYear, 1 AS Shared_Ind FROM x_shared_enrolment
                 + f"""
 SELECT pr.SourceObjectSFID, sp.Autorenewal_Notification_Date__c,
        {orn.notification_sql('sp.Autorenewal_Notification_Date__c')} AS notification_date,
+       {orn.notification_state_sql('sp.Autorenewal_Notification_Date__c')} AS date_state,
        CASE WHEN {orn.notification_sql('sp.Autorenewal_Notification_Date__c')} < TIMESTAMP '{TEST_PARAMS.as_of}'
             THEN 1 ELSE 0 END AS is_overdue
 FROM x_program_renewals pr LEFT JOIN x_subscription_periods sp ON pr.SubPeriodSFID = sp.Id""",
-                "SourceObjectSFID:s, Autorenewal_Notification_Date__c:s, notification_date:d, is_overdue:i",
+                "SourceObjectSFID:s, Autorenewal_Notification_Date__c:s, notification_date:d, date_state:s, is_overdue:i",
+            ),
+        ),
+        Query(
+            "date_states",
+            q_date_states,
+            sql_present(
+                duckdb_with(["x_subscription_periods"])
+                + f"\nSELECT {orn.notification_state_sql('Autorenewal_Notification_Date__c')} AS date_state, count(*) AS n_rows FROM x_subscription_periods GROUP BY ALL",
+                "date_state:s, n_rows:i",
             ),
         ),
         Query("pool_classify", q_pool_classify, _renewal_sql("o_pool", pool_final, POOL_KINDS)),

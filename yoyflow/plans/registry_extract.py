@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from yoyflow.functions.keys import decode_client, decode_code, encode_key, key_length, year_suffix
 from yoyflow.functions.text import concat_null, eq_ci, like_ci, not_isin_ci
 from yoyflow.operators.allocate import alignment_stats, prior_contracted_pool
+from yoyflow.operators.collated import group
 from yoyflow.operators.audit import conservation, fanout_report
 from yoyflow.operators.rollforward import POOL_GROUP, discount_counts
 from yoyflow.plans import oracle_extract as ox
@@ -73,10 +74,10 @@ def _stages(spark: SparkSession, sf_dir: str, params) -> rx.ExtractStages:
     return rx.stages(extract_inputs(SparkInputs(spark, sf_dir)), params, materialize="table")
 
 
-def _sql(params, upto: str | None, final: str, cols: Sequence[str], enr: str = "x_enrolment_packages", lines: str = "x_program_lines") -> str:
-    head = duckdb_with([*EXTRACT_ADAPTERS, enr, lines])
+def _sql(params, upto: str | None, final: str, cols: Sequence[str], tables: dict[str, str] | None = None) -> str:
+    head = duckdb_with([*EXTRACT_ADAPTERS, *(tables or {}).values()])
     if upto is not None:
-        head += ",\n" + ox.extract_ctes(params, upto, enr=enr, lines=lines)
+        head += ",\n" + ox.extract_ctes(params, upto, tables)
     return sql_present(head + "\n" + final, spec(cols))
 
 
@@ -231,7 +232,7 @@ FROM (SELECT DISTINCT JobNumber, FiscalYear FROM x_program_lines) k""", key_cols
 
     out.append((
         "rollup_duplicate_snapshots", q_dup_snapshots,
-        _sql(params, "o_data", f"SELECT {', '.join(data_cols)} FROM o_data", data_cols, enr="x_enrolment_packages_dup"),
+        _sql(params, "o_data", f"SELECT {', '.join(data_cols)} FROM o_data", data_cols, {"enrolment_packages": "x_enrolment_packages_dup"}),
     ))
 
     # lines whose labels come in mixed case and with trailing blanks, rolled up
@@ -241,14 +242,27 @@ FROM (SELECT DISTINCT JobNumber, FiscalYear FROM x_program_lines) k""", key_cols
         x = SparkInputs(spark, sf_dir)
         inp = extract_inputs(x)
         inp.program_lines = x["x_program_lines_spelled"]
-        rolled = rx.raw_cut(inp, params).groupBy(*rx.ROLLUP_KEYS).agg(F.sum("ProgramCost").alias("cost"))
+        rolled = group(rx.raw_cut(inp, params), rx.ROLLUP_KEYS, F.sum("ProgramCost").alias("cost"))
         return present(rolled.groupBy(*text_cols[:5]).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("cost").alias("sum_cv_current")))
 
     out.append((
         "key_text_semantics", q_text,
         _sql(params, "o_raw", f"""SELECT {', '.join(text_cols[:5])}, count(*) AS n_rows, sum(cost) AS sum_cv_current
 FROM (SELECT {', '.join(f'min({k}) AS {k}' for k in ox.LINE_KEYS)}, sum(ProgramCost) AS cost FROM o_raw
-      GROUP BY {', '.join(f'lower(rtrim(CAST({k} AS VARCHAR)))' for k in ox.LINE_KEYS)}) GROUP BY ALL""", text_cols, lines="x_program_lines_spelled"),
+      GROUP BY {', '.join(f'lower(rtrim(CAST({k} AS VARCHAR)))' for k in ox.LINE_KEYS)}) GROUP BY ALL""", text_cols, {"program_lines": "x_program_lines_spelled"}),
+    ))
+
+    # the whole job over inputs of which every text key is respelled, lines and dimensions each in their own way
+    respelled = {n: f"x_{n}_respelled" for n in ox.INPUTS}
+
+    def q_respelled(spark, sf_dir):
+        x = SparkInputs(spark, sf_dir)
+        inp = rx.ExtractInputs(**{n: x[t] for n, t in respelled.items()})
+        return present(rx.revenue_extract(inp, params, materialize="table"))
+
+    out.append((
+        "extract_respelled", q_respelled,
+        _sql(params, "o_extract", "SELECT * FROM o_extract", rx.EXTRACT_COLUMNS, respelled),
     ))
     stage_query("first_event_flag", "data",
                 ["AccountID", "CampaignCode", "Audience", "FiscalYear", "SignatureDate", "Campaign_First_Sign", "OppType"], "o_data")

@@ -19,9 +19,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from yoyflow.functions.dates import date_state, read_date
 from yoyflow.functions.rules import Rule, classify
 from yoyflow.functions.text import eq_ci, isin_ci, like_ci, not_like_ci
 from yoyflow.operators.groups import distinct_indicator, parent_hop
+from yoyflow.operators.joins import hashed_join
 from yoyflow.operators.match import best_match, candidate_counts, tier_pair_counts
 from yoyflow.operators.patch import update_from
 from yoyflow.params import RunParams
@@ -88,10 +90,14 @@ def candidate_subscriptions(subs: DataFrame, raw_subs: DataFrame, opps: DataFram
 
 
 def notification_date(raw: str = "Autorenewal_Notification_Date__c"):
-    """Parsed notification date: the sentinel and NULL give NULL, text that is
-    not a date gives NULL (the source would abort the whole batch)."""
-    c = F.col(raw)
-    return F.when(c == F.lit(NOTIFICATION_SENTINEL), F.lit(None).cast("date")).otherwise(c.try_cast("date"))
+    """The notification date; the sentinel is an empty month/day/year, so dates come
+    as ``6/30/2024`` as well as in ISO form.  NULL where absent or unreadable (the
+    source would abort the whole batch); ``notification_state`` tells which."""
+    return read_date(F.col(raw), [NOTIFICATION_SENTINEL])
+
+
+def notification_state(raw: str = "Autorenewal_Notification_Date__c"):
+    return date_state(F.col(raw), [NOTIFICATION_SENTINEL])
 
 
 def pool_scope(renewals: DataFrame, params: RunParams) -> DataFrame:
@@ -177,7 +183,7 @@ def renewal_credit(params: RunParams, autorenew: str = "Autorenew__c"):
 def build_pool(inp: RenewalInputs, params: RunParams, keep_unused_joins: bool = False) -> DataFrame:
     pr = pool_scope(inp.program_renewals, params)
     seg = inp.account_segments.select(F.col("AccountSFID").alias("_seg_acct"), F.col("AccountSegment").alias("_acct_segment"))
-    subs = inp.cpq_subscriptions.select(F.col("SubscriptionSFID").alias("SubscriptionSFID_Program"))
+    subs = inp.cpq_subscriptions.select(F.col("SubscriptionSFID").alias("_sub_id"), F.col("SubscriptionSFID").alias("SubscriptionSFID_Program"))
     periods = inp.subscription_periods.select(
         F.col("Id").alias("_period_id"),
         F.col("Autorenew__c").alias("_autorenew"),
@@ -190,7 +196,9 @@ def build_pool(inp: RenewalInputs, params: RunParams, keep_unused_joins: bool =
         eq_ci("Audience", SHARED_AUDIENCE) & isin_ci("AccountType", SHARED_ACCOUNT_TYPES)
     )
 
-    p = pr.join(seg, pr["AccountSFID"] == seg["_seg_acct"], "left")
+    # Rows without a key match nothing: in every left join below they are dealt by
+    # their own id instead of meeting in one task.
+    p = hashed_join(pr, seg, [("AccountSFID", "_seg_acct")], scatter=["SourceObjectSFID"])
     if keep_unused_joins:
         # Joined by the source but never projected: only their fan-out shows.
         p = p.join(inp.programs.select(F.col("ProgramSFID").alias("_p_id")), F.col("ProgramSFID") == F.col("_p_id"), "left")
@@ -199,11 +207,12 @@ def build_pool(inp: RenewalInputs, params: RunParams, keep_unused_joins: bool =
             F.col("PredecessorSFID_PreviousContract") == F.col("_pd_id"),
             "left",
         )
-    # Three tables keyed by the subscription id, one left join each: the pool is
-    # dealt by that id once, and every table can be broadcast or split on its own.
-    for dim, key in ((subs, "SubscriptionSFID_Program"), (prog_subs, "_ps_id"), (raw, "_raw_id")):
-        p = p.join(dim, p["SubscriptionSFID"] == dim[key], "left")
-    p = p.join(periods, p["SubPeriodSFID"] == periods["_period_id"], "left")
+    # Three tables keyed by the subscription id, one left join each, every one between
+    # shuffles of its own: adaptive execution can broadcast the table or split a hot id
+    # (a chain over one partitioning could not be split).
+    for dim, key in ((subs, "_sub_id"), (prog_subs, "_ps_id"), (raw, "_raw_id")):
+        p = hashed_join(p, dim, [("SubscriptionSFID", key)], scatter=["SourceObjectSFID"])
+    p = hashed_join(p, periods, [("SubPeriodSFID", "_period_id")], scatter=["SourceObjectSFID"])
     p = distinct_indicator(p, shared, ["AccountSFID", "PoolYear_FY"], ["AccountID", "FiscalYear"], "_shared_ind")
 
     c = F.col

@@ -41,6 +41,7 @@ from yoyflow.functions.text import (
     spelled,
 )
 from yoyflow.operators.allocate import allocate_prior_value, alignment_stats, prior_contracted_pool
+from yoyflow.operators.collated import group
 from yoyflow.operators.groups import group_flag
 from yoyflow.operators.joins import hashed_join
 from yoyflow.operators.lookup import lookup_by_code
@@ -111,11 +112,8 @@ def scope_filter(params: RunParams) -> Column:
 
 def optout_counts(optouts: DataFrame, params: RunParams) -> DataFrame:
     """Opt-out flags per program over the prior and control years."""
-    return (
-        optouts.where(F.col("Fiscal_Year__c") >= params.prior_year)
-        .groupBy(F.col("Id").alias("_optout_id"))
-        .agg(F.sum(F.when(F.col("Opt_Out__c") == 1, 1).otherwise(0)).alias("OptOut_Ind"))
-    )
+    rows = optouts.where(F.col("Fiscal_Year__c") >= params.prior_year).withColumnRenamed("Id", "_optout_id")
+    return group(rows, ["_optout_id"], F.sum(F.when(F.col("Opt_Out__c") == 1, 1).otherwise(0)).alias("OptOut_Ind"))
 
 
 def accrual_type(params: RunParams) -> Column:
@@ -179,7 +177,7 @@ def account_dimension(inp: ExtractInputs) -> DataFrame:
         F.col("Record_Type_Text__c").alias("_acct_record_type"),
     )
     seg = inp.account_segments.select(F.col("AccountSFID").alias("_seg_id"), "AccountSegment")
-    both = acc.join(seg, acc["_acct_id"] == seg["_seg_id"], "full")
+    both = acc.join(seg, eq_ci_cols(acc["_acct_id"], seg["_seg_id"]), "full")
     return both.select(F.coalesce("_acct_id", "_seg_id").alias("_acct_id"), *[c for c in both.columns if c not in ("_acct_id", "_seg_id")])
 
 
@@ -196,10 +194,10 @@ def raw_cut(inp: ExtractInputs, params: RunParams) -> DataFrame:
     pkg = inp.program_packages.select(F.col("ID").alias("_pkg_id"), F.col("Name").alias("ProgramPackageName"))
     opt = optout_counts(inp.program_optouts, params)
     acct = account_dimension(inp)
-    lines = lines.join(acct, lines["AccountID"] == acct["_acct_id"], "left").join(
-        pkg, F.col("PackageID") == pkg["_pkg_id"], "left"
+    lines = lines.join(acct, eq_ci_cols(lines["AccountID"], acct["_acct_id"]), "left").join(
+        pkg, eq_ci_cols("PackageID", pkg["_pkg_id"]), "left"
     )
-    lines = hashed_join(lines, opt, [("ProgramID", "_optout_id")], "left")  # per-program aggregate joined back
+    lines = hashed_join(lines, opt, [("ProgramID", "_optout_id")], "left", collated=True)  # per-program aggregate joined back
     consortium = like_ci("Account", codetables.CONSORTIUM_ACCOUNT)
     audience = F.col("Audience")
     return lines.select(
@@ -288,7 +286,7 @@ def _attach_year_context(df: DataFrame, source: DataFrame, inp: ExtractInputs, p
         source, ["AccountID", "CampaignCode", "Audience"], "SignatureDate",
         F.col("FiscalYear") == params.control_year, "_first_signed",
     )
-    df = hashed_join(df, firsts, ["AccountID", "CampaignCode", "Audience"], "left")
+    df = hashed_join(df, firsts, ["AccountID", "CampaignCode", "Audience"], "left", collated=True)
     keys = [("AccountID", "AccountID"), ("Audience", "Audience")]
     snapshots = [
         (
@@ -343,11 +341,11 @@ def summarise(raw: DataFrame, inp: ExtractInputs, params: RunParams, on_duplicat
     if on_duplicate == "keep":
         # Source order: join first (duplicates fan out and multiply the sums).
         rows = _attach_year_context(raw, raw, inp, params, on_duplicate)
-        data = rows.groupBy(*ROLLUP_KEYS, *SNAPSHOT_ATTRS).agg(*sums)
+        data = group(rows, [*ROLLUP_KEYS, *SNAPSHOT_ATTRS], *sums)
     else:
         # Every attached attribute is a function of (account, year, audience,
         # campaign code), all of them roll-up keys: roll up first, attach after.
-        rolled = raw.groupBy(*ROLLUP_KEYS).agg(*sums)
+        rolled = group(raw, ROLLUP_KEYS, *sums)
         data = _attach_year_context(rolled, rolled, inp, params, on_duplicate)
 
     adv_hd = isin_ci("Audience", ADV_HD)

@@ -131,6 +131,41 @@ ADAPTERS["x_program_lines_spelled"] = (
     + " FROM {x_program_lines}"
 )
 
+
+
+# Columns that the source cuts by position or writes together with others, where a
+# trailing blank is a character as any other: respelled in case only.
+_BY_POSITION = {
+    "program_lines": {"JobNumber", "Account", "Audience"},
+    "accounts": {"Client_Code_Adv__c", "r_Client_Code__c", "Counter_ID__c"},
+}
+
+
+def _respell(table: str, row: str, columns: Iterable[str]) -> str:
+    """All of ``table``, each text of ``columns`` in one of four spellings that the row's number picks."""
+    listed = []
+    for place, c in enumerate(REQUIRED[table]):
+        if c not in columns:
+            listed.append(c)
+            continue
+        one, two = ("", "") if c in _BY_POSITION.get(table, ()) else (" || ' '", " || '  '")
+        listed.append(f"CASE ({row} + {place}) % 4 WHEN 0 THEN upper({c}) WHEN 1 THEN lower({c}){one} WHEN 2 THEN {c}{two} ELSE {c} END AS {c}")
+    return f"SELECT {', '.join(listed)} FROM {{x_{table}}}"
+
+
+# Every text key of the extract's inputs respelled, row by row.
+for _table, _row, _columns in (
+    ("program_lines", "CAST(ContactQuantity AS INT) + FiscalYear", ["DataSource", "ProgramID", "AccountID", "Account", "SystemParent", "Audience", "JobNumber", "Campaign", "ProductGroup", "PType", "OppType", "PackageID", "ProgramStatus", "FYVertAccountStatus", "FYVertEngagementStatus", "CurrentSL"]),
+    ("accounts", "length(ID) + ascii(right(ID, 1))", ["ID", "Client_Code_Adv__c", "r_Client_Code__c", "Counter_ID__c", "Record_Type_Text__c"]),
+    ("account_segments", "length(AccountSFID) + ascii(right(AccountSFID, 1))", ["AccountSFID", "AccountSegment"]),
+    ("program_packages", "length(ID) + ascii(right(ID, 1))", ["ID", "Name"]),
+    ("program_optouts", "ascii(right(Id, 1)) + Fiscal_Year__c", ["Id"]),
+    ("enrolment_packages", "FiscalYear + Tenure", ["AccountID", "Audience", "RenewalType", "Renewal_Status"]),
+    ("other_packages", "FiscalYear + Tenure", ["AccountID", "Audience", "PackageID", "Adj_Renewal_Status"]),
+    ("all_packages", "FiscalYear + Rk", ["AccountID", "Audience", "PackageId"]),
+):
+    ADAPTERS[f"x_{_table}_respelled"] = _respell(_table, _row, _columns)
+
 ADAPTERS["x_accounts"] = f"""
 SELECT CAST(c.c_custkey AS STRING) AS ID,
        CASE WHEN c.c_custkey % 29 = 0 THEN 'A' || CAST(c.c_custkey AS STRING) ELSE {_CLIENT_CODE} END AS Client_Code_Adv__c,
@@ -317,10 +352,19 @@ JOIN {customer} c ON o.o_custkey = c.c_custkey
 ADAPTERS["x_subscription_periods"] = """
 SELECT CASE WHEN o.o_orderstatus = 'O' AND o.o_orderpriority = '2-HIGH' THEN 'none-' ELSE 'SP' END || CAST(o.o_orderkey AS STRING) AS Id,
        CASE WHEN o.o_orderkey % 2 = 0 THEN 'Yes' ELSE 'No' END AS Autorenew__c,
-       CASE o.o_orderkey % 5 WHEN 0 THEN '//' WHEN 1 THEN NULL WHEN 2 THEN 'n/a'
-            ELSE CAST(CAST(o.o_orderdate AS DATE) + 30 AS STRING) END AS Autorenewal_Notification_Date__c,
+       -- dates as people and systems write them, and what is none
+       CASE o.o_orderkey % 11
+            WHEN 0 THEN '//' WHEN 1 THEN NULL WHEN 2 THEN 'n/a' WHEN 3 THEN ' '
+            WHEN 4 THEN '13/' || CAST(day(o.noted) AS STRING) || '/' || CAST(year(o.noted) AS STRING)
+            WHEN 5 THEN '2/30/' || CAST(year(o.noted) AS STRING)
+            WHEN 6 THEN lpad(CAST(month(o.noted) AS STRING), 2, '0') || '/' || lpad(CAST(day(o.noted) AS STRING), 2, '0') || '/' || CAST(year(o.noted) AS STRING)
+            WHEN 7 THEN CAST(year(o.noted) * 10000 + month(o.noted) * 100 + day(o.noted) AS STRING)
+            WHEN 8 THEN CAST(o.noted AS STRING)
+            WHEN 9 THEN CAST(month(o.noted) AS STRING) || '-' || CAST(day(o.noted) AS STRING) || '-' || CAST(year(o.noted) AS STRING)
+            ELSE CAST(month(o.noted) AS STRING) || '/' || CAST(day(o.noted) AS STRING) || '/' || CAST(year(o.noted) AS STRING) || ' '
+       END AS Autorenewal_Notification_Date__c,
        CASE o.o_orderkey % 3 WHEN 0 THEN 'Green' WHEN 1 THEN 'Red' ELSE NULL END AS Account_Health_YV__c
-FROM {orders} o
+FROM (SELECT o_orderkey, o_orderstatus, o_orderpriority, CAST(o_orderdate AS DATE) + 30 AS noted FROM {orders}) o
 """
 
 # Periods with the auto-renewing ones twice: pool rows then come twice, too.
