@@ -232,8 +232,56 @@ def test_stages_keep_columns_and_have_their_effect(spark, messy, tmp_path):
         assert stage(spark, docs.where("doc_id >= 400"), sf).count() == (0 if name == "language" else 3)
 
 
+def test_near_duplicates_go_by_row_not_by_id(spark):
+    """Rows that share an id, copies of them, repeated rows, rows without words, a very long text, odd column names."""
+    a, b, c, d = (prose(900 + i, 60) for i in range(4))
+    long = prose(910, 30_000)
+    rows = [
+        (1, a, "x"), (1, b, "x"),  # one id, two texts, no copies of anything: both stay
+        (2, c, "x"), (3, c + " more", "x"), (3, d, "x"),  # 3 is a near copy of 2 by one of its rows only
+        (5, long, "x"), (6, long + " end", "x"), (6, long + " end", "y"), (6, long + " end", "y"),
+        (7, "", "x"), (7, "", "x"), (8, None, "x"), (8, " .. ", "x"), (None, c, "x"), (None, c, "x"),
+        (9, prose(920, 80), "z"), (9, prose(920, 80), "z"), (9, prose(920, 80), "w"),  # one row of these
+    ]
+    docs = spark.createDataFrame([(i, t, s, "k", 3) for i, t, s in rows], "doc_id long, text string, _doc string, _text string, class_no int").repartition(4)
+    out = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert out.columns == docs.columns
+    got = Counter((r["doc_id"], r["text"], r["_doc"]) for r in out.collect())
+    nine = [k for k in got if k[0] == 9]
+    assert len(nine) == 1 and got.pop(nine[0]) == 1
+    want = [rows[i] for i in (0, 1, 2, 4, 5, 9, 10, 11, 12, 13, 14)]
+    assert got == Counter(want)
+    again = {r["_doc"] for _ in range(2) for r in corpus_pipeline.near_duplicates(spark, docs.repartition(7), "").where("doc_id = 9").collect()}
+    assert again == {nine[0][2]}
+
+
+def test_other_stages_keep_odd_columns(spark, tmp_path):
+    spark.createDataFrame([(1, prose(930, 30))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(i, prose(940 + i, 80, "klmnopqr" if i % 2 else "abcdefgh"), "aa" if i % 2 else "bb", "k", 3, 4, True) for i in range(12)]
+    rows += [(20, prose(950, 60_000), "bb", "k", 3, 4, True)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, _doc string, _text int, n_chars long, _changed boolean")
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns and [f.dataType for f in out.schema] == [f.dataType for f in docs.schema], name
+        assert sorted(map(tuple, out.collect())) == sorted(rows), name
+
+
+def test_a_worker_keeps_the_state_of_one_operator():
+    from yoyflow.llm.common import Memo, worker_state
+
+    a = worker_state("a", list)
+    assert worker_state("a", list) is a
+    b = worker_state("b", dict)
+    assert worker_state("b", dict) is b and worker_state("a", list) is not a
+    memo = Memo(lambda words: [len(w) for w in words], 1000, most=40_000)  # some 190 words of ten letters
+    for k in range(30):
+        words = [f"{k:03d}-{i:06d}" for i in range(50)]
+        assert memo.lookup([words, words[:3]]) == [[10] * 50, [10] * 3]
+        assert len(memo) <= 200
+
+
 def test_all_queries_are_registered():
     import __spark_entry__ as entry
 
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()

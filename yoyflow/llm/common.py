@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+import hashlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# About what a generation of a worker's memo may hold, and an entry of it without its word.
+MEMO_BYTES, ENTRY_BYTES = 64 << 20, 200
 # Text bytes handed to one vectorised step; bounds the memory of a Python worker.
 SLICE_BYTES = 2 << 20
 
@@ -53,8 +60,41 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return pc.fill_null(batch.column(column), "").to_pylist()
 
 
+LONG_WORD = 128
+
+
+def name_long_words(h: np.ndarray, data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """``h``, the words' polynomial hashes modulo 2**64, with BLAKE2b in place of those of
+    long words: such a polynomial gives some pairs of long, regular words the same value."""
+    for i in np.flatnonzero(last - first > LONG_WORD).tolist():
+        h[i] = int.from_bytes(hashlib.blake2b(data[first[i] : last[i]].tobytes(), digest_size=8).digest(), "little")
+    return h
+
+
+_slot: dict[str, object] = {}
+
+
+def worker_state(name: str, make: Callable[[], object]):
+    """What an operator keeps in a Python worker between tasks, under its ``name``.
+
+    Spark reuses workers, so a session that runs many operators would gather all
+    their memos.  There is one place: another name's state is dropped, and its
+    memory is handed back to the machine, before ``make`` builds the new one.
+    """
+    if name not in _slot:
+        if _slot:
+            _slot.clear()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # glibc only
+                ctypes.CDLL(None).malloc_trim(0)
+        _slot[name] = make()
+    return _slot[name]
+
+
 class Memo(dict):
-    """A worker's results by word, in two generations of at most ``limit`` words each.
+    """A worker's results by word, in two generations of at most ``limit`` words
+    or about ``most`` bytes each.
 
     Most words of a corpus come back many times, so the costly per-word step
     runs about once per word and worker.  When the young generation is full it
@@ -63,9 +103,9 @@ class Memo(dict):
     ``compute`` then sees an empty memo and may drop what it holds, too.
     """
 
-    def __init__(self, compute: Callable[[list[str]], list], limit: int = 300_000, two: bool = True):
+    def __init__(self, compute: Callable[[list[str]], list], limit: int = 300_000, two: bool = True, most: int = MEMO_BYTES):
         super().__init__()
-        self._compute, self._limit, self._two, self._old = compute, limit, two, {}
+        self._compute, self._limit, self._two, self._most, self._old, self._bytes = compute, limit, two, most, {}, 0
 
     def ensure(self, parts: list[list]) -> None:
         """Afterwards all words of the given lists can be looked up."""
@@ -88,10 +128,13 @@ class Memo(dict):
 
     def _add(self, missing: set, needed: set) -> dict:
         """Enter the missing words; when that fills a generation, all needed ones enter the next."""
-        if len(self) + len(missing) > self._limit:
+        size = sum(map(len, missing))
+        if len(self) + len(missing) > self._limit or self._bytes + size + ENTRY_BYTES * (len(self) + len(missing)) > self._most:
             self._old = dict(self) if self._two else {}
             self.clear()
-            missing = needed
+            missing, self._bytes = needed, 0
+            size = sum(map(len, missing))
+        self._bytes += 2 * size  # the word, and a result that grows with it
         old = self._old
         found = {w: old[w] for w in missing if w in old}
         new = [w for w in missing if w not in found]

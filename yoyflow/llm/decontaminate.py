@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yoyflow.llm.common import map_slices, table
+from yoyflow.llm.common import map_slices, name_long_words, table
 from yoyflow.operators.joins import hashed_join
 from yoyflow.session import cut_lineage
 
@@ -68,7 +68,7 @@ def split_words(raw: list[bytes]) -> Words:
 
 
 def word_hashes(words: Words, factor: int) -> np.ndarray:
-    """A polynomial hash of each word, modulo 2**64."""
+    """A hash of each word: a polynomial modulo 2**64, BLAKE2b for long words."""
     if not len(words.first):
         return np.zeros(0, np.uint64)
     size = words.last - words.first
@@ -78,7 +78,7 @@ def word_hashes(words: Words, factor: int) -> np.ndarray:
     letters = words.data[words.data != 0].astype(np.uint64)
     begin = np.cumsum(size) - size
     place = np.arange(len(letters)) - np.repeat(begin, size)
-    return np.add.reduceat(letters * powers[place], begin)
+    return name_long_words(np.add.reduceat(letters * powers[place], begin), words.data, words.first, words.last)
 
 
 @dataclass
@@ -215,13 +215,15 @@ def search(docs: DataFrame, benchmark: DataFrame, text: str = "text", keep: list
     ``items`` (sorted item ids with an occurring window); clashing input columns
     are replaced.  A document word inside any occurrence is hit."""
     made = ("n_words", "n_hit", "items")
-    kept = docs.select(*[c for c in (docs.columns if keep is None else keep) if c not in made], F.col(text).alias("_text"))
+    listed = [c for c in (docs.columns if keep is None else keep) if c not in made]
+    back = text if text in listed else None  # the text is sent once
+    kept = docs.select(*(c for c in listed if c != text), F.col(text).alias("_text"))
     windows = cut_lineage(benchmark_windows(benchmark, window=window))
     passes = max(1, -(-windows.count() // patterns))
     if passes == 1:
-        return _scan(kept, _collect(windows), "n_words long, n_hit long, items array<string>", _summary)
+        return _scan(kept, _collect(windows), "n_words long, n_hit long, items array<string>", _summary, back).select(*listed, *made)
     digest = F.sha2(F.coalesce("_text", F.lit("")).cast("binary"), 256)
-    rows = _scan(kept.withColumn("_digest", digest), [], "n_words long, n_hit long, items array<string>", _summary).drop("n_hit", "items")
+    rows = _scan(kept.withColumn("_digest", digest), [], "n_words long, n_hit long, items array<string>", _summary, back).drop("n_hit", "items")
     found = None
     for k in range(passes):
         part = windows.where(F.pmod(F.xxhash64("words"), F.lit(passes)) == k)
@@ -229,7 +231,7 @@ def search(docs: DataFrame, benchmark: DataFrame, text: str = "text", keep: list
         hits = hits.groupBy("_digest").agg(F.first("hit").alias("hit"), F.first("items").alias("items"))
         found = hits if found is None else found.union(hits)
     by_text = found.groupBy("_digest").agg(F.size(F.array_distinct(F.flatten(F.collect_list("hit")))).cast("long").alias("n_hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    names = [c for c in kept.columns if c != "_text"]
+    names = listed
     joined = hashed_join(rows, by_text, ["_digest"], how="left")
     return joined.select(*names, "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
@@ -253,7 +255,8 @@ def _hits(words: Words, covered: np.ndarray, items: list[list[str]]) -> list[pa.
     return [pa.array(which, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))]
 
 
-def _scan(docs: DataFrame, windows: list[tuple[bytes, list[str]]], made: str, give) -> DataFrame:
+def _scan(docs: DataFrame, windows: list[tuple[bytes, list[str]]], made: str, give, back: str | None = None) -> DataFrame:
+    """``docs`` with what ``give`` makes of the hits; the text comes back only under the name ``back``."""
     shared = docs.sparkSession.sparkContext.broadcast(compile_patterns(windows))
     names = [c for c in docs.columns if c != "_text"]
 
@@ -268,9 +271,10 @@ def _scan(docs: DataFrame, windows: list[tuple[bytes, list[str]]], made: str, gi
         for i, p in zip(words.text[first].tolist(), number.tolist(), strict=True):
             items[i].update(patterns.items[p])
         columns = give(words, np.cumsum(delta)[:-1] > 0, [sorted(s) for s in items])
-        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *columns], names=[*names, *(c.split()[0] for c in made.split(", "))])
+        own = [*(batch.column(c) for c in names), *([batch.column("_text")] if back else [])]
+        return pa.RecordBatch.from_arrays([*own, *columns], names=[*names, *([back] if back else []), *(c.split()[0] for c in made.split(", "))])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "_text"), made])
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "_text"), *([f"`{back}` string"] if back else []), made])
     return map_slices(docs, run, schema, "_text")
 
 

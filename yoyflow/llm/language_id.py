@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yoyflow.llm.common import Memo, crc_mod, map_slices, slices, table, texts
+from yoyflow.llm.common import Memo, crc_mod, map_slices, slices, table, texts, worker_state
 
 BUCKETS = 1 << 16
 SAMPLE = 100_000
@@ -217,25 +217,19 @@ class _Scores:
         return list(range(a, b))
 
 
-_words: dict[str, _Scores] = {}
-
-
 def predict(docs: DataFrame, model: LanguageModel, text: str = "text", keep: list[str] | None = None, switch: float = SWITCH) -> DataFrame:
     """The columns ``keep`` of ``docs`` (default: all) with ``lang_pred``, ``score`` and
     ``spans``: array of (first_word, words, lang), words being runs of letters."""
     made = ("lang_pred", "score", "spans")
     sc = docs.sparkSession.sparkContext
     shared = sc.broadcast(model)
-    name = f"{sc.applicationId}:{shared._jbroadcast.id()}"
+    name = f"language:{sc.applicationId}:{shared._jbroadcast.id()}"
     names = [c for c in (docs.columns if keep is None else keep) if c not in made]
-    kept = docs.select(*names, F.col(text).alias("_text"))
+    kept = docs.select(*(c for c in names if c != text), F.col(text).alias("_text"))  # the text is sent once
     spans_type = pa.list_(pa.struct([("first_word", pa.int32()), ("words", pa.int32()), ("lang", pa.string())]))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if name not in _words:
-            _words.clear()
-            _words[name] = _Scores(shared.value)
-        scores, languages = _words[name], shared.value.languages
+        scores, languages = worker_state(name, lambda: _Scores(shared.value)), shared.value.languages
         parts = [words_of(t) for t in texts(batch, "_text")] if languages else [[] for _ in range(batch.num_rows)]
         scores.memo.ensure(parts)
         count = np.array([len(p) for p in parts], np.int64)
@@ -256,9 +250,9 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", keep: lis
         lang = [languages[t] if k else UNKNOWN for t, k in zip(top.tolist(), known.tolist(), strict=True)]
         score = np.where(known, letters.max(1) / np.maximum(total, 1), 0.0)
         columns = [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(spans, spans_type)]
-        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *columns], names=[*names, *made])
+        return pa.RecordBatch.from_arrays([*(batch.column("_text" if c == text else c) for c in names), *columns], names=[*names, *made])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "_text"), "lang_pred string, score double, spans array<struct<first_word: int, words: int, lang: string>>"])
+    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names), "lang_pred string, score double, spans array<struct<first_word: int, words: int, lang: string>>"])
     return map_slices(kept, run, schema, "_text", 1 << 20)
 
 

@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yoyflow.llm.common import Memo, crc_mod, slices, table
+from yoyflow.llm.common import Memo, crc_mod, slices, table, worker_state
 from yoyflow.llm.pieces import PieceModel, expected_counts, marginals
 from yoyflow.session import cut_lineage
 
@@ -138,9 +138,6 @@ def hot_words(counts: DataFrame, most: int = HOT_WORDS) -> dict[bytes, int]:
     return {bytes(r.key): r.n_train for r in counts.where(step >= bound).select("key", "n_train").toLocalIterator()}
 
 
-_scorers: dict[str, "_Scorer"] = {}
-
-
 class _Scorer:
     """A worker's scores by word, as columns that a document's words index."""
 
@@ -199,10 +196,7 @@ def score_documents(docs: DataFrame, model_path: str, train) -> DataFrame:
     others = [c for c in docs.columns if c not in (*made, "text")]
 
     def run(batches):
-        if name not in _scorers:
-            _scorers.clear()
-            _scorers[name] = _Scorer(*shared.value)
-        scorer, at = _scorers[name], TaskContext.get().partitionId() << 33
+        scorer, at = worker_state(f"lattice:{name}", lambda: _Scorer(*shared.value)), TaskContext.get().partitionId() << 33
         for batch in batches:
             for part in slices(batch, "text"):
                 split = [words_of(t) for t in _byte_texts(part)]

@@ -107,8 +107,8 @@ def min_hashes(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _signatures(docs: DataFrame) -> DataFrame:
-    """One row per document: row, id, digest of its set, size, band keys, values."""
+def _signatures(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """One row per document: row, id, digest of its set, size, band keys, values, and the columns ``keep``."""
 
     def run(batches):
         at = TaskContext.get().partitionId() << 33
@@ -135,11 +135,13 @@ def _signatures(docs: DataFrame) -> DataFrame:
                         "size": pa.array([len(s) for s in sets], pa.int32()),
                         "keys": pa.array(keys, pa.list_(pa.int64())),
                         "min_values": pa.array(values, pa.binary()),
+                        **{c: part.column(c) for c in keep},
                     }
                 )
                 at += n
 
-    return docs.mapInArrow(run, "row long, doc_id long, digest binary, size int, keys array<long>, min_values binary")
+    also = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    return docs.mapInArrow(run, f"row long, doc_id long, digest binary, size int, keys array<long>, min_values binary{also}")
 
 
 def least_matches(threshold: float, tolerance: float, values: int = VALUES, step: int = STEP) -> dict[int, int]:
@@ -257,16 +259,19 @@ def _ngrams_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return hashed.mapInArrow(run, "digest binary, doc_id long, grams binary")
 
 
-def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
-    """One row per document:
+def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block: int = BLOCK, keep: list[str] | None = None) -> DataFrame:
+    """One row per document, with its columns ``keep`` (names that clash with the following are not allowed):
 
     doc_id; ``copy_of``, the least id with the same set of n-grams; ``n_copies``,
     documents with that set, itself included; ``n_text_links``, different sets
     linked to it; ``n_links``, documents linked to it, copies included;
-    ``class_id``, the least id of all documents that links connect with it.
+    ``class_id``, the least id of all documents that links connect with it;
+    ``class_no``, a number of the class within this result, null without n-grams
+    (ids may be shared by documents of several classes, numbers are not).
     """
-    given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("_text"))
-    every = cut_lineage(_signatures(given))
+    keep = keep or []
+    given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("_text"), *keep)
+    every = cut_lineage(_signatures(given, keep))
     with_words = every.where("digest is not null")
     sets = cut_lineage(with_words.groupBy("digest").agg(F.min("row").alias("set_id"), F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("keys").alias("keys"), F.first("min_values").alias("min_values")))
     keyed = sets.select("set_id", F.explode("keys").alias("key"))
@@ -278,7 +283,7 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bl
     member = cut_lineage(member)
     blocks = member.groupBy("component").agg(F.ceil(F.sum("size") / F.lit(block)).alias("blocks"))
     placed = hashed_join(member, blocks, ["component"], how="inner").withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")))
-    grams = _ngrams_of(given, member.select(F.col("first_id").alias("doc_id")))
+    grams = _ngrams_of(given.select("doc_id", "_text"), member.select(F.col("first_id").alias("doc_id")))
     same = [placed["digest"] == grams["digest"], placed["first_id"].eqNullSafe(grams["doc_id"])]
     loaded = placed.join(grams, same).select("set_id", "component", "copies", "blocks", "block", "min_values", "grams")
     other = loaded.withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
@@ -291,7 +296,7 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bl
     found = cut_lineage(found.withColumn("class", F.coalesce("component", "set_id")).drop("component"))
     name = found.groupBy("class").agg(F.min("first_id").alias("class_id"))
     result = hashed_join(found, name, ["class"])
-    rows = hashed_join(every.select("doc_id", "digest"), cut_lineage(result), ["digest"])
+    rows = hashed_join(every.select("doc_id", "digest", *keep), cut_lineage(result), ["digest"], scatter=["doc_id"])
     zero = F.lit(0)
     return rows.select(
         "doc_id",
@@ -300,9 +305,11 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bl
         F.coalesce("links", zero).cast("long").alias("n_text_links"),
         (F.coalesce("linked", zero) + F.coalesce("copies", F.lit(1)) - 1).cast("long").alias("n_links"),
         F.coalesce("class_id", "doc_id").alias("class_id"),
+        F.col("class").alias("class_no"),
+        *keep,
     )
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and classes of all ``documents``."""
-    return jaccard_join(table(spark, sf_dir, "documents"))
+    return jaccard_join(table(spark, sf_dir, "documents")).drop("class_no")

@@ -282,6 +282,7 @@ def rollup(tree: DataFrame, paths: DataFrame) -> DataFrame:
         F.lit(0).cast("long").alias("add_leaves"),
         F.lit(0).cast("long").alias("add_saved"),
     )
+    active = cut_lineage(active)
     small, done = [], []
     while True:
         sizes = active.groupBy("comp").agg(F.count("*").alias("_n"), F.max("heavy").alias("_all"), F.min("depth").alias("_top"))

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yoyflow.llm import bloom
-from yoyflow.llm.common import slices, table
+from yoyflow.llm.common import name_long_words, slices, table
 from yoyflow.operators.joins import hashed_join
 from yoyflow.session import cut_lineage
 
@@ -84,7 +84,7 @@ def word_names(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     begin = np.cumsum(size) - size
     place = np.arange(int(size.sum())) - np.repeat(begin, size)
     letters = data[inside[1:-1]].astype(np.uint64) + np.uint64(1)
-    return _mix(np.add.reduceat(letters * powers[place], begin)), count
+    return _mix(name_long_words(np.add.reduceat(letters * powers[place], begin), data, first, last)), count
 
 
 def stretch_names(h: np.ndarray, length: int, factor: np.uint64) -> np.ndarray:

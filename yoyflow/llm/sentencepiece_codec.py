@@ -23,16 +23,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from yoyflow.llm.common import Memo, map_slices, table, texts
+from yoyflow.llm.common import Memo, map_slices, table, texts, worker_state
 from yoyflow.llm.pieces import PieceModel, best_paths
 from yoyflow.llm.tokenizers import MARKER, piece_chunks
 
-_memos: dict[str, Memo] = {}
-
 
 def encode_texts(model: PieceModel, batch: list[str]) -> tuple[list[bytes], list[float]]:
     """Little-endian int32 ids and natural-log score of each text's best path."""
-    memo = _memos.setdefault(model.key, Memo(lambda words: best_paths(model, words)))
+    memo = worker_state(f"pieces:{model.key}", lambda: Memo(lambda words: best_paths(model, words), 150_000))
     found = memo.lookup([_words(t) for t in batch])
     return [b"".join([x[0] for x in f]) for f in found], [sum(x[1] for x in f) for f in found]
 

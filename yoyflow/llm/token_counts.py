@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yoyflow.llm import tokenizers as tk
-from yoyflow.llm.common import Memo, map_slices, table, texts
+from yoyflow.llm.common import Memo, map_slices, table, texts, worker_state
 from yoyflow.operators.joins import hashed_join
 from yoyflow.session import new_stage
 
@@ -58,14 +58,10 @@ class _ByteLevelCounter:
         return [len(ids) // 4 for ids in self._coder(given)]
 
 
-_counters: dict[str, _PieceCounter | _ByteLevelCounter] = {}
-
-
 def _count_slice(path: str):
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if path not in _counters:
-            _counters[path] = _PieceCounter(path) if path.endswith(".model") else _ByteLevelCounter(path)
-        return pa.record_batch({"content_digest": batch.column("content_digest"), "n_tokens": pa.array(_counters[path](texts(batch)), pa.int64())})
+        count = worker_state(f"counter:{path}", lambda: _PieceCounter(path) if path.endswith(".model") else _ByteLevelCounter(path))
+        return pa.record_batch({"content_digest": batch.column("content_digest"), "n_tokens": pa.array(count(texts(batch)), pa.int64())})
 
     return run
 

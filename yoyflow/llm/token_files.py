@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yoyflow.llm import tokenizers as tk
-from yoyflow.llm.common import slices, table, texts
+from yoyflow.llm.common import slices, table, texts, worker_state
 from yoyflow.session import new_stage
 
 BLOCK_TOKENS = 1 << 18
@@ -68,8 +68,6 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out
 
 
-_coders: dict[str, tk.ByteLevelCoder] = {}
-
 
 def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int | None) -> tuple[DataFrame, str]:
     """``(doc_id, ids binary, crc long, counts binary)``, ids as little-endian integers of
@@ -81,12 +79,11 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int | None) -
     kinds = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("crc", pa.int64()), ("counts", pa.binary())])
 
     def run(batches):
-        if tokenizer_path not in _coders:
-            _coders[tokenizer_path] = tk.ByteLevelCoder(tokenizer_path, dtype)
+        coder = worker_state(f"coder:{tokenizer_path}:{dtype}", lambda: tk.ByteLevelCoder(tokenizer_path, dtype))
         total = np.zeros(size, np.int64)
         for batch in batches:
             for part in slices(batch, "text"):
-                ids = [i + end for i in _coders[tokenizer_path](texts(part))]
+                ids = [i + end for i in coder(texts(part))]
                 total += np.bincount(np.frombuffer(b"".join(ids), dtype), minlength=size)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary()), pa.array(map(zlib.crc32, ids), pa.int64()), pa.nulls(len(ids), pa.binary())], schema=kinds)
         yield pa.RecordBatch.from_pylist([{"counts": total.astype("<i8").tobytes()}], kinds)

@@ -112,7 +112,7 @@ class ByteLevelCoder:
         if sys.byteorder != "little" or array(self._code).itemsize != self._size:
             self._letters = None
         self._first = Memo(lambda words: self._encode(words), 50_000)
-        self._other = Memo(lambda words: self._encode([" " + w for w in words]), 600_000)
+        self._other = Memo(lambda words: self._encode([" " + w for w in words]), 600_000, most=160 << 20)
 
     def _each(self, words: list[str]) -> list[bytes]:
         return [np.array(e.ids, self._dtype).tobytes() for e in self._tokenizer.encode_batch_fast(words, add_special_tokens=False)]
