@@ -8,8 +8,11 @@ columns of the input are kept as they are (the last stage's own replace them).
 1. ``language``: documents without an identified language go (no letter, or
    no language that covers half of the letters).
 2. ``near_duplicates``: of every class that links of Jaccard similarity 0.8 on
-   word 5-grams connect, the row with the least doc_id stays (of equal rows of
-   that id, one).  Texts without words are in no class and stay.
+   word 5-grams connect, one row stays: that of the least doc_id, among rows of
+   that id that of the least SHA-256 of the text, among rows with the same id and
+   text that of the least hash of all columns.  Classes are told apart by rows,
+   not by ids: texts that share an id and are no copies all stay.  Texts without
+   words are in no class and stay.
 3. ``decontaminate``: documents with a passage of a benchmark item go.
 4. ``secrets``: findings are replaced by ``[SECRET]`` in the text, and n_chars
    is set again where the text changed; no document goes.
@@ -33,40 +36,46 @@ LEAST_LANGUAGE_SHARE = 0.5
 
 
 def packed(docs: DataFrame) -> DataFrame:
-    """doc_id, text and, whatever the names of its columns, the whole row as ``_doc``."""
-    return docs.select("doc_id", "text", F.struct("*").alias("_doc"))
+    """The text and, whatever the names of its columns, the rest of the row as ``_doc``: each text is sent once."""
+    return docs.select("text", F.struct(*(c for c in docs.columns if c != "text")).alias("_doc"))
+
+
+def unpacked(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.select(*(F.col("text") if c == "text" else F.col("_doc")[c].alias(c) for c in docs.columns))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the labelled rows outside the held-out third."""
     model = language_id.fit(docs.where(language_id.training_rows()))
-    found = language_id.predict(packed(docs), model, keep=["_doc"])
+    found = language_id.predict(packed(docs), model, keep=["_doc", "text"])
     known = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SHARE)
-    return found.where(known).select("_doc.*")
+    return unpacked(found.where(known), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    classes = cut_lineage(ngram_join.jaccard_join(docs).select("doc_id", "class_id"))
-    stay = classes.where("doc_id = class_id").groupBy("doc_id").agg(F.count("*").alias("_rows"))
-    kept = hashed_join(packed(docs).drop("text"), stay, ["doc_id"], how="inner")
-    without_id = docs.where("doc_id is null")
-    again = F.col("_rows") > 1
-    if not stay.where(again).limit(1).count():
-        return kept.select("_doc.*").unionByName(without_id)
-    once = kept.where(again).dropDuplicates(["doc_id"])
-    return kept.where(~again).unionByName(once).select("_doc.*").unionByName(without_id)
+    key = F.sha2(F.col("text").cast("binary"), 256)
+    classes = ngram_join.jaccard_join(docs.select("doc_id", "text", key.alias("_key")), keep=["_key"])
+    classes = cut_lineage(classes.where("doc_id is not null").select("doc_id", "_key", "class_no"))
+    alike = classes.where("class_no is not null").groupBy("class_no", "doc_id", "_key").agg(F.count("*").alias("_rows"))
+    first = alike.groupBy("class_no").agg(F.min(F.struct("doc_id", "_key", "_rows")).alias("_first")).select("_first.*")
+    # rows without words, all of them: by the same key, as equal texts agree on having words
+    wordless = classes.where("class_no is null").groupBy("doc_id", "_key").agg(F.lit(1).cast("long").alias("_rows"))
+    stay = cut_lineage(first.unionByName(wordless).select(F.col("doc_id").alias("_id"), F.col("_key").alias("_text_key"), "_rows"))
+    rows = docs.where("doc_id is not null").select(F.struct("*").alias("_doc"), F.col("doc_id").alias("_id"), F.coalesce(key, F.lit("")).alias("_text_key"))
+    kept = hashed_join(rows, stay.withColumn("_text_key", F.coalesce("_text_key", F.lit(""))), ["_id", "_text_key"], how="inner")
+    once = kept.where("_rows > 1").groupBy("_id", "_text_key").agg(F.min_by("_doc", F.xxhash64("_doc")).alias("_doc"))
+    return kept.where("_rows = 1").select("_doc.*").unionByName(once.select("_doc.*")).unionByName(docs.where("doc_id is null"))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.search(packed(docs), table(spark, sf_dir, "benchmark"), keep=["_doc"])
-    return found.where(~decontaminate.contaminated()).select("_doc.*")
+    found = decontaminate.search(packed(docs), table(spark, sf_dir, "benchmark"), keep=["_doc", "text"])
+    return unpacked(found.where(~decontaminate.contaminated()), docs)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    clean = secrets.redact(packed(docs).drop("doc_id"), secrets.fit(docs))
-    changed = ~F.col("text").eqNullSafe(F.col("_doc.text"))
-    new = {"text": F.col("text"), "n_chars": F.when(changed, F.length("text").cast("long")).otherwise(F.col("_doc")["n_chars"])}
-    return clean.select(*(new[c].alias(c) if c in new else F.col("_doc")[c].alias(c) for c in docs.columns))
+    clean = secrets.redact(packed(docs), secrets.fit(docs), changed="_changed")
+    n_chars = F.when(F.col("_changed"), F.length("text").cast("long")).otherwise(F.col("_doc")["n_chars"])
+    return unpacked(clean.withColumn("_doc", F.col("_doc").withField("n_chars", n_chars)), docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
