@@ -429,6 +429,11 @@ def _closure(names: Iterable[str]) -> list[str]:
     return ordered
 
 
+# Session setting: over how many tasks the base tables are spread when read (unset:
+# the scan's own splits).  For files of one row group each, which scan as one task.
+INPUT_PARTITIONS = "spark.yoyflow.input.partitions"
+
+
 class SparkInputs:
     """Lazily built adapter DataFrames for one data folder."""
 
@@ -440,7 +445,8 @@ class SparkInputs:
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
             if name in BASE_TABLES:
-                self._frames[name] = read_input(self.spark, f"{self.sf_dir}/{name}.parquet")
+                spread = self.spark.conf.get(INPUT_PARTITIONS, None)
+                self._frames[name] = read_input(self.spark, f"{self.sf_dir}/{name}.parquet", partitions=int(spread) if spread else None)
             else:
                 args = {d: self[d] for d in dependencies(name)}
                 self._frames[name] = self.spark.sql(ADAPTERS[name], **args)
