@@ -92,3 +92,28 @@ def test_discount_units_by_code_alone(spark):
     assert text[1] == code[1] and text[0] <= code[0]  # names that hold the code no longer count as discounts
     with pytest.raises(ValueError, match="discount_test"):
         RunParams(discount_test="name")
+
+
+@pytest.mark.parametrize("as_table", [False, True])
+def test_rerun_leaves_no_rows_of_a_year_that_is_empty_now(spark, tmp_path, as_table):
+    from yoyflow.sources.io import write_output
+
+    where = "years_of_a_run" if as_table else f"{tmp_path}/out"
+    read = lambda: {(r["y"], r["v"]) for r in (spark.table(where) if as_table else spark.read.parquet(where)).collect()}
+    rows = lambda *r: spark.createDataFrame(list(r), "v string, y int")
+    try:
+        write_output(rows(("a", 2022), ("b", 2023), ("c", 2024)), where, "y", scope=[2022, 2023, 2024])
+        write_output(rows(("d", 2024)), where, "y", scope=[2023, 2024])  # 2023 has no rows any more, 2022 is another run's
+        if as_table:
+            spark.catalog.refreshTable(where)
+        assert read() == {(2022, "a"), (2024, "d")}
+        with pytest.raises(ValueError, match="outside"):
+            write_output(rows(("e", 2030)), where, "y", scope=[2024])
+        assert read() == {(2022, "a"), (2024, "d")}
+        write_output(rows(("x", 1)).where("false"), where, "y", scope=[2024])
+        if as_table:
+            spark.catalog.refreshTable(where)
+        assert read() == {(2022, "a")}
+    finally:
+        if as_table:
+            spark.sql(f"DROP TABLE IF EXISTS {where}")

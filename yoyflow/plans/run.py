@@ -55,9 +55,9 @@ def main(argv: list[str] | None = None) -> None:
         pool_classes=tuple(args.pool_classes.split(",")),
     )
     if args.job == "extract":
-        write_extract(rx.revenue_extract(rx.ExtractInputs(**frames), params, on_duplicate=args.on_duplicate), args.output)
+        write_extract(rx.revenue_extract(rx.ExtractInputs(**frames), params, on_duplicate=args.on_duplicate), args.output, scope=[params.control_year])
     else:
-        write_pool(rp.renewal_pool(rp.RenewalInputs(**frames), params, on_duplicate=args.on_duplicate), args.output)
+        write_pool(rp.renewal_pool(rp.RenewalInputs(**frames), params, on_duplicate=args.on_duplicate), args.output, scope=params.pool_years)
     drop_stages(spark)  # the result is written; the intermediate stage tables can go
 
 
