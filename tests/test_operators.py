@@ -209,6 +209,37 @@ def test_audits(spark):
     assert res == {"u": 2.0, "v": 5.0, "w": -1.0}
 
 
+def test_best_match_relations_and_null_ids(spark):
+    cand = "account string, class string, contract string, prior string, prior_phx string, program string, start date, sub string"
+    probe = "probe_id string, account string, class string, own_contract string, own_program string, day date"
+    cdf = spark.createDataFrame(
+        [
+            ("x", "A", "K", "K", "K", "P", _day(5), "S1"),  # one relation to K: own
+            ("x", "A", "N", "K", "K", "P", _day(4), "S2"),  # prior hides the migrated prior
+            ("x", "A", None, None, "M", "Q", _day(4), "S3"),
+            ("x", "A", "Z", None, None, "P", _day(9), "S4"),
+        ],
+        cand,
+    )
+    pdf = spark.createDataFrame(
+        [
+            ("a", "x", "A", "K", "P", _day(1)),
+            ("b", "x", "A", "M", "P", _day(1)),
+            ("c", "x", "A", None, "P", _day(9)),
+            ("d", "x", "A", "none", "R", _day(6)),
+            (None, "x", "A", "K", "P", _day(5)),
+            (None, "x", "A", None, "P", _day(9)),
+            ("gone", "x", "A", "K", "P", _day(10)),
+            ("no day", "x", "A", "K", "P", None),
+        ],
+        probe,
+    )
+    got = {r.probe_id: (r.match_label[:2], r.sub, r.start) for r in best_match(pdf, cdf).collect()}
+    assert got == {"a": ("1A", "S1", _day(5)), "b": ("2B", "S3", _day(4)), "c": ("3A", "S4", _day(9)), "d": ("3C", "S4", _day(9)), None: ("1A", "S1", _day(5))}
+    assert best_match(pdf, cdf).count() == len(got)
+    assert best_match(pdf, cdf.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("seed", [11, 12, 13])
 def test_tier_pair_counts_match_brute_force(spark, seed):
     from yoyflow.operators.match import tier_pair_counts

@@ -23,29 +23,31 @@ order -- so the migrated "(PHX)" variants outrank the direct ones), ties broken
 by candidate start day, contract id, subscription id (ascending, NULLs last).
 
 Plan.  Listing all (probe, candidate) pairs is quadratic per account.  Instead
-the labels are taken in rank order, and for each rank the set of candidates
-that would carry exactly that label *given that no better rank matched* is an
-equi-key on the candidate plus a candidate-local filter:
-
-    rank 1 1A      key (contract, program)
-    rank 2 1B      key (contract)
-    rank 3 2A-PHX  key (migrated prior, program), prior != migrated prior
-    rank 4 2A      key (prior, program)
-    rank 5 2B-PHX  key (migrated prior),          prior != migrated prior
-    rank 6 2B      key (prior)
-    rank 7 3A      key (program, start day)
-    rank 8 3B      key (program)
-    rank 9 3C      key ()
-
-(e.g. when no candidate shares the probe's contract, a candidate reached via
-its migrated prior is "2A (PHX)" exactly when its direct prior differs.)  The
-smallest rank with any candidate on or after the probe's day is the best label,
-and within it the as-of search returns the tie-break winner.  So each probe
-needs, per rank, the first candidate on or after its day under that rank's key:
-nine keyed forward as-of searches.  They run together as one (see ``asof``)
-over five probe key shapes -- ranks that look the probe up by the same key
-share a row and keep their results in separate value slots -- and the per-key
-work is bounded by the calendar rather than by the group size.
+every pair's label is read from keys.  For a contract k, a candidate is related
+to k in at most one way, the first that holds of: its contract is k, its prior
+contract is k, its migrated prior is k.  So a candidate has at most three rows
+(k, relation), and with the probe's own contract as k the relation and "same
+program" give the label of the pair:
+
+    key (contract, program)   own 1A, prior 2A, migrated 2A (PHX)
+    key (contract)            own 1B, prior 2B, migrated 2B (PHX), if no better
+    key (program)             3A on the probe's own day, else 3B, if no better
+    key ()                    3C, if no better
+
+Under each key a probe needs, per relation, the first candidate on or after its
+day: keyed forward as-of searches, which run together as one (see ``asof``) with
+one value slot per relation, and whose work per key is bounded by the calendar
+rather than by the group size.  The least (rank, start, contract, subscription)
+found is the winner.
+
+Cascade.  Contracts are looked up first.  Candidate rows under a contract that
+no probe owns leave before the search (a semi-join on the key; the table of the
+probes' keys is broadcast only if adaptive execution finds it small), and only
+probes that found nothing go on to the keys by program and account.
+
+Keys are named by 128 bits (two differently seeded 64-bit hashes of account,
+class, shape and the rest of the key), so rows and sorts carry two longs instead
+of five texts; among 10^12 keys two share a name with probability below 1e-14.
 """
 
 from __future__ import annotations
@@ -53,7 +55,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from yoyflow.operators.asof import count_on_or_after, first_on_or_after
+from yoyflow.operators.asof import count_on_or_after, first_on_or_after, pair_totals
 
 # --- fixed values (labels of the match tiers, in the source's CASE order) -----
 LABEL_1A = "1A: same contract + program"
@@ -74,23 +76,13 @@ RANKED = sorted(CASE_ORDER)
 assert RANKED == [LABEL_1A, LABEL_1B, LABEL_2A_PHX, LABEL_2A, LABEL_2B_PHX, LABEL_2B, LABEL_3A, LABEL_3B, LABEL_3C]
 RANK_OF = {label: i + 1 for i, label in enumerate(RANKED)}
 
-# Probe key shapes.  Ranks 1, 3 and 4 all look the probe up by (own contract,
-# own program), ranks 2, 5 and 6 by its own contract: one probe row per shape
-# (5) instead of one per rank (9).  A candidate row still belongs to exactly
-# one rank; within a shape it fills the value slot of that rank.
-SHAPE_CP, SHAPE_C, SHAPE_PD, SHAPE_P, SHAPE_A = 1, 2, 3, 4, 5
-# shape -> ranks held in value slots 0, 1, 2
-SLOT_RANKS = {SHAPE_CP: (1, 3, 4), SHAPE_C: (2, 5, 6), SHAPE_PD: (7,), SHAPE_P: (8,), SHAPE_A: (9,)}
+# Key shapes, and the relations of a candidate to the key's contract (value slots).
+SHAPE_CP, SHAPE_C, SHAPE_P, SHAPE_A = 1, 2, 3, 4
+OWN, PRIOR, MIGRATED = 0, 1, 2
 SLOTS = ("_v0", "_v1", "_v2")
-
-# ``_kh`` hashes the rest of the key and leads every key list: sorts (window,
-# sort-merge join) then mostly compare one 64-bit prefix instead of strings.
-# The full key follows it, so a hash collision cannot merge two keys.
-_KEYS = ["_kh", "_shape", "_acct", "_cls", "_k1", "_k2"]
-
-
-def _with_key_hash(df: DataFrame) -> DataFrame:
-    return df.withColumn("_kh", F.xxhash64("_shape", "_acct", "_cls", "_k1", "_k2"))
+# shape -> labels of its slots; a key by program or account has one slot
+SLOT_LABELS = {SHAPE_CP: (LABEL_1A, LABEL_2A, LABEL_2A_PHX), SHAPE_C: (LABEL_1B, LABEL_2B, LABEL_2B_PHX)}
+_KEYS = ["_h1", "_h2", "_shape"]
 
 
 def _rank_label(rank: Column) -> Column:
@@ -100,88 +92,102 @@ def _rank_label(rank: Column) -> Column:
     return expr
 
 
-def _keyed_rows(entries: list[tuple[int, int, Column, Column, Column]]) -> Column:
-    """Array of (shape, slot, k1, k2) structs, NULL entries removed (NULL keys never match)."""
-    arr = F.array(
-        *[
-            F.when(ok, F.struct(F.lit(shape).alias("_shape"), F.lit(slot).alias("_slot"), k1.alias("_k1"), k2.alias("_k2")))
-            for shape, slot, k1, k2, ok in entries
-        ]
+def _named(shape: int, ok: Column, *parts: Column, slot: int = 0) -> Column:
+    """(shape, slot, name of the key), or NULL unless ``ok`` and no part is NULL."""
+    for p in parts:
+        ok = ok & p.isNotNull()
+    key = [F.lit(shape), F.col("_acct"), F.col("_cls"), *parts]
+    return F.when(
+        ok,
+        F.struct(
+            F.lit(shape).cast("tinyint").alias("_shape"),
+            F.lit(slot).cast("tinyint").alias("_slot"),
+            F.xxhash64(*key).alias("_h1"),
+            F.xxhash64(F.lit("second"), *key).alias("_h2"),
+        ),
     )
-    return F.filter(arr, lambda x: x.isNotNull())
 
 
-def candidate_tier_rows(candidates: DataFrame) -> DataFrame:
-    """Explode each candidate into the (shape, key) rows it can be found under,
-    its value in the slot of its rank.
+def _exploded(df: DataFrame, entries: list[Column], *keep: str) -> DataFrame:
+    rows = F.filter(F.array(*entries), lambda x: x.isNotNull())
+    return df.select(*keep, F.explode(rows).alias("_t")).select(*keep, "_t._shape", "_t._slot", "_t._h1", "_t._h2")
 
-    candidates: account, class, contract, prior, prior_phx, program, start, sub.
-    """
-    c = F.col
-    empty = F.lit("")
-    not_same_prior = ~F.coalesce(c("prior") == c("prior_phx"), F.lit(False))
-    has_prog = c("program").isNotNull()
-    entries = [
-        (SHAPE_CP, 0, c("contract"), c("program"), c("contract").isNotNull() & has_prog),  # rank 1
-        (SHAPE_CP, 1, c("prior_phx"), c("program"), c("prior_phx").isNotNull() & has_prog & not_same_prior),  # rank 3
-        (SHAPE_CP, 2, c("prior"), c("program"), c("prior").isNotNull() & has_prog),  # rank 4
-        (SHAPE_C, 0, c("contract"), empty, c("contract").isNotNull()),  # rank 2
-        (SHAPE_C, 1, c("prior_phx"), empty, c("prior_phx").isNotNull() & not_same_prior),  # rank 5
-        (SHAPE_C, 2, c("prior"), empty, c("prior").isNotNull()),  # rank 6
-        (SHAPE_PD, 0, c("program"), c("start").cast("string"), has_prog),  # rank 7
-        (SHAPE_P, 0, c("program"), empty, has_prog),  # rank 8
-        (SHAPE_A, 0, empty, empty, F.lit(True)),  # rank 9
-    ]
+
+def _probe_base(probes: DataFrame) -> DataFrame:
+    kept = probes.where(F.col("account").isNotNull() & F.col("class").isNotNull() & F.col("day").isNotNull())
+    return kept.select(
+        "probe_id", F.col("account").alias("_acct"), F.col("class").alias("_cls"), F.col("day").alias("_day"), "own_contract", "own_program"
+    )
+
+
+def _candidate_base(candidates: DataFrame) -> DataFrame:
+    kept = candidates.where(F.col("account").isNotNull() & F.col("class").isNotNull() & F.col("start").isNotNull())
     value = F.struct(
-        c("start").alias("start"),
-        c("contract").isNull().alias("c_null"),
-        c("contract").alias("contract"),
-        c("sub").isNull().alias("s_null"),
-        c("sub").alias("sub"),
+        F.col("contract").isNull().alias("c_null"),
+        F.col("contract"),
+        F.col("sub").isNull().alias("s_null"),
+        F.col("sub"),
     )
-    rows = (
-        candidates.where(c("account").isNotNull() & c("class").isNotNull() & c("start").isNotNull())
-        .select(
-            c("account").alias("_acct"),
-            c("class").alias("_cls"),
-            c("start").alias("_day"),
-            value.alias("_val"),
-            F.explode(_keyed_rows(entries)).alias("_t"),
-        )
-        .select("_t._shape", "_t._slot", "_acct", "_cls", "_t._k1", "_t._k2", "_day", "_val")
+    return kept.select(
+        F.col("account").alias("_acct"),
+        F.col("class").alias("_cls"),
+        F.col("start").alias("_day"),
+        "contract",
+        "prior",
+        "prior_phx",
+        "program",
+        value.alias("_val"),
     )
-    slots = [F.when(F.col("_slot") == i, F.col("_val")).alias(name) for i, name in enumerate(SLOTS)]
-    return rows.select("_shape", "_acct", "_cls", "_k1", "_k2", "_day", *slots).transform(_with_key_hash)
 
 
-def probe_tier_rows(probes: DataFrame) -> DataFrame:
-    """Explode each probe into its five key shapes.
+def _probe_contract_keys() -> list[Column]:
+    c, yes = F.col, F.lit(True)
+    return [_named(SHAPE_CP, yes, c("own_contract"), c("own_program")), _named(SHAPE_C, yes, c("own_contract"))]
 
-    probes: probe_id, account, class, own_contract, own_program, day.
-    """
+
+def _candidate_contract_keys() -> list[Column]:
+    """A candidate's keys by contract: one relation per distinct contract value."""
     c = F.col
-    empty = F.lit("")
-    has_c = c("own_contract").isNotNull()
-    has_p = c("own_program").isNotNull()
-    entries = [
-        (SHAPE_CP, 0, c("own_contract"), c("own_program"), has_c & has_p),
-        (SHAPE_C, 0, c("own_contract"), empty, has_c),
-        (SHAPE_PD, 0, c("own_program"), c("day").cast("string"), has_p),
-        (SHAPE_P, 0, c("own_program"), empty, has_p),
-        (SHAPE_A, 0, empty, empty, F.lit(True)),
+
+    def differ(a: str, b: str) -> Column:
+        return ~F.coalesce(c(a) == c(b), F.lit(False))
+
+    relations = [
+        (OWN, "contract", F.lit(True)),
+        (PRIOR, "prior", differ("prior", "contract")),
+        (MIGRATED, "prior_phx", differ("prior_phx", "contract") & differ("prior_phx", "prior")),
     ]
-    return (
-        probes.where(c("account").isNotNull() & c("class").isNotNull() & c("day").isNotNull())
-        .select(
-            c("probe_id"),
-            c("account").alias("_acct"),
-            c("class").alias("_cls"),
-            c("day").alias("_day"),
-            F.explode(_keyed_rows(entries)).alias("_t"),
-        )
-        .select("probe_id", "_t._shape", "_acct", "_cls", "_t._k1", "_t._k2", "_day")
-        .transform(_with_key_hash)
-    )
+    out = []
+    for slot, field, ok in relations:
+        out += [_named(SHAPE_CP, ok, c(field), c("program"), slot=slot), _named(SHAPE_C, ok, c(field), slot=slot)]
+    return out
+
+
+def _account_keys(program: str) -> list[Column]:
+    return [_named(SHAPE_P, F.lit(True), F.col(program)), _named(SHAPE_A, F.lit(True))]
+
+
+def _wanted(rows: DataFrame, probe_rows: DataFrame) -> DataFrame:
+    """Candidate rows under a key that some probe has."""
+    return rows.join(probe_rows.select(*_KEYS).distinct(), _KEYS, "left_semi")
+
+
+def _first_hits(probe_rows: DataFrame, candidate_rows: DataFrame, slots: int) -> DataFrame:
+    """``probe_id`` and the best (rank, start, contract, subscription) over its rows, NULL ids last."""
+    names = list(SLOTS[:slots])
+    values = [F.when(F.col("_slot") == i, F.col("_val")).alias(n) for i, n in enumerate(names)]
+    found = first_on_or_after(probe_rows, candidate_rows.select(*_KEYS, "_day", *values), _KEYS, "_day", names, found="_f", with_day=True)
+    hits = probe_rows.select("probe_id", *_KEYS, "_day").join(found, [*_KEYS, "_day"], "inner")
+
+    def ranked(slot: int) -> Column:
+        f = F.col(f"_f_{names[slot]}")
+        start = F.col(f"_f_{names[slot]}_day")
+        fields = [f[n].alias(n) for n in ("c_null", "contract", "s_null", "sub")]
+        return F.when(f.isNotNull(), F.struct(_slot_rank(slot, start).alias("rank"), start.alias("start"), *fields))
+
+    best = F.least(*map(ranked, range(slots))) if slots > 1 else ranked(0)
+    rows = hits.select("probe_id", best.alias("_best")).where(F.col("_best").isNotNull())
+    return rows.groupBy("probe_id").agg(F.min("_best").alias("_best"))
 
 
 def _possible(candidates: DataFrame, probes: DataFrame, earliest: Column | None) -> DataFrame:
@@ -198,13 +204,14 @@ def _possible(candidates: DataFrame, probes: DataFrame, earliest: Column | None)
     return candidates.where(F.col("start") >= earliest)
 
 
-def _slot_rank(slot: int) -> Column:
-    """Rank held by value slot ``slot`` of the row's shape (NULL if none)."""
-    expr = None
-    for shape, ranks in SLOT_RANKS.items():
-        if slot < len(ranks):
-            cond = F.col("_shape") == shape
-            expr = F.when(cond, F.lit(ranks[slot])) if expr is None else expr.when(cond, F.lit(ranks[slot]))
+def _slot_rank(slot: int, start: Column) -> Column:
+    """Rank of a candidate found in value slot ``slot`` of the row's shape."""
+    shape = F.col("_shape")
+    expr = F.when(shape == SHAPE_P, F.when(start == F.col("_day"), RANK_OF[LABEL_3A]).otherwise(RANK_OF[LABEL_3B])).when(
+        shape == SHAPE_A, RANK_OF[LABEL_3C]
+    )
+    for of, labels in SLOT_LABELS.items():
+        expr = expr.when(shape == of, RANK_OF[labels[slot]])
     return expr
 
 
@@ -218,32 +225,16 @@ def best_match(probes: DataFrame, candidates: DataFrame, earliest: Column | None
     per probe id that has at least one candidate.  Several probe rows may share
     an id (the best over all of them is returned).
     """
-    cand = candidate_tier_rows(_possible(candidates, probes, earliest))
-    prob = probe_tier_rows(probes)
-    found = first_on_or_after(prob, cand, _KEYS, "_day", list(SLOTS), found="_f")
-    # Per probe row and shape: the first candidate on or after the probe's day
-    # in each slot.  The best over all rows of a probe id is the smallest
-    # (rank, start, contract, subscription), NULL ids last.
-    hits = prob.join(found, _KEYS + ["_day"], "inner")
-
-    def ranked(slot: int) -> Column:
-        f = F.col(f"_f_{SLOTS[slot]}")
-        return F.when(
-            f.isNotNull(),
-            F.struct(
-                _slot_rank(slot).alias("rank"),
-                f["start"].alias("start"),
-                f["c_null"].alias("c_null"),
-                f["contract"].alias("contract"),
-                f["s_null"].alias("s_null"),
-                f["sub"].alias("sub"),
-            ),
-        )
-
-    best_row = F.least(*[ranked(i) for i in range(len(SLOTS))])
-    best = hits.select("probe_id", best_row.alias("_best")).where(F.col("_best").isNotNull())
-    best = best.groupBy("probe_id").agg(F.min("_best").alias("_best"))
-    return best.select(
+    cand = _candidate_base(_possible(candidates, probes, earliest))
+    prob = _probe_base(probes)
+    by_contract = _exploded(prob, _probe_contract_keys(), "probe_id", "_day")
+    linked = _wanted(_exploded(cand, _candidate_contract_keys(), "_day", "_val"), by_contract)
+    first = _first_hits(by_contract, linked, len(SLOTS))
+    # a probe id that found a contract has its winner: every label by contract outranks the rest
+    left = prob.join(first.select(F.col("probe_id").alias("_id")), F.col("probe_id").eqNullSafe(F.col("_id")), "left_anti")
+    rest = _exploded(left, _account_keys("own_program"), "probe_id", "_day")
+    others = _first_hits(rest, _exploded(cand, _account_keys("program"), "_day", "_val"), 1)
+    return first.unionByName(others).select(
         "probe_id",
         F.col("_best.contract").alias("contract"),
         F.col("_best.sub").alias("sub"),
@@ -278,100 +269,10 @@ def candidate_counts(probes: DataFrame, candidates: DataFrame, earliest: Column
 
 # --- pairs per tier, without listing pairs -------------------------------------------
 #
-# For a probe, let C, P, H be "the candidate's contract / prior / migrated prior
-# equals the probe's own contract", G "same program" and D "same start day".
-# Every label is a Boolean combination of these (see the CASE order above):
-#   1A  C & G          1B  C & ~G          2A  ~C & P & G     2A(PHX) ~C & ~P & H & G
-#   2B  ~C & P & ~G    2B(PHX) ~C & ~P & H & ~G
-#   3A  ~C & ~P & ~H & G & D    3B  ~C & ~P & ~H & G & ~D    3C  ~C & ~P & ~H & ~G
-# so its pair count is an inclusion-exclusion sum of f(M, g, d): the number of
-# candidates on or after the probe's day whose fields in M (a subset of
-# {contract, prior, migrated prior}) all equal the probe's contract, with the
-# same program if g and the same day if d.  Each f is a keyed as-of count
-# (``count_on_or_after``): M's fields equal to each other is a candidate-local
-# filter, the common value is the key.  24 terms (8 subsets x 3), all counted in
-# one pass, summed over probes per term, then combined per label.
-
-_FIELDS = ("contract", "prior", "prior_phx")  # C, P, H
-
-
-def _subsets():
-    for bits in range(8):
-        yield tuple(f for i, f in enumerate(_FIELDS) if bits >> i & 1)
-
-
-_TERMS = [(m, g, d) for m in _subsets() for g, d in ((0, 0), (1, 0), (1, 1))]
-_TERM_ID = {t: i for i, t in enumerate(_TERMS)}
-
-
-def _signed(g: int, d: int, fixed=(), excluded=()):
-    """Inclusion-exclusion: fields in ``fixed`` must hold, in ``excluded`` must not."""
-    out: dict[int, int] = {}
-    free = [f for f in excluded]
-    for bits in range(1 << len(free)):
-        extra = tuple(f for i, f in enumerate(free) if bits >> i & 1)
-        m = tuple(f for f in _FIELDS if f in fixed or f in extra)
-        out[_TERM_ID[(m, g, d)]] = out.get(_TERM_ID[(m, g, d)], 0) + (-1) ** len(extra)
-    return out
-
-
-def _minus(a: dict[int, int], b: dict[int, int]) -> dict[int, int]:
-    out = dict(a)
-    for k, v in b.items():
-        out[k] = out.get(k, 0) - v
-    return out
-
-
-def label_coefficients() -> dict[str, dict[int, int]]:
-    """Label -> {term id: coefficient} (derived from the rules above, not tabulated)."""
-    C, P, H = _FIELDS
-    a_phx = _signed(1, 0, fixed=(H,), excluded=(C, P))
-    none_g = _signed(1, 0, excluded=(C, P, H))
-    none_gd = _signed(1, 1, excluded=(C, P, H))
-    return {
-        LABEL_1A: _signed(1, 0, fixed=(C,)),
-        LABEL_1B: _minus(_signed(0, 0, fixed=(C,)), _signed(1, 0, fixed=(C,))),
-        LABEL_2A: _signed(1, 0, fixed=(P,), excluded=(C,)),
-        LABEL_2A_PHX: a_phx,
-        LABEL_2B: _minus(_signed(0, 0, fixed=(P,), excluded=(C,)), _signed(1, 0, fixed=(P,), excluded=(C,))),
-        LABEL_2B_PHX: _minus(_signed(0, 0, fixed=(H,), excluded=(C, P)), a_phx),
-        LABEL_3A: none_gd,
-        LABEL_3B: _minus(none_g, none_gd),
-        LABEL_3C: _minus(_signed(0, 0, excluded=(C, P, H)), none_g),
-    }
-
-
-def _term_rows(df: DataFrame, probe: bool) -> DataFrame:
-    c = F.col
-    empty = F.lit("")
-    day = c("day") if probe else c("start")
-    own_c = c("own_contract") if probe else None
-    prog = c("own_program") if probe else c("program")
-    entries = []
-    for (m, g, d), tid in _TERM_ID.items():
-        ok = F.lit(True)
-        if m:
-            if probe:
-                k1 = own_c
-                ok = ok & own_c.isNotNull()
-            else:
-                k1 = c(m[0])
-                for f in m:
-                    ok = ok & c(f).isNotNull() & (c(f) == c(m[0]))
-        else:
-            k1 = empty
-        k2 = prog if g else empty
-        if g:
-            ok = ok & prog.isNotNull()
-        k3 = day.cast("string") if d else empty
-        entries.append(F.when(ok, F.struct(F.lit(tid).alias("_term"), k1.alias("_k1"), k2.alias("_k2"), k3.alias("_k3"))))
-    rows = F.filter(F.array(*entries), lambda x: x.isNotNull())
-    base = df.where(c("account").isNotNull() & c("class").isNotNull() & day.isNotNull())
-    return (
-        base.select(c("account").alias("_acct"), c("class").alias("_cls"), day.alias("_day"), F.explode(rows).alias("_t"))
-        .select("_t._term", "_acct", "_cls", "_t._k1", "_t._k2", "_t._k3", "_day")
-        .withColumn("_kh", F.xxhash64("_term", "_acct", "_cls", "_k1", "_k2", "_k3"))
-    )
+# The rows of ``best_match`` count pairs as well: a pair of equal contract key has
+# one relation, so pairs under (contract, program) are 1A / 2A / 2A (PHX); those
+# under (contract) less these are 1B / 2B / 2B (PHX); pairs of the same program, or
+# of the account, that have no relation are what is left of their totals.
 
 
 def tier_pair_counts(probes: DataFrame, candidates: DataFrame, earliest: Column | None = None) -> DataFrame:
@@ -380,17 +281,28 @@ def tier_pair_counts(probes: DataFrame, candidates: DataFrame, earliest: Column
 
     Returns (MatchCat, n_pairs) for labels with at least one pair.
     """
-    keys = ["_kh", "_term", "_acct", "_cls", "_k1", "_k2", "_k3"]
-    cand = _term_rows(_possible(candidates, probes, earliest), probe=False)
-    prob = _term_rows(probes, probe=True)
-    counts = count_on_or_after(prob, cand, keys, "_day", found="_n")
-    totals = prob.join(counts, keys + ["_day"], "inner").groupBy("_term").agg(F.sum("_n").alias("_total"))
-    coef_rows = [(label, tid, k) for label, co in label_coefficients().items() for tid, k in co.items() if k]
-    coefs = probes.sparkSession.createDataFrame(coef_rows, "MatchCat string, _term int, _coef int")
-    return (
-        F.broadcast(coefs)  # at most 9 x 24 literal rows
-        .join(totals, "_term")
-        .groupBy("MatchCat")
-        .agg(F.sum(F.col("_coef") * F.col("_total")).alias("n_pairs"))
-        .where(F.col("n_pairs") > 0)
-    )
+    cand = _exploded(_candidate_base(_possible(candidates, probes, earliest)), [*_candidate_contract_keys(), *_account_keys("program")], "_day")
+    prob = _exploded(_probe_base(probes), [*_probe_contract_keys(), *_account_keys("own_program")], "_day")
+    counts = cand.select(*_KEYS, "_day", *[F.when(F.col("_slot") == i, 1).otherwise(0).alias(n) for i, n in enumerate(SLOTS)])
+    totals = pair_totals(prob, counts, _KEYS, "_day", SLOTS, ["_shape"])
+
+    def total(shape: int, name: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("_shape") == shape, F.col(name))), F.lit(0)).cast("bigint")
+
+    names = [(shape, f"{v}_{end}") for shape in (SHAPE_CP, SHAPE_C, SHAPE_P, SHAPE_A) for v in SLOTS for end in ("from", "at")]
+    wide = totals.agg(*[total(shape, n).alias(f"{n}{shape}") for shape, n in names])  # one row
+
+    def at(shape: int, slot: int, end: str = "from") -> Column:
+        return F.col(f"{SLOTS[slot]}_{end}{shape}")
+
+    pairs: dict[str, Column] = {}
+    for slot, (same, other) in enumerate(zip(SLOT_LABELS[SHAPE_CP], SLOT_LABELS[SHAPE_C])):
+        pairs[same] = at(SHAPE_CP, slot)
+        pairs[other] = at(SHAPE_C, slot) - at(SHAPE_CP, slot)
+    related = sum((at(SHAPE_C, s) for s in range(3)), F.lit(0))
+    with_program = at(SHAPE_P, 0) - sum((at(SHAPE_CP, s) for s in range(3)), F.lit(0))
+    pairs[LABEL_3A] = at(SHAPE_P, 0, "at") - sum((at(SHAPE_CP, s, "at") for s in range(3)), F.lit(0))
+    pairs[LABEL_3B] = with_program - pairs[LABEL_3A]
+    pairs[LABEL_3C] = at(SHAPE_A, 0) - related - with_program
+    rows = F.array(*[F.struct(F.lit(label).alias("MatchCat"), n.cast("bigint").alias("n_pairs")) for label, n in pairs.items()])
+    return wide.select(F.explode(rows).alias("_r")).select("_r.MatchCat", "_r.n_pairs").where(F.col("n_pairs") > 0)
