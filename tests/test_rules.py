@@ -1,10 +1,11 @@
 """Branch tests for the rule tables: one row per branch plus NULL rows."""
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from yoyflow.operators.allocate import allocation_rule
+from yoyflow.operators.allocate import allocation_conservation, allocation_rule, cut_remainder, exact_share
 from yoyflow.params import RunParams
 from yoyflow.plans import revenue_extract as rx
 from yoyflow.plans.renewal_pool import notification_date
@@ -107,6 +108,33 @@ def test_allocation_rule_branches(spark):
     assert got == [0.0, 10.0, None, 20.0, 8.0, 5.0, 0.0, 40.0, 20.0, None, 0.0, 0.0, 40.0, 40.0, 0.0, 40.0, 0.0]
 
 
+def test_shares_of_money_are_exact(spark):
+    cases = [("20.0000", 3), ("-20.0000", 3), ("0.0001", 7), ("123456789012345.6789", 9_999_991), ("5.0000", 1), ("5.0000", 0), ("5.0000", None), ("0.0000", 4), (None, 2)]
+    df = spark.createDataFrame([(i, None if v is None else Decimal(v), n) for i, (v, n) in enumerate(cases)], "i int, v decimal(29,4), n long")
+    rows = df.select("i", exact_share(F.col("v"), F.col("n")).alias("share"), cut_remainder(F.col("v"), F.col("n")).alias("rest")).orderBy("i").collect()
+    for (v, n), row in zip(cases, rows):
+        if n == 0:
+            assert (row.share, row.rest) == (0, 0)
+        elif n is None or v is None:
+            assert row.share is None
+        else:
+            millionths = int(Decimal(v) * 10**6)
+            cut = abs(millionths) // n * (1 if millionths >= 0 else -1)
+            assert row.share == Decimal(cut) / 10**6
+            assert row.share * n + row.rest == Decimal(v)  # nothing is lost
+
+
+def test_split_values_add_up_to_the_last_digit(spark):
+    pool = spark.createDataFrame([("u", Decimal("20.0000")), ("v", Decimal("-0.0100")), ("w", Decimal("7.0000")), (None, Decimal("1.0000"))], "k string, CV_Prior decimal(29,4)")
+    lines = spark.createDataFrame([("u", 3)] * 3 + [("v", 7)] * 7 + [("w", 2), ("x", 0), (None, 3), (None, 3), (None, 3)], "k string, CV_Prior_Parts long")
+    lines = lines.join(pool.withColumnRenamed("CV_Prior", "cv"), lines["k"].eqNullSafe(pool["k"]), "left").select(lines["k"], "CV_Prior_Parts", F.coalesce("cv", F.lit(0)).alias("cv"))
+    parts = F.col("CV_Prior_Parts")
+    lines = lines.select("k", parts, exact_share(F.col("cv"), parts).alias("CV_Prior"), cut_remainder(F.col("cv"), parts).alias("CV_Prior_Remainder"))
+    got = {r.k: r.residual for r in allocation_conservation(pool, lines, ["k"]).collect()}
+    assert got == {"u": 0, "v": 0, "w": Decimal("3.5"), "x": 0, None: 0}
+    assert lines.where("k = 'u'").agg(F.sum("CV_Prior")).first()[0] == Decimal("19.999998")
+
+
 def test_notification_date_parse(spark):
     df = spark.createDataFrame([("//",), (None,), ("n/a",), ("2024-01-05",)], "Autorenewal_Notification_Date__c string")
     got = [r[0] for r in df.select(notification_date()).collect()]

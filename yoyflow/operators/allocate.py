@@ -16,17 +16,25 @@ the line(s) that carry the unit forward, by a first-match rule table:
 Per-group counts and first dates come from one conditional aggregation over
 the control-year lines (``alignment_stats``), the prior-year value from one
 aggregation over prior-year contracted lines (``prior_contracted_pool``); both
-are joined to the lines on keys decoded from the job number.  Quotients are
-computed in DOUBLE; a zero divisor gives NULL (``try_divide``), where the
-source would abort.
+are joined to the lines on keys decoded from the job number.
+
+Money is exact.  The rule table names the number of parts a line's share is of
+(0: none, 1: all); the share is the value divided by it, cut to six decimals as
+the source's DECIMAL(38,4) / INT is, and what the cut leaves over from all parts
+stands beside it (``CV_Prior_Remainder``), so that a unit split among all its
+lines adds up to the last digit (``allocation_conservation``).  A zero divisor
+gives NULL, where the source would abort.
 
 Value is not always conserved (several lines tied on the first date each get
 the full value; a unit with only up-sell lines gets nothing; key fan-out
-multiplies) -- ``audit.conservation`` reports the residual per unit.
+multiplies) -- ``allocation_conservation`` reports the residual per unit.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +48,9 @@ from yoyflow.params import RunParams
 DISCOUNT_TYPES = ("Discount", "Discount Modification", "Cross-Sell Discount")
 # Note: 'Pending%' inside a list is a literal, not a pattern (as in the source).
 NOT_DISCOUNT_BUCKET = ("Contracted", "Pending%")
+# type of a share of money: six decimals are kept, the rest is cut
+SHARE = "decimal(38,6)"
+SMALLEST = Decimal("0.000001")
 # -------------------------------------------------------------------------------------
 
 STAT_KEYS = ["FiscalYear", "AccountID", "CampaignCode", "Audience", "Model_ProductGroup", "JobNumber"]
@@ -95,15 +106,35 @@ def prior_contracted_pool(final: DataFrame, params: RunParams) -> DataFrame:
     ).withColumn("JobNumber_ClientCode", decode_client("JobNumber", params.code_width, params.year_width))
 
 
+def cut_remainder(value: Column, parts: Column) -> Column:
+    """What is left of ``value`` when each of ``parts`` gets a quotient cut to six decimals."""
+    return F.when(parts == 0, F.lit(0).cast(SHARE)).otherwise(
+        (value.cast(SHARE) % (F.nullif(parts, F.lit(0)).cast("decimal(20,0)") * F.lit(SMALLEST))).cast(SHARE)
+    )
+
+
+def exact_share(value: Column, parts: Column) -> Column:
+    """``value`` divided among ``parts``, cut (not rounded) to six decimals; no parts get 0."""
+    # without its remainder the value divides evenly, so the quotient is not rounded
+    even = value.cast(SHARE) - cut_remainder(value, parts)
+    return F.when(parts == 0, F.lit(0).cast(SHARE)).otherwise(F.try_divide(even, F.nullif(parts, F.lit(0)).cast("decimal(20,0)")).cast(SHARE))
+
+
 def allocation_rule(cv: Column) -> Column:
-    """The waterfall as one rule table over a line joined to its stats."""
+    """A line's share of the value ``cv`` by the waterfall."""
+    return exact_share(cv, allocation_parts())
+
+
+def allocation_parts() -> Column:
+    """The waterfall as one rule table over a line joined to its stats: the number
+    of parts the line's share is of, 1 for the whole value, 0 for nothing."""
     c = F.col
     rat, st = c("RevAccrualType"), c("ProgramStatus")
-    zero = F.lit(0.0)
+    zero, whole = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
     sd = c("SignatureDate")
 
     def share(n: str) -> Column:
-        return F.try_divide(cv, F.nullif(c(n), F.lit(0)))
+        return F.nullif(c(n), F.lit(0)).cast("bigint")
 
     discount_campaign = like_ci("Campaign", "%Discount%")
     discount_lines = classify(
@@ -125,7 +156,7 @@ def allocation_rule(cv: Column) -> Column:
     )
     re_engagement = classify(
         [
-            Rule(c("Re_engagement_Count") == 1, cv),
+            Rule(c("Re_engagement_Count") == 1, whole),
             Rule(c("First_Re_engagement").isNull(), share("Re_engagement_Count")),
             Rule(sd == c("First_Re_engagement"), share("Contracted_Re_engage_Count")),
         ],
@@ -134,7 +165,7 @@ def allocation_rule(cv: Column) -> Column:
 
     def sole_or_first(prior_counts: Column, count: str, first: str) -> Column:
         return classify(
-            [Rule(prior_counts > 0, zero), Rule(c(count) == 1, cv), Rule(sd == c(first), cv)],
+            [Rule(prior_counts > 0, zero), Rule(c(count) == 1, whole), Rule(sd == c(first), whole)],
             zero,
         )
 
@@ -168,7 +199,8 @@ def allocation_rule(cv: Column) -> Column:
 
 
 def allocate_prior_value(final: DataFrame, params: RunParams) -> DataFrame:
-    """Control-year lines with their share of the prior-year value (``CV_Prior``)."""
+    """Control-year lines with their share of the prior-year value (``CV_Prior``), the
+    number of parts it is of and the remainder of that division."""
     cw, yw = params.code_width, params.year_width
     lines = final.where(F.col("FiscalYear") == params.control_year)
     stats = alignment_stats(final, params)
@@ -209,10 +241,38 @@ def allocate_prior_value(final: DataFrame, params: RunParams) -> DataFrame:
         & eq_ci_cols(decode_client(j["JobNumber"], cw, yw), p["_p_job_client"]),
         "left",
     )
-    cv = F.coalesce(F.col("_p_cv"), F.lit(0)).cast("double")
+    cv, parts = F.coalesce(F.col("_p_cv"), F.lit(0)).cast(SHARE), F.col("CV_Prior_Parts")
+    j = j.withColumn("CV_Prior_Parts", allocation_parts())
     return j.select(
         *[F.col(c) for c in final.columns],
         *STAT_COLUMNS,
-        allocation_rule(cv).alias("CV_Prior"),
+        exact_share(cv, parts).alias("CV_Prior"),
+        "CV_Prior_Parts",
+        cut_remainder(cv, parts).alias("CV_Prior_Remainder"),
         F.lit(0).cast("decimal(19,4)").alias("ContactQuant_Prior"),
     )
+
+
+def allocation_conservation(pool: DataFrame, allocated: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per unit: value in the pool, value allocated, what the cut divisions left over,
+    and the residual, all exact.
+
+    Each of n lines that share a value states the same remainder, so the lines of
+    equal n add up to n times it.  Where a unit's value went to all its parts, once
+    each, the residual is 0 to the last digit.
+    """
+    parts = F.col("CV_Prior_Parts")
+    # sums of sums, so that hot units are combined in the map tasks; units with a NULL key meet, too
+    by_parts = allocated.groupBy(*keys, "CV_Prior_Parts").agg(F.sum("CV_Prior").alias("_given"), F.sum("CV_Prior_Remainder").alias("_left"))
+    none = F.lit(0).cast(SHARE)
+    given = by_parts.select(
+        *keys,
+        none.alias("pool_value"),
+        F.coalesce("_given", none).alias("allocated_value"),
+        F.when(parts > 0, F.try_divide(F.col("_left"), parts.cast("decimal(20,0)"))).otherwise(none).cast(SHARE).alias("remainder"),
+    )
+    held = pool.select(*keys, F.col("CV_Prior").cast(SHARE).alias("pool_value"), none.alias("allocated_value"), none.alias("remainder"))
+    values = ("pool_value", "allocated_value", "remainder")
+    unit = held.unionByName(given).groupBy(*keys).agg(*[F.coalesce(F.sum(v), none).cast(SHARE).alias(v) for v in values])
+    residual = F.col("pool_value") - F.col("allocated_value") - F.col("remainder")
+    return unit.withColumn("residual", residual.cast(SHARE))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from yoyflow.functions.keys import decode_client, decode_code, encode_key, key_length, year_suffix
 from yoyflow.functions.text import concat_null, eq_ci, like_ci, not_isin_ci
-from yoyflow.operators.allocate import alignment_stats, prior_contracted_pool
+from yoyflow.operators.allocate import alignment_stats, allocation_conservation, prior_contracted_pool
 from yoyflow.operators.collated import group
 from yoyflow.operators.audit import conservation, fanout_report
 from yoyflow.operators.rollforward import POOL_GROUP, discount_counts
@@ -30,7 +30,7 @@ _TS = {
 }
 _MONEY = {
     "ProgramCost", "ContactQuantity", "Extra1Cost", "Extra2Cost", "CV_Prior", "ContactQuant_Prior", "CV_Current",
-    "ContactQuant_Current", "Extra1Cost_Current", "Extra2Cost_Current", "pool_value", "allocated_value", "residual",
+    "ContactQuant_Current", "Extra1Cost_Current", "Extra2Cost_Current", "pool_value", "allocated_value", "remainder", "residual",
     "sum_cv_current", "sum_cv_prior",
 }
 _INT = {
@@ -295,21 +295,23 @@ FROM (SELECT {', '.join(f'min({k}) AS {k}' for k in ox.LINE_KEYS)}, sum(ProgramC
                  "RevAccrualType", "ProgramStatus", "SignatureDate", "CV_Prior", "ContactQuant_Prior"], "o_contracted")
 
     unit = ["AccountID", "Audience", "Model_ProductGroup", "ClientCode", "CampaignCode"]
-    audit_cols = [*unit, "pool_value", "allocated_value", "residual"]
+    audit_cols = [*unit, "pool_value", "allocated_value", "remainder", "residual"]
 
     def q_audit(spark, sf_dir):
         st = _stages(spark, sf_dir, params)
         pool = prior_contracted_pool(st.final, params)
-        return present(conservation(pool, st.contracted, unit, "CV_Prior", "CV_Prior").select(*audit_cols))
+        return present(allocation_conservation(pool, st.contracted, unit).select(*audit_cols))
 
     u = ", ".join(unit)
     out.append((
         "allocation_audit", q_audit,
         _sql(params, "o_contracted", f"""SELECT {', '.join(f'coalesce(p.{c}, a.{c}) AS {c}' for c in unit)},
        coalesce(p.pool_value, 0) AS pool_value, coalesce(a.allocated_value, 0) AS allocated_value,
-       coalesce(p.pool_value, 0) - coalesce(a.allocated_value, 0) AS residual
+       coalesce(a.remainder, 0) AS remainder,
+       coalesce(p.pool_value, 0) - coalesce(a.allocated_value, 0) - coalesce(a.remainder, 0) AS residual
 FROM (SELECT {u}, sum(CV_Prior) AS pool_value FROM o_prior GROUP BY {u}) p
-FULL JOIN (SELECT {u}, sum(CV_Prior) AS allocated_value FROM o_contracted GROUP BY {u}) a
+FULL JOIN (SELECT {u}, sum(CV_Prior) AS allocated_value, sum(CASE WHEN parts > 0 THEN left_over / parts END) AS remainder
+           FROM o_contracted GROUP BY {u}) a
   ON {' AND '.join(f'p.{c} IS NOT DISTINCT FROM a.{c}' for c in unit)}""", audit_cols),
     ))
 

@@ -40,7 +40,7 @@ from yoyflow.functions.text import (
     not_isin_ci,
     spelled,
 )
-from yoyflow.operators.allocate import allocate_prior_value, alignment_stats, prior_contracted_pool
+from yoyflow.operators.allocate import SHARE, allocate_prior_value, alignment_stats, prior_contracted_pool
 from yoyflow.operators.collated import group
 from yoyflow.operators.groups import group_flag
 from yoyflow.operators.joins import hashed_join
@@ -489,7 +489,7 @@ def rollforward_branch(pool: DataFrame, params: RunParams) -> DataFrame:
         F.lit("Decision").alias("Current_Renewal_Type"),
         idx.alias("Current_Tenure_Index"),
         tenure_tag(idx, first=1).alias("Current_Tenure"),
-        F.col("CV_Prior").cast("double").alias("CV_Prior"),
+        F.col("CV_Prior").cast(SHARE).alias("CV_Prior"),
         "ContactQuant_Prior",
         classify(
             [
