@@ -155,14 +155,34 @@ def test_scores_against_plain_sums(spark, messy, monkeypatch):
     count = Counter(w for r, t in zip(rows, tokens, strict=True) if r.train for w in [*t, None])
     n, v = sum(count.values()), len(count)
     counts = lattice_lm.word_counts(docs.select("text", "train"))
-    model = lattice_lm.fit_pieces(counts, PieceModel.load(PIECES))
+    model, end = lattice_lm.fit_pieces(counts, PieceModel.load(PIECES), ends=count[None])
+    weights = np.exp(model.scores)
+    assert abs(weights.sum() + math.exp(end) - 1) < 1e-9  # pieces and the end are one vocabulary
+    piece = {model.text[i]: weights[i] for i in model.ids.tolist()}
+
+    def forward(word: bytes) -> float:
+        """All segmentations by a plain recursion over places; a character that is no piece stands for its bytes."""
+        text = " " + word.decode("utf-8", "replace").replace("\u2581", " ")
+        total = [1.0] + [0.0] * len(text)
+        for at in range(len(text)):
+            for to in range(at + 1, len(text) + 1):
+                own = text[at:to].encode()
+                if own in piece:
+                    total[to] += total[at] * piece[own]
+                elif to == at + 1:
+                    total[to] += total[at] * math.prod(weights[model.byte_ids[b]] for b in own)
+        return math.log10(total[-1]) if total[-1] > 1e-280 else math.nan
+
     spelled = {w: marginals(model, [w.decode()])[0] / math.log(10) for t in tokens for w in t}
-    spelled[None] = float(model.scores[model.byte_ids].min()) / math.log(10)
+    short = [w for w in spelled if len(w) <= 40]
+    plain = {w: forward(w) for w in short}
+    assert len(short) > 20 and all(abs(spelled[w] - x) < 1e-6 for w, x in plain.items() if x == x)
+    spelled[None] = end / math.log(10)
     want = Counter()
     for r, t in zip(rows, tokens, strict=True):
         all_tokens = [*t, None]
         base = sum(math.log10((count[w] + 0.5) / (n + 0.5 * (v + 1))) for w in all_tokens)
-        score = sum(math.log10(count[w] / (n + v) + v / (n + v) * 10 ** spelled[w]) if spelled[w] > -300 or count[w] else math.log10(v / (n + v)) + spelled[w] for w in all_tokens)
+        score = sum(spelled[w] for w in all_tokens)
         want[(r.doc_id, len(all_tokens), sum(count[w] > 0 for w in all_tokens), n, round(base, 4), round(score, 4))] += 1
     for hot in (250_000, 5, 0):  # all words broadcast, a few, none
         monkeypatch.setattr(lattice_lm, "HOT_WORDS", hot)

@@ -1,28 +1,32 @@
 """Operator 8: document likelihood over a subword lattice.
 
-The model writes a text word by word.  With probability 1 - b it takes a
-whole word (or the end) as often as the training documents hold it, and with
-probability b it spells one from the pieces of an existing unigram vocabulary;
-a word's probability is the sum over all its segmentations, by a log-space
-forward recursion.  A text's probability is thus the sum over every path
-through the lattice of whole words and pieces.
+A text is spelled word by word from the pieces of an existing unigram
+vocabulary, and then ends.  A word's probability is the sum over all its
+segmentations, by a log-space forward recursion over its lattice of pieces; a
+text's score is the sum of these logs and that of the end, which is one more
+symbol of the vocabulary.  No word goes round the lattice, however often the
+training documents hold it.
 
 The vocabulary's scores weight the segmentations.  Starting from them, the
 expected piece counts over all training words (forward-backward, a stated
 number of rounds) re-weight the pieces, with ``PRIOR`` pseudo-counts spread by
-the existing scores.  b = V / (N + V): new words are as likely as a training
-token was new (Witten-Bell).
+the existing scores; the end counts once a training document, and has the prior
+of the least likely byte.  ``base_score`` is the plain score by whole words.
 
 Spark's part: words are counted over all documents (combined in the map task,
 one shuffle by word) and stored; expected counts come from one pass over the
-distinct words; documents meet the counts of their words in two ways.  The
+distinct words.  A word is scored where it stands, by the broadcast pieces;
+for the plain score documents meet the counts of their words in two ways.  The
 most frequent words, at most ``HOT_WORDS``, are broadcast; every other word
 occurs at most (all tokens / ``HOT_WORDS``) times, and is joined by a shuffle.
 Frequency is taken over all documents, so a word that only unseen documents
 repeat is also among the hot ones, and no join key is hot.
 
 A null text is empty (just the end); an empty table gives no rows; without
-training documents every word is spelled.  Repeated rows stay apart.
+training documents the vocabulary's own scores and the end's prior hold.
+Repeated rows stay apart, and equal texts get equal scores.  A very long text is
+scored whole, word by word; a word of any length has a lattice of its own, whose
+memory grows with the word.
 """
 
 from __future__ import annotations
@@ -96,10 +100,13 @@ def _text_of(word: bytes) -> str:
     return word.decode("utf-8", "replace")
 
 
-def fit_pieces(counts: DataFrame, model: PieceModel, rounds: int = ROUNDS) -> PieceModel:
-    """Re-weight the pieces by their expected counts over the distinct training words."""
+def fit_pieces(counts: DataFrame, model: PieceModel, rounds: int = ROUNDS, ends: int = 0) -> tuple[PieceModel, float]:
+    """Re-weight the pieces by their expected counts over the distinct training words,
+    and the end by ``ends``: the model and the natural log of the end's probability."""
     spark = counts.sparkSession
     prior = np.exp(model.scores)
+    end = float(prior[model.byte_ids].min())
+    end_weight, all_weights = end, float(prior.sum()) + end
     for _ in range(rounds):
         now = spark.sparkContext.broadcast(model)
 
@@ -117,11 +124,12 @@ def fit_pieces(counts: DataFrame, model: PieceModel, rounds: int = ROUNDS) -> Pi
         found = np.zeros(len(model.scores))
         for row in summed.toLocalIterator():  # one row per piece of the vocabulary at most
             found[row.id] = row.n
-        weight = found + PRIOR * prior
+        weight, end_weight = found + PRIOR * prior, ends + PRIOR * end
+        all_weights = float(weight.sum()) + end_weight
         with np.errstate(divide="ignore"):
-            model = PieceModel(model.trie, model.ids, model.byte_ids, model.text, np.log(weight / weight.sum()), None, model.key + "+")
+            model = PieceModel(model.trie, model.ids, model.byte_ids, model.text, np.log(weight / all_weights), None, model.key + "+")
         now.destroy()
-    return model
+    return model, math.log(end_weight / all_weights)
 
 
 def hot_words(counts: DataFrame, most: int = HOT_WORDS) -> dict[bytes, int]:
@@ -148,7 +156,7 @@ class _Scorer:
 
     def _reset(self) -> None:
         self.size = 0
-        self.spelled, self.score, self.base = (np.zeros(1 << 16) for _ in range(3))
+        self.score, self.base = np.zeros(1 << 16), np.zeros(1 << 16)
         self.known, self.rare = (np.zeros(1 << 16, bool) for _ in range(2))
 
     def _add(self, words: list[bytes]) -> list[int]:
@@ -156,26 +164,16 @@ class _Scorer:
             self._reset()
         a, b = self.size, self.size + len(words)
         while b > len(self.score):
-            for c in ("spelled", "score", "base", "known", "rare"):
+            for c in ("score", "base", "known", "rare"):
                 setattr(self, c, np.concatenate([getattr(self, c), np.zeros_like(getattr(self, c))]))
-        spelled = np.array(marginals(self.model, [_text_of(w) for w in words])) / LOG10
         c = np.array([self.hot.get(key_of(w), -1) for w in words])
-        self.spelled[a:b], self.rare[a:b], self.known[a:b] = spelled, c < 0, c > 0
-        self.score[a:b] = mixed(np.maximum(c, 0), spelled, self.n, self.v)
+        self.rare[a:b], self.known[a:b] = c < 0, c > 0
+        self.score[a:b] = np.array(marginals(self.model, [_text_of(w) for w in words])) / LOG10
         self.base[a:b] = np.log10((np.maximum(c, 0) + 0.5) / (self.n + 0.5 * (self.v + 1)))
         self.size = b
         return list(range(a, b))
 
 
-def mixed(c: np.ndarray, spelled: np.ndarray, n: int, v: int) -> np.ndarray:
-    """log10 of (1 - b) c / n + b 10^spelled, with b = v / (n + v); without training words, b = 1."""
-    if not n:
-        return np.asarray(spelled, float)
-    with np.errstate(divide="ignore"):
-        whole = np.log(n / (n + v) * c / n)
-    return np.logaddexp(whole, math.log(v / (n + v)) + spelled * LOG10) / LOG10
-
-
 def score_documents(docs: DataFrame, model_path: str, train) -> DataFrame:
     """The columns of ``docs`` but its text, then n_tokens, n_known, train_tokens,
     base_score and score; ``train`` is the condition for training rows.
@@ -184,12 +182,9 @@ def score_documents(docs: DataFrame, model_path: str, train) -> DataFrame:
     sc = docs.sparkSession.sparkContext
     counts = cut_lineage(word_counts(docs.select("text", train.alias("train"))))
     n, v = counts.where("n_train > 0").agg(F.coalesce(F.sum("n_train"), F.lit(0)), F.count("*")).first()
-    model = fit_pieces(counts, PieceModel.load(model_path))
-    hot = hot_words(counts)
     end = counts.where(F.col("key") == F.lit(END)).agg(F.coalesce(F.sum("n_train"), F.lit(0))).first()[0]
-    # the end is spelled as the least likely byte piece is
-    end_spelled = float(model.scores[model.byte_ids].min()) / LOG10
-    end_score = float(mixed(np.array([end]), np.array([end_spelled]), n, v)[0])
+    model, end_log = fit_pieces(counts, PieceModel.load(model_path), ends=end)
+    hot, end_score = hot_words(counts), end_log / LOG10
     end_base = math.log10((end + 0.5) / (n + 0.5 * (v + 1)))
     shared = sc.broadcast((model, hot, n, v))
     name = f"{sc.applicationId}:{shared._jbroadcast.id()}"
@@ -204,33 +199,25 @@ def score_documents(docs: DataFrame, model_path: str, train) -> DataFrame:
                 rows = []
                 for ws in split:
                     ix = np.fromiter(map(scorer.memo.__getitem__, ws), np.int64, len(ws))
+                    score = float(scorer.score[ix].sum()) + end_score
                     rare = Counter(ix[scorer.rare[ix]].tolist())
                     ix = ix[~scorer.rare[ix]]
                     names = dict(zip(map(scorer.memo.__getitem__, ws), ws, strict=True)) if rare else {}
-                    rows.append((at, len(ws) + 1, int(scorer.known[ix].sum()) + (end > 0), float(scorer.base[ix].sum()) + end_base, float(scorer.score[ix].sum()) + end_score, [{"key": key_of(names[i]), "n": c, "spelled": float(scorer.spelled[i])} for i, c in rare.items()]))
+                    rows.append((at, len(ws) + 1, int(scorer.known[ix].sum()) + (end > 0), float(scorer.base[ix].sum()) + end_base, score, [{"key": key_of(names[i]), "n": c} for i, c in rare.items()]))
                     at += 1
                 columns = list(zip(*rows, strict=True))
-                types = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.struct([("key", pa.binary()), ("n", pa.int64()), ("spelled", pa.float64())]))]
+                types = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.struct([("key", pa.binary()), ("n", pa.int64())]))]
                 own = [part.column(c) for c in others]
                 yield pa.RecordBatch.from_arrays([*own, *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], names=[*others, "_row", "n_tokens", "_known", "_base", "_score", "_rare"])
 
     kept = docs.select(*others, "text")
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "text"), "_row long, n_tokens long, _known long, _base double, _score double, _rare array<struct<key: binary, n: long, spelled: double>>"])
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "text"), "_row long, n_tokens long, _known long, _base double, _score double, _rare array<struct<key: binary, n: long>>"])
     hot_part = cut_lineage(kept.mapInArrow(run, schema))
     rare = hot_part.select("_row", F.explode("_rare").alias("r")).select("_row", "r.*")
     joined = rare.join(counts.select("key", "n_train"), "key", "left")
     c = F.coalesce("n_train", F.lit(0))
-    spelled = F.col("spelled")
-    if n:
-        b = v / (n + v)
-        whole = F.when(c > 0, F.log10(c / F.lit(float(n + v)))).otherwise(F.lit(float("-inf")))
-        other = spelled + F.lit(math.log10(b))
-        top = F.greatest(whole, other)
-        word_score = top + F.log10(F.pow(F.lit(10.0), whole - top) + F.pow(F.lit(10.0), other - top))
-    else:
-        word_score = spelled
     base = F.log10((c + 0.5) / F.lit(n + 0.5 * (v + 1)))
-    sums = joined.groupBy("_row").agg(F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("_k"), F.sum(F.col("n") * base).alias("_b"), F.sum(F.col("n") * word_score).alias("_s"))
+    sums = joined.groupBy("_row").agg(F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("_k"), F.sum(F.col("n") * base).alias("_b"))
     zero = F.lit(0.0)
     return hot_part.drop("_rare").join(sums, "_row", "left").select(
         *others,
@@ -238,7 +225,7 @@ def score_documents(docs: DataFrame, model_path: str, train) -> DataFrame:
         (F.col("_known") + F.coalesce("_k", F.lit(0))).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
         (F.col("_base") + F.coalesce("_b", zero)).alias("base_score"),
-        (F.col("_score") + F.coalesce("_s", zero)).alias("score"),
+        F.col("_score").alias("score"),
     )
 
 
