@@ -194,6 +194,15 @@ def test_few_and_no_vectors(spark):
     assert kmeans_tree.search(kmeans_tree.valid_vectors(df.where("false")), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_vectors_of_each_length_meet_their_like(spark):
+    rows = [*vectors(50, 4, 5), *((100 + i, v) for i, v in vectors(30, 3, 6)), (1000, [1.0]), (1020, [0.0, 0.0])]
+    df = spark.createDataFrame([(i, v, 0, 0) for i, v in rows], SCHEMA)
+    got = kmeans_tree.search(kmeans_tree.valid_vectors(df), F.col("vec_id") % 20 == 0, k=60).collect()
+    held = Counter(r.query_id for r in got)
+    assert held == {0: 49, 20: 49, 40: 49, 100: 29, 120: 29}  # one of length 1 has no candidate, a zero takes no part
+    assert all((r.query_id < 100) == (r.vec_id < 100) for r in got)
+
+
 # -- pipeline
 
 

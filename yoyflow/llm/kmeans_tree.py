@@ -21,14 +21,15 @@ nor a favourite leaf grows it.  It scores only the leaves that a query visits
 and returns at most k rows a query; the last step ranks these.
 
 Null and zero vectors and those with null or non-finite components take no
-part, nor do vectors of another length than most and rows without id.  Rows of equal id count
-once (the vector with the least hash).  With fewer candidates than k, all are
+part, nor do rows without id.  Vectors of different lengths are searched apart.
+Rows of equal id count once (the vector with the least hash).  With fewer candidates than k, all are
 returned.  An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import heapq
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -189,10 +190,6 @@ def valid_vectors(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedd
     v = F.col(vector).cast("array<double>")
     finite = F.forall(v, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < F.lit(float("inf"))))
     some = rows.select(F.col(vec_id).cast("long").alias("vec_id"), v.alias("v")).where(F.col("vec_id").isNotNull() & finite & F.exists("v", lambda e: e != 0))
-    sizes = some.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
-    if not sizes:
-        return some.where("false")
-    some = some.where(F.size("v") == sizes[0].n)
     return some.groupBy("vec_id").agg(F.min_by("v", F.xxhash64("v")).alias("v"))
 
 
@@ -261,7 +258,20 @@ def calibrate(tree: Tree, index: DataFrame, queries: DataFrame, k: int, recall:
 
 
 def search(rows: DataFrame, is_query: Column, k: int = 20, block: int = BLOCK, part: int = PART) -> DataFrame:
-    """``(query_id, rank, vec_id, score)`` for the rows of ``valid_vectors`` that are queries, against all of them."""
+    """``(query_id, rank, vec_id, score)`` for the rows of ``valid_vectors`` that are queries, against all of them.
+
+    Vectors of different lengths have no inner product: each length has a tree and
+    a search of its own, so no row is left out.
+    """
+    size = F.size("v")
+    lengths = [r.n for r in rows.groupBy(size.alias("n")).count().orderBy("n").collect()]  # one row per length
+    if len(lengths) < 2:
+        return _search(rows, is_query, k, block, part)
+    rows = cut_lineage(rows)
+    return reduce(DataFrame.unionByName, [_search(rows.where(size == n), is_query, k, block, part) for n in lengths])
+
+
+def _search(rows: DataFrame, is_query: Column, k: int, block: int, part: int) -> DataFrame:
     spark = rows.sparkSession
     tree, index = build(rows)
     tree.form_groups(block)
