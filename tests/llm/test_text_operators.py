@@ -329,6 +329,25 @@ def test_model_finds_bare_secrets_and_spares_words(spark, messy, no_rows):
     assert secrets.scan(no_rows, None).count() == 0 and secrets.fit(no_rows) is None
 
 
+def test_model_learns_from_every_example(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "SHARD", 100)  # several shards, as on a large input
+    rows = secret_rows(600, 4)
+    model, again = secrets.fit(frame(spark, rows)), secrets.fit(frame(spark, rows).repartition(5))
+    assert np.allclose(model.kernel, again.kernel, atol=1e-9) and model.threshold == pytest.approx(again.threshold, abs=1e-6)
+    # each of the rows' tokens moves the model: no cap leaves the late ones out
+    more = secrets.fit(frame(spark, [*rows, *secret_rows(20, 5)]))
+    assert not np.allclose(model.kernel, more.kernel, atol=1e-9)
+    assert not hasattr(secrets, "MOST")
+
+
+def test_threshold_from_counts():
+    model = secrets._model(secrets._start(1))
+    bins, positive = np.array([-300, -100, 0, 100, 200]), np.array([False, True, False, True, True])
+    model = secrets.calibrate(model, bins, positive, np.array([50.0, 1.0, 5.0, 49.0, 50.0]), recall=0.98)
+    a, b = model.platt
+    assert a > 0 and model.threshold == pytest.approx(1 / (1 + np.exp(-(a * 1.0 + b))))  # misses 1 of 100
+
+
 def test_gradient(spark):
     rng = np.random.default_rng(1)
     model = secrets.SecretModel(rng.normal(0, 0.3, (secrets.WIDTH, secrets.SYMBOLS, secrets.FILTERS)), np.zeros(secrets.FILTERS), rng.normal(0, 0.3, 3 * secrets.FILTERS + 1), 0.1, (1.0, 0.0), 0.5)

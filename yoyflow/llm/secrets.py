@@ -7,13 +7,14 @@ before it, its own (all of them) and those after it run ``FILTERS`` one-hot
 convolutions of width ``WIDTH``; the largest response of each filter in each
 of the three parts and the candidate's length feed a logistic unit.
 
-It is trained in numpy on labelled findings: distinct candidates, positive
-where a base finding overlaps them, with long ordinary words as further
-negatives; at most ``MOST`` of each label, the first by hash (a sample bounded
-by that parameter).  The context of half the examples is blanked, so that the
-look of a secret counts without a telling name before it.  On a quarter held
-back from training, scores are calibrated (Platt) and the threshold is the
-highest that finds at least ``RECALL`` of the positives.  A candidate above it
+It is trained on labelled findings: all distinct candidates, positive where a
+base finding overlaps them, with long ordinary words as further negatives, both
+labels of the same weight.  Every epoch, shards of a bounded number of examples
+learn in numpy from one state, and Spark averages what they come to.  The context
+of half the examples is blanked, so that the look of a secret counts without a
+telling name before it.  On a quarter held back from training, all counted by
+their logits on a fixed grid, scores are calibrated (Platt) and the threshold is
+the highest of the grid that finds at least ``RECALL`` of the positives.  A candidate above it
 that no base finding overlaps is added as kind ``model``.  With fewer than
 ``FEWEST`` examples of a label there is no model and nothing is added.
 
@@ -35,13 +36,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yoyflow.llm.common import map_slices, table, texts
+from yoyflow.session import cut_lineage
 
 KINDS = ("assign", "access", "hex", "model")
 LEAST = 12
 LONG_WORD = 16
 BEFORE, AFTER = 24, 12
 FILTERS, WIDTH, SYMBOLS = 16, 5, 97
-MOST, FEWEST = 6_000, 40
+FEWEST = 40
+SHARD, SUMS = 8_192, 16  # examples dealt to one shard; rows that their states are summed to
+GRID, BINS = 0.01, 6_000  # held-back examples are counted by their logit
 RECALL = 0.98
 EPOCHS, BATCH, RATE = 6, 128, 0.01
 
@@ -59,6 +63,7 @@ _HEX_DIGIT = np.zeros(256, bool)
 _HEX_DIGIT[list(b"0123456789abcdef")] = True
 
 Span = tuple[str, int, int]
+_STATE = pa.list_(pa.float64())
 
 
 def _runs(member: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -176,8 +181,8 @@ class SecretModel:
         return 1 / (1 + np.exp(-np.clip(a * self.logits(examples) + b, -30, 30)))
 
 
-def _step(model: SecretModel, examples: list, y: np.ndarray) -> list[np.ndarray]:
-    """Gradients of the mean log loss; a maximum passes its gradient to its first place."""
+def _step(model: SecretModel, examples: list, y: np.ndarray, weights: np.ndarray | float = 1.0) -> list[np.ndarray]:
+    """Gradients of the mean (weighted) log loss; a maximum passes its gradient to its first place."""
     flat, begin, sizes = _layout(examples)
     r = model._responses(flat)
     top = np.maximum.reduceat(r, begin, axis=0)
@@ -186,7 +191,7 @@ def _step(model: SecretModel, examples: list, y: np.ndarray) -> list[np.ndarray]
     place = np.minimum.reduceat(place, begin, axis=0)
     h = np.maximum(top, 0).reshape(len(sizes), -1)
     z = h @ model.weight[:-1] + sizes * model.weight[-1] + model.offset
-    g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / len(y)
+    g = weights * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / len(y)
     weight = np.append(h.T @ g, sizes @ g)
     through = (g[:, None] * model.weight[:-1] * (h > 0)).reshape(-1, FILTERS)
     kernel = np.zeros_like(model.kernel)
@@ -198,51 +203,72 @@ def _step(model: SecretModel, examples: list, y: np.ndarray) -> list[np.ndarray]
     return [kernel, through.sum(0), weight, np.array(g.sum())]
 
 
-def train(examples: list[tuple[bytes, bytes, bytes]], labels: np.ndarray, recall: float = RECALL, seed: int = 7) -> SecretModel | None:
-    """A calibrated model, or None with fewer than ``FEWEST`` examples of a label."""
-    if min(int(labels.sum()), int((~labels).sum())) < FEWEST:
-        return None
+def _start(seed: int) -> np.ndarray:
+    """Parameters in one row, then their first and second moments (0)."""
     rng = np.random.default_rng(seed)
-    order = rng.permutation(len(examples))
-    held, used = order[: len(order) // 4], order[len(order) // 4 :]
-    model = SecretModel(rng.normal(0, 0.15, (WIDTH, SYMBOLS, FILTERS)), np.zeros(FILTERS), rng.normal(0, 0.2, 3 * FILTERS + 1), 0.0, (1.0, 0.0), 0.5)
-    values = [model.kernel, model.bias, model.weight, np.zeros(())]
-    first, second = [np.zeros_like(v) for v in values], [np.zeros_like(v) for v in values]
-    t = 0
-    for _ in range(EPOCHS):
-        used = rng.permutation(used)
-        for i in range(0, len(used), BATCH):
-            part = used[i : i + BATCH]
-            blank = rng.random(len(part)) < 0.5
-            shown = [(b"", examples[j][1], b"") if x else examples[j] for j, x in zip(part.tolist(), blank.tolist(), strict=True)]
-            t += 1
-            for k, g in enumerate(_step(model, shown, labels[part].astype(float))):
-                first[k] = 0.9 * first[k] + 0.1 * g
-                second[k] = 0.999 * second[k] + 0.001 * g * g
-                values[k] = values[k] - RATE * (first[k] / (1 - 0.9**t)) / (np.sqrt(second[k] / (1 - 0.999**t)) + 1e-8)
-            model.kernel, model.bias, model.weight, model.offset = values[0], values[1], values[2], float(values[3])
-    shown = [(b"", examples[i][1], b"") if i % 2 else examples[i] for i in held.tolist()]
-    y = labels[held]
-    model.platt = _platt(model.logits(shown), y.astype(float))
-    p = np.sort(model.probabilities(shown)[y])
-    model.threshold = float(p[int((1 - recall) * len(p))]) if len(p) else 1.0
-    return model
+    kernel, weight = rng.normal(0, 0.15, (WIDTH, SYMBOLS, FILTERS)), rng.normal(0, 0.2, 3 * FILTERS + 1)
+    flat = np.concatenate([kernel.ravel(), np.zeros(FILTERS), weight, [0.0]])
+    return np.concatenate([flat, np.zeros(2 * len(flat))])
 
 
-def _platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of the logistic fit of y on z, with Platt's softened targets, by gradient descent."""
-    n1, n0 = y.sum(), (1 - y).sum()
-    target = np.where(y > 0, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
+def _model(state: np.ndarray) -> SecretModel:
+    flat = state[: len(state) // 3]
+    kernel, bias, weight, offset = np.split(flat, np.cumsum([WIDTH * SYMBOLS * FILTERS, FILTERS, 3 * FILTERS + 1]))
+    return SecretModel(kernel.reshape(WIDTH, SYMBOLS, FILTERS), bias, weight, float(offset[0]), (1.0, 0.0), 0.5)
+
+
+def _epoch(state: np.ndarray, steps: int, examples: list[tuple[bytes, bytes, bytes]], labels: np.ndarray, weights: np.ndarray, seed: list[int]) -> np.ndarray:
+    """``state`` after one pass over ``examples`` by Adam, which made ``steps`` steps before."""
+    rng = np.random.default_rng(seed)
+    values, first, second = np.split(state.copy(), 3)
+    order = rng.permutation(len(examples))
+    for i in range(0, len(order), BATCH):
+        part = order[i : i + BATCH]
+        blank = rng.random(len(part)) < 0.5
+        shown = [(b"", examples[j][1], b"") if x else examples[j] for j, x in zip(part.tolist(), blank.tolist(), strict=True)]
+        g = np.concatenate([np.ravel(x) for x in _step(_model(np.concatenate([values, first, second])), shown, labels[part].astype(float), weights[part])])
+        steps += 1
+        first = 0.9 * first + 0.1 * g
+        second = 0.999 * second + 0.001 * g * g
+        values = values - RATE * (first / (1 - 0.9**steps)) / (np.sqrt(second / (1 - 0.999**steps)) + 1e-8)
+    return np.concatenate([values, first, second])
+
+
+def _platt(z: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float]:
+    """Slope and offset of the logistic fit of y on z, each counted n times, with Platt's softened targets, by gradient descent."""
+    n1, n0 = float(n[y > 0].sum()), float(n[y <= 0].sum())
+    target, share = np.where(y > 0, (n1 + 1) / (n1 + 2), 1 / (n0 + 2)), n / max(n.sum(), 1)
     scale = max(float(np.abs(z).max(initial=0)), 1e-9)
     x, a, b = z / scale, 1.0, 0.0
     for _ in range(2000):
-        g = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30))) - target
-        a, b = a - 2.0 * float((g * x).mean()), b - 2.0 * float(g.mean())
+        g = share * (1 / (1 + np.exp(-np.clip(a * x + b, -30, 30))) - target)
+        a, b = a - 2.0 * float((g * x).sum()), b - 2.0 * float(g.sum())
     return a / scale, b
 
 
-def fit(docs: DataFrame, text: str = "text", most: int = MOST) -> SecretModel | None:
-    """Train on the distinct candidates of all rows, at most ``most`` of each label."""
+def calibrate(model: SecretModel, bins: np.ndarray, positive: np.ndarray, n: np.ndarray, recall: float = RECALL) -> SecretModel:
+    """The model with its calibration and threshold, from counts of the held-back
+    examples by label and by logit in steps of ``GRID``."""
+    z = bins * GRID
+    model.platt = _platt(z + GRID / 2, positive.astype(float), n)
+    order = np.argsort(bins[positive])
+    edges, below = z[positive][order], np.cumsum(n[positive][order])
+    if not len(edges):
+        model.threshold = 1.0
+        return model
+    place = int(np.searchsorted(below, int((1 - recall) * below[-1]), "right"))
+    a, b = model.platt
+    lowest = bins[positive][order][place] <= -BINS or a <= 0
+    model.threshold = 0.0 if lowest else float(1 / (1 + np.exp(-np.clip(a * edges[place] + b, -30, 30))))
+    return model
+
+
+def _examples(rows: pa.Table | pa.RecordBatch) -> list[tuple[bytes, bytes, bytes]]:
+    return list(zip(*(rows.column(c).to_pylist() for c in ("before", "token", "after")), strict=True))
+
+
+def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The distinct tokens of all rows (``h``), whether a base finding overlaps them, and one context of each."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = find(texts(batch, "_text"), words=True)
@@ -254,10 +280,63 @@ def fit(docs: DataFrame, text: str = "text", most: int = MOST) -> SecretModel |
     seen = map_slices(docs.select(F.col(text).alias("_text")), run, "before binary, token binary, after binary, positive boolean", "_text")
     # a token is one example, whatever texts it stands in; long tokens count by their digest
     distinct = seen.groupBy(F.xxhash64("token").alias("h")).agg(F.max("positive").alias("positive"), F.min_by(F.struct(*names), F.struct(F.xxhash64(*names), *names)).alias("x"))
-    rows = []
-    for label in (True, False):
-        rows += distinct.where(F.col("positive") == F.lit(label)).orderBy("h").limit(most).select("x.*", "positive").collect()  # bounded by most
-    return train([(bytes(r.before), bytes(r.token), bytes(r.after)) for r in rows], np.array([r.positive for r in rows], bool))
+    return distinct.select("h", "positive", "x.*")
+
+
+def _learner(state: np.ndarray, steps: int, epoch: int, weight: dict[bool, float], seed: int):
+    """What an epoch does with a shard: its new state, times its number of examples."""
+
+    def learn(key, rows):
+        rows = rows.sort_by("h")
+        labels = np.array(rows.column("positive").to_pylist(), bool)
+        shard = key[0].as_py()
+        new = _epoch(state, steps, _examples(rows), labels, np.where(labels, weight[True], weight[False]), [seed, epoch, shard])
+        return pa.table({"shard": pa.array([shard], pa.int64()), "n": pa.array([float(len(labels))]), "state": pa.array([new * len(labels)], _STATE)})
+
+    return learn
+
+
+def _add(key, rows):
+    rows = rows.sort_by("shard")
+    summed = sum(np.array(x.values) for x in rows.column("state"))
+    return pa.table({"n": pa.array([sum(rows.column("n").to_pylist())]), "state": pa.array([summed], _STATE)})
+
+
+def fit(docs: DataFrame, text: str = "text", seed: int = 7) -> SecretModel | None:
+    """Train on the distinct candidates of all rows; None with fewer than ``FEWEST`` of a label.
+
+    An epoch deals the examples to shards of about ``SHARD``, each of which goes on
+    from the same state, and the mean of their states is the next one."""
+    held = F.pmod(F.xxhash64("h", F.lit("held")), F.lit(4)) == 0
+    all_rows = cut_lineage(candidates(docs, text).withColumn("held", held))  # read once per epoch
+    counts = {True: 0, False: 0} | {r.positive: r.n for r in all_rows.groupBy("positive").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if min(counts.values()) < FEWEST:
+        return None
+    total = sum(counts.values())
+    weight = {label: total / (2 * n) for label, n in counts.items()}  # labels weigh the same, however rare
+    shards = -(-total // SHARD)
+    used = all_rows.where(~F.col("held"))
+    state, steps = _start(seed), 0
+    for epoch in range(EPOCHS):
+        learn = _learner(state, steps, epoch, weight, seed)
+        dealt = used.withColumn("shard", F.pmod(F.xxhash64("h", F.lit(epoch)), F.lit(shards)).cast("long"))
+        learnt = dealt.groupBy("shard").applyInArrow(learn, "shard long, n double, state array<double>")
+        sums = learnt.groupBy(F.col("shard") % SUMS).applyInArrow(_add, "n double, state array<double>").collect()  # at most SUMS rows
+        n = sum(r.n for r in sums)
+        state = sum(np.array(r.state) for r in sorted(sums, key=lambda r: (r.n, r.state[0]))) / n
+        steps += -(-int(n / shards) // BATCH)
+
+    model = _model(state)
+
+    def score(batches):
+        for batch in batches:
+            shown = [(b"", x[1], b"") if h % 2 else x for x, h in zip(_examples(batch), batch.column("h").to_pylist(), strict=True)]
+            bins = np.clip(np.floor(model.logits(shown) / GRID), -BINS, BINS)
+            yield pa.record_batch({"bin": pa.array(bins.astype(np.int64)), "positive": batch.column("positive")})
+
+    scored = all_rows.where("held").select("h", "positive", "before", "token", "after").mapInArrow(score, "bin long, positive boolean")
+    rows = scored.groupBy("bin", "positive").agg(F.count(F.lit(1)).alias("n")).orderBy("bin", "positive").collect()  # at most 4 * BINS + 2 rows
+    return calibrate(model, *(np.array([r[c] for r in rows], t) for c, t in (("bin", np.int64), ("positive", bool), ("n", float))))
 
 
 def _spans_of(found: Found, model: SecretModel | None) -> list[list[Span]]:
