@@ -74,3 +74,24 @@ def test_filters_reach_the_scan(spark):
     scan = plan[plan.index("Scan parquet"):]
     read_schema = scan[scan.index("ReadSchema"):].splitlines()[0]
     assert "Full_CVExclude" not in read_schema and "TermEndDate" not in read_schema
+
+
+def test_wide_pool_rows_are_shuffled_once(spark):
+    """The dimensions meet the narrow key tuples of the renewals, the rows only the result."""
+    inp = renewal_inputs(_Stored(spark))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        nodes = _plan(rp.build_pool(inp, TEST_PARAMS)).split("\n\n")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    exchanges = [n for n in nodes if ") Exchange\n" in n]
+    assert len(exchanges) > 5 and sum("SourceObjectName" in n for n in exchanges) == 1
+
+
+def test_lines_read_twice_are_stored(spark, monkeypatch):
+    """Rolled-up lines, lines with their year's context, and flagged lines."""
+    stored = []
+    monkeypatch.setattr(rx, "cut_lineage", lambda df, how="table": stored.append(how) or df)
+    rx.stages(rex.extract_inputs(SparkInputs(spark, SF)), TEST_PARAMS).final
+    assert stored == ["table"] * 3
