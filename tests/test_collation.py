@@ -4,7 +4,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from yoyflow.operators.collated import group
+from yoyflow.operators.collated import NAMED, group
 from yoyflow.operators.joins import hashed_join
 from yoyflow.operators.temporal import year_offset_join
 from yoyflow.plans.registry import all_queries
@@ -50,3 +50,15 @@ def test_respelled_inputs_give_the_same_extract(spark):
         return Counter(tuple(v.rstrip(" ").lower() if isinstance(v, str) else v for v in r) for r in queries[name](spark, SF).collect())
 
     assert rows("extract_respelled") == rows("revenue_extract")
+
+
+def test_many_text_keys_group_as_few(spark):
+    """Keys named by hashes: NULL is neither '' nor at another place, and only two longs are keys."""
+    names = [f"k{i}" for i in range(NAMED)]
+    rows = [("a ",) + (None, "x") + ("",) * 5, ("A",) + (None, "X ") + ("",) * 5, ("a",) + ("x", None) + ("",) * 5, ("a",) + ("", "x") + ("",) * 5]
+    df = spark.createDataFrame([(*r, 1) for r in rows], ", ".join(f"{n} string" for n in names) + ", v int")
+    got = group(df, names, F.sum("v").alias("n")).collect()
+    assert sorted((r.k0, r.k1, r.k2, r.n) for r in got if r.k1 is not None) == [("a", "", "x", 1), ("a", "x", None, 1)]
+    assert [(r.k0, r.k1, r.k2, r.n) for r in got if r.k1 is None] == [("A", None, "X ", 2)]
+    plan = group(df, names, F.sum("v").alias("n"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64" in plan
