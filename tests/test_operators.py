@@ -266,3 +266,39 @@ def test_tier_pair_counts_match_brute_force(spark, seed):
                 lab = _label(pr, ca)
                 want[lab] = want.get(lab, 0) + 1
     assert got == want
+
+
+@pytest.mark.parametrize("few", [0, 12, 1000])
+def test_match_of_small_and_large_groups(spark, monkeypatch, few):
+    """Groups of up to FEW candidates are joined, larger ones searched by keys; a probe id may have rows of both."""
+    from yoyflow.operators import match
+
+    monkeypatch.setattr(match, "FEW", few)
+    rnd = random.Random(few)
+    contracts, progs = ["C1", "C2", "C3", None], ["P1", "P2", None]
+    accounts = ["big"] * 6 + ["x", "y", "z", None]
+    cands = [
+        (rnd.choice(accounts), rnd.choice("AB"), rnd.choice(contracts), rnd.choice(contracts), rnd.choice(contracts),
+         rnd.choice(progs), _day(rnd.randint(0, 9)), rnd.choice([f"S{i}" for i in range(30)] + [None]))
+        for _ in range(90)
+    ]
+    probes = [
+        (rnd.choice([f"R{i}" for i in range(25)] + [None]), rnd.choice(accounts), rnd.choice("AB"), rnd.choice(contracts), rnd.choice(progs),
+         rnd.choice([_day(rnd.randint(0, 9)), None]))
+        for _ in range(60)
+    ]
+    sizes = {}
+    for ca in cands:
+        sizes[ca[:2]] = sizes.get(ca[:2], 0) + 1
+    assert few != 12 or min(sizes.values()) <= few < max(sizes.values())
+    cdf = spark.createDataFrame(cands, "account string, class string, contract string, prior string, prior_phx string, program string, start date, sub string")
+    pdf = spark.createDataFrame(probes, "probe_id string, account string, class string, own_contract string, own_program string, day date")
+    pairs = [(pr, ca) for pr in probes for ca in cands if pr[5] and pr[1] and ca[:2] == pr[1:3] and ca[6] >= pr[5]]
+    got = {r.probe_id: (r.match_label, r.contract) for r in best_match(pdf, cdf).collect()}
+    assert got == _brute_best([p for p in probes if p[1]], cands)
+    counts, tiers = {}, {}
+    for pr, ca in pairs:
+        counts[pr[0]] = counts.get(pr[0], 0) + 1
+        tiers[_label(pr, ca)] = tiers.get(_label(pr, ca), 0) + 1
+    assert {r.probe_id: r.n_candidates for r in candidate_counts(pdf, cdf).collect()} == counts
+    assert {r.MatchCat: r.n_pairs for r in match.tier_pair_counts(pdf, cdf).collect()} == tiers
