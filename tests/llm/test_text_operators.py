@@ -372,3 +372,27 @@ def test_gradient(spark):
 def test_overlapping_spans_are_one_mark():
     assert secrets.redact_text("abcdefgh", [("a", 1, 3), ("b", 2, 5), ("c", 6, 7)], "*") == "a*f*h"
     assert secrets.redact_text("abc", [], "*") == "abc"
+
+
+def test_broadcast_words_go_round_the_lattice_once_a_worker(monkeypatch):
+    """A full memo drops the other words' scores only; columns stay those of their words."""
+    calls = []
+    monkeypatch.setattr(lattice_lm, "marginals", lambda model, words: [calls.append(w) or float(len(w)) for w in words])
+    scorer = lattice_lm._Scorer(None, {b"hot": 3, b"warmer": 0}, 10, 4)
+    scorer.memo._limit = 4
+    for part in ([b"hot", b"a"], [b"bb", b"ccc", b"warmer"], [b"dddd", b"hot", b"a"], [b"warmer", b"eeeee", b"bb"], [b"hot", b"a", b"bb"]):
+        scorer.memo.ensure([part])
+        ix = [scorer.memo[w] for w in part]
+        assert len(set(ix)) == len(part)
+        assert (scorer.score[ix] * lattice_lm.LOG10).round(9).tolist() == [len(w) for w in part]
+        assert scorer.rare[ix].tolist() == [w not in scorer.hot for w in part]
+        assert scorer.known[ix].tolist() == [w == b"hot" for w in part]
+    assert calls.count("hot") == calls.count("warmer") == 1 and calls.count("a") > 1
+
+
+def test_word_counts_name_words_by_their_key(spark):
+    words = [b"x" * 64, b"y" * 65, b"z" * 300]
+    docs = spark.createDataFrame([(b" ".join(words).decode(), True), ("z" * 300, False), (None, True)], "text string, train boolean")
+    got = {bytes(r.word): (bytes(r.key), r.n_train, r.n_all) for r in lattice_lm.word_counts(docs).collect()}
+    end = lattice_lm.END
+    assert got == {words[0]: (words[0], 1, 1), words[1]: (lattice_lm.key_of(words[1]), 1, 1), words[2]: (lattice_lm.key_of(words[2]), 1, 2), end: (end, 2, 3)}

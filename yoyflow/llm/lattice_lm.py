@@ -76,11 +76,13 @@ def word_counts(docs: DataFrame) -> DataFrame:
         kept: dict[bool, Counter] = {True: Counter(), False: Counter()}
 
         def flush() -> pa.RecordBatch:
-            rows = [(key_of(w) if w != END else END, w, n * t, n) for t, c in kept.items() for w, n in c.items()]
+            words = [w for c in kept.values() for w in c]
+            every = np.array([n for c in kept.values() for n in c.values()], np.int64)
+            train = every.copy()
+            train[len(kept[True]) :] = 0
             for c in kept.values():
                 c.clear()
-            key, word, train, every = zip(*rows, strict=True) if rows else ((),) * 4
-            return pa.record_batch({"key": pa.array(key, pa.binary()), "word": pa.array(word, pa.binary()), "n_train": pa.array(train, pa.int64()), "n_all": pa.array(every, pa.int64())})
+            return pa.record_batch({"word": pa.array(words, pa.binary()), "n_train": pa.array(train), "n_all": pa.array(every)})
 
         for batch in batches:
             for part in slices(batch, "text"):
@@ -91,9 +93,11 @@ def word_counts(docs: DataFrame) -> DataFrame:
                     yield flush()
         yield flush()
 
-    parts = docs.select("text", "train").mapInArrow(run, "key binary, word binary, n_train long, n_all long")
-    # words of one key are equal, so any of them does; grouping by both keeps the sums in hash maps
-    return parts.groupBy("key", "word").agg(F.sum("n_train").alias("n_train"), F.sum("n_all").alias("n_all"))
+    parts = docs.select("text", "train").mapInArrow(run, "word binary, n_train long, n_all long")
+    sums = parts.groupBy("word").agg(F.sum("n_train").alias("n_train"), F.sum("n_all").alias("n_all"))
+    # as ``key_of``; the end is short, too
+    key = F.when(F.length("word") <= LONGEST_KEY, F.col("word")).otherwise(F.concat(F.lit(b" "), F.unhex(F.sha2("word", 256))))
+    return sums.select(key.alias("key"), "word", "n_train", "n_all")
 
 
 def _text_of(word: bytes) -> str:
@@ -147,31 +151,37 @@ def hot_words(counts: DataFrame, most: int = HOT_WORDS) -> dict[bytes, int]:
 
 
 class _Scorer:
-    """A worker's scores by word, as columns that a document's words index."""
+    """A worker's scores by word, as columns that a document's words index.
+
+    The broadcast words have columns of their own, first, which stay once they are
+    filled; those of the other words are dropped together when the memo is full."""
 
     def __init__(self, model: PieceModel, hot: dict[bytes, int], n: int, v: int):
         self.model, self.hot, self.n, self.v = model, hot, n, v
         self.memo = Memo(self._add, 250_000, two=False)
-        self._reset()
-
-    def _reset(self) -> None:
-        self.size = 0
+        self.kept: dict[bytes, int] = {}
+        self.size = len(hot)
         self.score, self.base = np.zeros(1 << 16), np.zeros(1 << 16)
         self.known, self.rare = (np.zeros(1 << 16, bool) for _ in range(2))
 
     def _add(self, words: list[bytes]) -> list[int]:
         if not self.memo:
-            self._reset()
-        a, b = self.size, self.size + len(words)
-        while b > len(self.score):
-            for c in ("score", "base", "known", "rare"):
-                setattr(self, c, np.concatenate([getattr(self, c), np.zeros_like(getattr(self, c))]))
-        c = np.array([self.hot.get(key_of(w), -1) for w in words])
-        self.rare[a:b], self.known[a:b] = c < 0, c > 0
-        self.score[a:b] = np.array(marginals(self.model, [_text_of(w) for w in words])) / LOG10
-        self.base[a:b] = np.log10((np.maximum(c, 0) + 0.5) / (self.n + 0.5 * (self.v + 1)))
-        self.size = b
-        return list(range(a, b))
+            self.size = len(self.hot)
+        new = [w for w in words if w not in self.kept]
+        c = np.array([self.hot.get(key_of(w), -1) for w in new], np.int64)
+        rare = c < 0
+        n_rare = int(rare.sum())
+        at = np.where(rare, self.size - 1 + np.cumsum(rare), len(self.kept) - 1 + np.cumsum(~rare))
+        self.size += n_rare
+        while self.size > len(self.score):
+            for name in ("score", "base", "known", "rare"):
+                setattr(self, name, np.concatenate([getattr(self, name), np.zeros_like(getattr(self, name))]))
+        self.rare[at], self.known[at] = rare, c > 0
+        self.score[at] = np.array(marginals(self.model, [_text_of(w) for w in new])) / LOG10
+        self.base[at] = np.log10((np.maximum(c, 0) + 0.5) / (self.n + 0.5 * (self.v + 1)))
+        found = dict(zip(new, at.tolist(), strict=True))
+        self.kept.update((new[i], int(at[i])) for i in np.flatnonzero(~rare).tolist())
+        return [found[w] if w in found else self.kept[w] for w in words]
 
 
 def score_documents(docs: DataFrame, model_path: str, train) -> DataFrame:
@@ -200,9 +210,10 @@ def score_documents(docs: DataFrame, model_path: str, train) -> DataFrame:
                 for ws in split:
                     ix = np.fromiter(map(scorer.memo.__getitem__, ws), np.int64, len(ws))
                     score = float(scorer.score[ix].sum()) + end_score
-                    rare = Counter(ix[scorer.rare[ix]].tolist())
-                    ix = ix[~scorer.rare[ix]]
-                    names = dict(zip(map(scorer.memo.__getitem__, ws), ws, strict=True)) if rare else {}
+                    places = np.flatnonzero(scorer.rare[ix])
+                    named = ix[places].tolist()
+                    rare, names = Counter(named), dict(zip(named, map(ws.__getitem__, places.tolist()), strict=True))
+                    ix = np.delete(ix, places)
                     rows.append((at, len(ws) + 1, int(scorer.known[ix].sum()) + (end > 0), float(scorer.base[ix].sum()) + end_base, score, [{"key": key_of(names[i]), "n": c} for i, c in rare.items()]))
                     at += 1
                 columns = list(zip(*rows, strict=True))
