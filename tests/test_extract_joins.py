@@ -75,6 +75,14 @@ def test_a_duplicate_snapshot_of_any_year_in_reach_still_fails(spark):
             out.collect()
 
 
+def test_the_final_cut_fails_on_a_duplicate_snapshot_whatever_is_read(spark):
+    inp = rex.extract_inputs(SparkInputs(spark, SF))
+    inp.other_packages = inp.other_packages.unionByName(inp.other_packages)
+    pool = rx.prior_contracted_pool(rx.stages(inp, TEST_PARAMS).final_once, TEST_PARAMS)
+    with pytest.raises(Exception, match="duplicate key in other packages"):
+        pool.collect()
+
+
 def _inputs(spark):
     """Inputs with NULL keys in the lines, and accounts and packages that come twice."""
     inp = rex.extract_inputs(SparkInputs(spark, SF))
