@@ -83,6 +83,21 @@ def test_the_final_cut_fails_on_a_duplicate_snapshot_whatever_is_read(spark):
         pool.collect()
 
 
+def test_generated_methods_stay_small_enough_to_be_compiled(spark):
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    inp = rex.extract_inputs(SparkInputs(spark, SF))
+    old = spark.conf.get(limit, None)
+    try:
+        spark.conf.unset(limit)
+        rx.stages(inp, TEST_PARAMS)
+        assert int(spark.conf.get(limit)) <= 8000
+        spark.conf.set(limit, "20000")  # the session's own choice stays
+        rx.stages(inp, TEST_PARAMS)
+        assert spark.conf.get(limit) == "20000"
+    finally:
+        spark.conf.unset(limit) if old is None else spark.conf.set(limit, old)
+
+
 def _inputs(spark):
     """Inputs with NULL keys in the lines, and accounts and packages that come twice."""
     inp = rex.extract_inputs(SparkInputs(spark, SF))
