@@ -3,6 +3,8 @@
 import random
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -11,11 +13,11 @@ from tokenizers import Tokenizer
 
 from conftest_llm import BYTES, PIECES, prose, texts
 from yoyflow.llm import token_files
-from yoyflow.llm.common import Memo
+from yoyflow.llm.common import Memo, pooled
 from yoyflow.llm.pieces import PieceModel, best_paths, expected_counts, marginals
 from yoyflow.llm.sentencepiece_codec import decode, decode_ids, encode, encode_texts
 from yoyflow.llm.token_counts import TokenCountCache, token_counts
-from yoyflow.llm.tokenizers import MARKER, ByteLevelCoder
+from yoyflow.llm.tokenizers import MARKER, ByteLevelCoder, CodeTable
 from yoyflow.llm.token_counts import _PieceCounter
 from yoyflow.llm.trie import DoubleArrayTrie
 from yoyflow.session import new_stage
@@ -38,6 +40,61 @@ def test_special_strings_are_as_in_the_library():
         assert np.frombuffer(coder([text])[0], "<u4").tolist() == bpe.encode(text, add_special_tokens=False).ids
 
 
+def test_a_word_reaches_the_library_once_whatever_stands_after_it():
+    own, asked = ByteLevelCoder(BYTES, "<u4"), []
+    encode = own._encode
+    own._encode = lambda words: [asked.append(len(words)), encode(words)][1]
+    words = [f"{a}{b}ing" for a in "bcdfgklmnp" for b in ("a", "e", "o", "u", "ar", "er", "or", "ur")]
+    for sep in (" ", ", ", ". ", "; ", ": ", "! ", "? ", ".\n "):
+        text = "so " + sep.join(words)
+        assert np.frombuffer(own([text])[0], "<u4").tolist() == bpe.encode(text, add_special_tokens=False).ids
+    assert sum(asked) <= len(words) + 10
+
+
+def test_special_strings_with_marks_or_letters_are_not_cut(tmp_path):
+    for special in ("a.b", "x,", "abc", "...", "é.", "<s>"):
+        other = Tokenizer.from_file(BYTES)
+        other.add_special_tokens([special])
+        path = str(tmp_path / f"{len(list(tmp_path.iterdir()))}.json")
+        other.save(path)
+        own = ByteLevelCoder(path, "<u4")
+        for text in (special, f"wa.bc a.b abc. x,y x, {special}z", f"z{special}.\n{special}", f"xabcy... é... {special} {special}"):
+            assert np.frombuffer(own([text])[0], "<u4").tolist() == other.encode(text, add_special_tokens=False).ids
+
+
+def test_code_table_stays_small_and_right():
+    asked = []
+    known = CodeTable(lambda words: [asked.extend(words.to_pylist()), words.cast(pa.binary())][1], most=2000)
+    for i in range(300):
+        words = ["common", f"w{i}", "common", f"v{i}" * 3]
+        assert known.lookup(pa.array(words)).to_pylist() == [w.encode() for w in words] and known.nbytes <= 2000
+    assert asked.count("common") == 1
+    assert known.lookup(pa.array(["x" * 5000, "common"])).to_pylist() == [b"x" * 5000, b"common"] and known.nbytes <= 2000
+    small = ByteLevelCoder(BYTES, "<u4")
+    small._known = CodeTable(small._encode, most=500)
+    for text in texts():
+        assert np.frombuffer(small([text or ""])[0], "<u4").tolist() == bpe.encode(text or "", add_special_tokens=False).ids
+
+
+def test_texts_are_encoded_from_a_part_of_a_column():
+    column = pa.array(["", "left out", None, "é.\nA  b ", "", "日本 \u3000x", None])
+    for kind in (pa.string(), pa.large_string()):
+        given = pc.fill_null(column.cast(kind), "")
+        want = [bpe.encode(t, add_special_tokens=False).ids for t in given.to_pylist()]
+        for a in range(len(given) + 1):
+            got = coder.encode(given.slice(a)).to_pylist()
+            assert [np.frombuffer(g, "<u4").tolist() for g in got] == want[a:]
+
+
+def test_pooled_batches_keep_rows_and_order():
+    rows = [None if i % 7 == 0 else "x" * (i % 30) for i in range(200)]
+    batches = [pa.record_batch({"i": pa.array(range(a, a + 8)), "text": pa.array(rows[a : a + 8], pa.string())}) for a in range(0, 200, 8)]
+    got = list(pooled(iter(batches), "text", 500))
+    assert [x for b in got for x in b.column("i").to_pylist()] == list(range(200))
+    assert [x for b in got for x in b.column("text").to_pylist()] == rows
+    assert 5 < len(got) < len(batches) and list(pooled(iter([]), "text", 500)) == []
+
+
 def test_memo_keeps_words_in_use_and_stays_small():
     seen = []
     memo = Memo(lambda words: [seen.append(w) or w.upper() for w in words], limit=10)

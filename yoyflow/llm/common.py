@@ -42,6 +42,22 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         yield batch.slice(start)
 
 
+def pooled(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """The rows of batches, anew in batches holding about ``limit`` bytes of ``column``
+    (a row counts for eight more, so that empty ones end a batch, too)."""
+    held, total = [], 0
+    for batch in batches:
+        for part in slices(batch, column, limit):
+            n = 8 * part.num_rows + (pc.sum(pc.binary_length(part.column(column))).as_py() or 0)
+            if held and total + n > limit:
+                yield pa.concat_batches(held)
+                held, total = [], 0
+            held.append(part)
+            total += n
+    if held:
+        yield pa.concat_batches(held)
+
+
 def map_slices(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, column: str = "text", limit: int = SLICE_BYTES) -> DataFrame:
     """``df.mapInArrow`` with ``fn`` applied to slices of bounded text size."""
 

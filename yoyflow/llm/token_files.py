@@ -16,8 +16,10 @@ A data set is a folder with two Parquet tables, written by Spark's committer
   little-endian uint32 and ``start`` counts the ids of the shard that stand
   before the block.
 
-Scale: each text is encoded once, in the scan; its ids (two bytes each where
-the vocabulary allows) are stored, with the frequencies summed per task.  The documents' codes are dealt by ranges of doc_id: a
+Scale: each text is encoded once, in the scan (cut into words and looked up among the
+worker's known words in Arrow, only new words go to the library); its ids (two bytes each where
+the vocabulary allows) are stored, with the frequencies summed per task.  The documents' codes are dealt by
+ranges of doc_id: a
 partition is a share of the documents, and rows of equal doc_id are dealt by
 the checksum of their ids too.  The driver sees the vocabulary and one row per
 shard.  A null text is empty; documents without id come first; rows with equal
@@ -30,15 +32,17 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yoyflow.llm import tokenizers as tk
-from yoyflow.llm.common import slices, table, texts, worker_state
+from yoyflow.llm.common import pooled, table, worker_state
 from yoyflow.session import new_stage
 
 BLOCK_TOKENS = 1 << 18
+CODE_BYTES = 8 << 20  # text handed to the coder at once
 _LENGTHS = np.array([[1 + (c >> 2 * k & 3) for k in range(4)] for c in range(256)], np.uint8)
 
 
@@ -75,17 +79,17 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int | None) -
     often each id occurs in the task's documents (int64 by id)."""
     size = tk.byte_level(tokenizer_path).get_vocab_size(with_added_tokens=True)
     dtype = "<u2" if size <= 1 << 16 else "<u4"
-    end = b"" if end_id is None else np.array([end_id], dtype).tobytes()
+    end = pa.scalar(b"" if end_id is None else np.array([end_id], dtype).tobytes(), pa.binary())
     kinds = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("crc", pa.int64()), ("counts", pa.binary())])
 
     def run(batches):
         coder = worker_state(f"coder:{tokenizer_path}:{dtype}", lambda: tk.ByteLevelCoder(tokenizer_path, dtype))
         total = np.zeros(size, np.int64)
-        for batch in batches:
-            for part in slices(batch, "text"):
-                ids = [i + end for i in coder(texts(part))]
-                total += np.bincount(np.frombuffer(b"".join(ids), dtype), minlength=size)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary()), pa.array(map(zlib.crc32, ids), pa.int64()), pa.nulls(len(ids), pa.binary())], schema=kinds)
+        for part in pooled(batches, "text", CODE_BYTES):
+            ids = pc.binary_join_element_wise(coder.encode(pc.fill_null(part.column("text"), "")), end, pa.scalar(b"", pa.binary()))
+            raw = ids.to_pylist()
+            total += np.bincount(np.frombuffer(b"".join(raw), dtype), minlength=size)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids, pa.array(map(zlib.crc32, raw), pa.int64()), pa.nulls(len(raw), pa.binary())], schema=kinds)
         yield pa.RecordBatch.from_pylist([{"counts": total.astype("<i8").tobytes()}], kinds)
 
     columns = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
